@@ -132,7 +132,7 @@ def _remove_dot_segments(segments: Column) -> Column:
                 .otherwise(F.concat(acc, F.array(s))))
 
     resolved = F.aggregate(segments, empty, step)
-    last = F.element_at(segments, -1)
+    last = F.try_element_at(segments, F.lit(-1))
     return F.when(last.isin(".", ".."), F.concat(resolved, F.array(F.lit("")))).otherwise(resolved)
 
 
@@ -171,7 +171,7 @@ def url_resolve(base, href) -> Column:
         frag_part)
 
     base_parts = F.split(b_full_path, "/")
-    base_dir = F.when(F.element_at(base_parts, -1) != "",
+    base_dir = F.when(F.try_element_at(base_parts, F.lit(-1)) != "",
                       F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
     merged = F.concat(base_dir, F.split(r_path, "/"))
     n = F.size(merged)
