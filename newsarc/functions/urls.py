@@ -10,7 +10,7 @@ The semantics follow the standard library's ``urlsplit``/``urlparse``/
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsarc.functions.common import col_of
@@ -136,6 +136,69 @@ def _remove_dot_segments(segments: Column) -> Column:
     return F.when(last.isin(".", ".."), F.concat(resolved, F.array(F.lit("")))).otherwise(resolved)
 
 
+# a path with a "." or ".." segment needs the fold above; others are joined as they are
+DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
+
+
+def _base_parts(b: Column) -> dict[str, Column]:
+    """Parts of a (cleaned) base URL that every href resolved on it needs."""
+    full_path = url_path(b, strip_params=False)
+    parts = F.split(full_path, "/")
+    base_dir = F.when(F.try_element_at(parts, F.lit(-1)) != "",
+                      F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return {"raw": b, "scheme": url_scheme(b), "netloc": url_netloc(b), "path": full_path,
+            "query": url_query(b), "dir": base_dir}
+
+
+def _href_parts(h: Column, b_scheme: Column) -> dict[str, Column]:
+    """Parts of a (cleaned) href: its scheme and the text after ``scheme:``."""
+    h_scheme = url_scheme(h)
+    rest = F.when(h_scheme != "", F.regexp_extract(h, f"^{SCHEME}:(.*)$", 1)).otherwise(h)
+    return {"raw": h, "scheme": h_scheme, "rest": rest}
+
+
+def _rest_parts(rest: Column) -> dict[str, Column]:
+    return {"path": F.regexp_extract(rest, "^([^?#]*)", 1), "query": url_query(rest),
+            "fragment": url_fragment(rest)}
+
+
+def _joined_path(b: dict, r: dict) -> Column:
+    """Resolved path of an href with a path: merged with the base directory, dots removed."""
+    r_path = r["path"]
+    merged = F.concat(b["dir"], F.split(r_path, "/"))
+    n = F.size(merged)
+    merged = F.concat(F.slice(merged, 1, 1), F.filter(F.slice(merged, 2, n - 2), lambda s: s != ""),
+                      F.slice(merged, n, 1))
+    absolute = r_path.startswith("/")
+    simple_abs = absolute & ~r_path.rlike(DOT_SEGMENT)
+    return F.when(simple_abs, r_path).otherwise(
+        F.array_join(_remove_dot_segments(F.when(absolute, F.split(r_path, "/")).otherwise(merged)), "/"))
+
+
+def _join(b: dict, h: dict, r: dict, joined: Column | None = None) -> Column:
+    """The urljoin case analysis over already computed parts."""
+    if joined is None:
+        joined = _joined_path(b, r)
+    prefix = F.concat(b["scheme"], F.lit("://"), b["netloc"])
+    query_part = F.when(r["query"] != "", F.concat(F.lit("?"), r["query"])).otherwise(F.lit(""))
+    frag_part = F.when(r["fragment"] != "", F.concat(F.lit("#"), r["fragment"])).otherwise(F.lit(""))
+    # href without a path: base path (with its params), href query else base query
+    no_path = F.concat(
+        prefix, b["path"],
+        F.when(r["query"] != "", F.concat(F.lit("?"), r["query"]))
+        .when(b["query"] != "", F.concat(F.lit("?"), b["query"])).otherwise(F.lit("")),
+        frag_part)
+    path = F.when(joined == "", F.lit("/")) \
+        .when(~joined.startswith("/"), F.concat(F.lit("/"), joined)).otherwise(joined)
+    with_path = F.concat(prefix, path, query_part, frag_part)
+    return (F.when(b["raw"] == "", h["raw"])
+            .when(h["raw"] == "", b["raw"])
+            .when((h["scheme"] != "") & (h["scheme"] != b["scheme"]), h["raw"])
+            .when(h["rest"].startswith("//"), F.concat(b["scheme"], F.lit(":"), h["rest"]))
+            .when(r["path"] == "", no_path)
+            .otherwise(with_path))
+
+
 def url_resolve(base, href) -> Column:
     """``urljoin(base, href)`` for hierarchical bases (http, https, ...).
 
@@ -143,53 +206,55 @@ def url_resolve(base, href) -> Column:
     ``javascript:``) -> href; ``//host/x`` -> base scheme + href; path-less
     href (``?q``, ``#f``) -> base path with new query/fragment; ``/x`` and
     relative paths -> merged with the base directory, dot segments removed.
+
+    One Column, fine for a few values per row. For the many hrefs of a page
+    use ``with_base_parts`` + ``resolve_all``: they compute each part once
+    instead of repeating sub-expressions.
     """
-    b = clean_url(base)
-    h = clean_url(href)
-    b_scheme = url_scheme(b)
-    h_scheme = url_scheme(h)
-    # text after "scheme:" (first colon), or the whole href when it has no scheme
-    rest = F.when(h_scheme != "", F.regexp_extract(h, f"^{SCHEME}:(.*)$", 1)).otherwise(h)
-    b_netloc = url_netloc(b)
-    b_full_path = url_path(b, strip_params=False)
-    b_query = url_query(b)
+    b = _base_parts(clean_url(base))
+    h = _href_parts(clean_url(href), b["scheme"])
+    return _join(b, h, _rest_parts(h["rest"]))
 
-    r_path = F.regexp_extract(rest, "^([^?#]*)", 1)
-    r_has_query = rest.rlike(r"^[^?#]*\?")
-    r_query = url_query(rest)
-    r_frag = url_fragment(rest)
 
-    prefix = F.concat(b_scheme, F.lit("://"), b_netloc)
-    query_part = F.when(r_query != "", F.concat(F.lit("?"), r_query)).otherwise(F.lit(""))
-    frag_part = F.when(r_frag != "", F.concat(F.lit("#"), r_frag)).otherwise(F.lit(""))
+BASE_PREFIX = "_rb_"
 
-    # href without a path: base path (with its params), href query else base query
-    no_path = F.concat(
-        prefix, b_full_path,
-        F.when(r_has_query & (r_query != ""), F.concat(F.lit("?"), r_query))
-        .when(b_query != "", F.concat(F.lit("?"), b_query)).otherwise(F.lit("")),
-        frag_part)
 
-    base_parts = F.split(b_full_path, "/")
-    base_dir = F.when(F.try_element_at(base_parts, F.lit(-1)) != "",
-                      F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
-    merged = F.concat(base_dir, F.split(r_path, "/"))
-    n = F.size(merged)
-    merged = F.concat(F.slice(merged, 1, 1),
-                      F.filter(F.slice(merged, 2, n - 2), lambda s: s != ""),
-                      F.slice(merged, n, 1))
-    segments = F.when(r_path.startswith("/"), F.split(r_path, "/")).otherwise(merged)
-    joined = F.array_join(_remove_dot_segments(segments), "/")
-    joined = F.when(joined == "", F.lit("/")) \
-        .when(~joined.startswith("/"), F.concat(F.lit("/"), joined)).otherwise(joined)
-    with_path = F.concat(prefix, joined, query_part, frag_part)
+def with_base_parts(df: DataFrame, base: str, prefix: str = BASE_PREFIX) -> DataFrame:
+    """Add the parts of ``base`` as columns (once per page, before its hrefs are exploded)."""
+    df = df.withColumn(prefix + "raw", clean_url(base))
+    for name, c in _base_parts(F.col(prefix + "raw")).items():
+        if name != "raw":
+            df = df.withColumn(prefix + name, c)
+    return df
 
-    return (F.when(b == "", h)
-            .when(h == "", b)
-            .when((h_scheme != "") & (h_scheme != b_scheme), h)
-            .when(rest.startswith("//"), F.concat(b_scheme, F.lit(":"), rest))
-            .when(r_path == "", no_path)
-            .otherwise(with_path))
+
+def resolve_all(hrefs: Column, prefix: str = BASE_PREFIX) -> Column:
+    """P3 over an array of hrefs of one page: ``array<struct<href, url>>``.
+
+    The base parts are the ``with_base_parts`` columns. Each stage is one
+    ``transform`` that adds the parts of every href as struct fields, so each
+    part is computed once. Exploding the result makes ``url`` an output of the
+    generator: a later filter or join key on ``url`` cannot be rewritten into
+    a copy of this expression below it.
+    """
+    b = {k: F.col(prefix + k) for k in ("raw", "scheme", "netloc", "path", "query", "dir")}
+    s1 = F.transform(hrefs, lambda h: F.struct(h.alias("href"), clean_url(h).alias("raw")))
+    s2 = F.transform(s1, lambda x: F.struct(
+        x["href"].alias("href"), x["raw"].alias("raw"), url_scheme(x["raw"]).alias("scheme")))
+    s3 = F.transform(s2, lambda x: F.struct(
+        x["href"].alias("href"), x["raw"].alias("raw"), x["scheme"].alias("scheme"),
+        _href_parts(x["raw"], b["scheme"])["rest"].alias("rest")))
+    s4 = F.transform(s3, lambda x: F.struct(
+        x["href"].alias("href"), x["raw"].alias("raw"), x["scheme"].alias("scheme"),
+        x["rest"].alias("rest"), *[c.alias(k) for k, c in _rest_parts(x["rest"]).items()]))
+    s5 = F.transform(s4, lambda x: F.struct(
+        *[x[k].alias(k) for k in ("href", "raw", "scheme", "rest", "path", "query", "fragment")],
+        _joined_path(b, {"path": x["path"]}).alias("joined")))
+    return F.transform(s5, lambda x: F.struct(
+        x["href"].alias("href"),
+        _join(b, {"raw": x["raw"], "scheme": x["scheme"], "rest": x["rest"]},
+              {"path": x["path"], "query": x["query"], "fragment": x["fragment"]},
+              x["joined"]).alias("url")))
 
 
 def robots_url(site) -> Column:

@@ -42,12 +42,13 @@ def extract_links(fetches: DataFrame, body: str = "body", base: str = "final_url
     """G1: every ``<a href>`` of a page as a row, resolved on the page's final URL.
 
     Output: ``keep`` columns, ``pos`` (0-based order in the page), ``href``, ``url``.
-    Links are not made distinct here; U1 does that with a defined winner.
+    Links are not made distinct here; U1 does that with a defined winner. The
+    base URL is split once per page, before the explode.
     """
-    exploded = fetches.select(*keep, F.col(base).alias("_base"),
-                              F.posexplode(hrefs(body)).alias("pos", "href"))
-    return exploded.select(*keep, "pos", "href",
-                           U.url_resolve(F.col("_base"), F.col("href")).alias("url"))
+    pages = U.with_base_parts(fetches.select(*keep, F.col(base).alias("_base"), F.col(body).alias("_body")),
+                              "_base")
+    exploded = pages.select(*keep, F.posexplode(U.resolve_all(hrefs("_body"))).alias("pos", "_l"))
+    return exploded.select(*keep, "pos", F.col("_l.href").alias("href"), F.col("_l.url").alias("url"))
 
 
 def _attr(tag: Column, pattern: str) -> Column:

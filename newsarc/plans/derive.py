@@ -32,6 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a small input that arrives in fewer splits than cores.
+
+    A big table arrives in thousands of splits and is returned unchanged (no
+    shuffle); only a table read as a handful of row groups is spread
+    round-robin. The partition count is known at planning, no job runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _case(col, mapping: dict, default):
     expr = None
     for k, v in mapping.items():
@@ -55,9 +68,9 @@ def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 over every page: page_id, website, website_hash, pos, href, url."""
-    p = table(spark, sf_dir, "pages").select(
+    p = spread(table(spark, sf_dir, "pages").select(
         "page_id", "html", F.col("url").alias("page_url"),
-        U.site_root("url").alias("website"))
+        U.site_root("url").alias("website")))
     p = p.withColumn("website_hash", F.md5("website"))
     return extract_links(p, body="html", base="page_url",
                          keep=("page_id", "website", "website_hash"))
@@ -72,10 +85,10 @@ def page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text size of each page, computed in the scan (the body is dropped here)."""
-    p = table(spark, sf_dir, "pages")
-    t = html_text("html")
-    return p.select("page_id", "url", content_size(t, "words").alias("n_words"),
-                    content_size(t, "chars").alias("n_chars"))
+    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    text = p.select("page_id", "url", html_text("html").alias("_text"))
+    return text.select("page_id", "url", content_size("_text", "words").alias("n_words"),
+                       content_size("_text", "chars").alias("n_chars"))
 
 
 def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,11 +148,12 @@ ENTITY_SQL = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("
               ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
 
 
+MARKUP_SQL = "(?is)<!--.*?-->|" + "|".join(
+    f"<{tag}\\b[^>]*>.*?</{tag}\\s*>" for tag in ("script", "style", "head", "noscript")) + "|<[^>]*>"
+
+
 def html_text_sql(x: str) -> str:
-    t = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
-    for tag in ("script", "style", "head", "noscript"):
-        t = f"regexp_replace({t}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
-    t = f"regexp_replace({t}, '<[^>]*>', ' ', 'g')"
+    t = f"regexp_replace({x}, {lit(MARKUP_SQL)}, ' ', 'g')"
     for ent, ch in ENTITY_SQL:
         t = f"replace({t}, {lit(ent)}, {lit(ch)})"
     return f"trim(regexp_replace({t}, '{BLANKS}', ' ', 'g'))"
@@ -161,7 +162,7 @@ def html_text_sql(x: str) -> str:
 SIZES = f"""
 pt AS (SELECT page_id, url, {html_text_sql('html')} AS t FROM pages),
 sizes AS (SELECT page_id, url,
-          CAST(CASE WHEN t = '' THEN 0 ELSE length(t) - length(replace(t, ' ', '')) + 1 END AS INTEGER) AS n_words,
+          CAST(len(list_filter(string_split(t, ' '), lambda w: w <> '')) AS INTEGER) AS n_words,
           CAST(length(t) AS INTEGER) AS n_chars FROM pt)"""
 
 

@@ -85,3 +85,13 @@ def test_small_helpers(spark):
     assert r.k == "adn.com" and r.k2 is None
     assert str(r.t) == "2025-03-17 15:03:35"
     assert r.p == "news/AK/2025/3/7/1457d38e009ad7629a49301645869a8e"
+
+
+def test_resolve_all_matches_urljoin(spark):
+    df = spark.createDataFrame([(b, HREFS) for b in BASES], "base string, hrefs array<string>")
+    df = U.with_base_parts(df, "base")
+    got = df.select("base", F.posexplode(U.resolve_all(F.col("hrefs"))).alias("pos", "l")) \
+        .select("base", "l.href", "l.url").collect()
+    assert len(got) == len(BASES) * len(HREFS)
+    bad = [(r.base, r.href, r.url, urljoin(r.base, r.href)) for r in got if r.url != urljoin(r.base, r.href)]
+    assert not bad, bad[:10]
