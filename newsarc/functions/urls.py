@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsarc.functions.common import col_of
+from newsarc.functions.common import col_of, let
 
 # Grammar of a URL scheme, and the file names joined to a site.
 SCHEME = "[A-Za-z][A-Za-z0-9+.-]*"
@@ -199,6 +199,9 @@ def _join(b: dict, h: dict, r: dict, joined: Column | None = None) -> Column:
             .otherwise(with_path))
 
 
+BASE_PARTS = ("raw", "scheme", "netloc", "path", "query", "dir")
+
+
 def url_resolve(base, href) -> Column:
     """``urljoin(base, href)`` for hierarchical bases (http, https, ...).
 
@@ -207,13 +210,14 @@ def url_resolve(base, href) -> Column:
     href (``?q``, ``#f``) -> base path with new query/fragment; ``/x`` and
     relative paths -> merged with the base directory, dot segments removed.
 
-    One Column, fine for a few values per row. For the many hrefs of a page
-    use ``with_base_parts`` + ``resolve_all``: they compute each part once
-    instead of repeating sub-expressions.
+    The base parts are bound once (``let``) and the href goes through the
+    same staged resolution as ``resolve_all``. For the many hrefs of a page
+    use ``with_base_parts`` + ``resolve_all`` (base split once per page).
     """
-    b = _base_parts(clean_url(base))
-    h = _href_parts(clean_url(href), b["scheme"])
-    return _join(b, h, _rest_parts(h["rest"]))
+    parts = _base_parts(clean_url(base))
+    packed = F.struct(*[parts[k].alias(k) for k in BASE_PARTS])
+    return let(packed, lambda b: F.try_element_at(
+        _resolve_array(F.array(col_of(href)), {k: b[k] for k in BASE_PARTS}), F.lit(1))["url"])
 
 
 BASE_PREFIX = "_rb_"
@@ -231,13 +235,16 @@ def with_base_parts(df: DataFrame, base: str, prefix: str = BASE_PREFIX) -> Data
 def resolve_all(hrefs: Column, prefix: str = BASE_PREFIX) -> Column:
     """P3 over an array of hrefs of one page: ``array<struct<href, url>>``.
 
-    The base parts are the ``with_base_parts`` columns. Each stage is one
-    ``transform`` that adds the parts of every href as struct fields, so each
-    part is computed once. Exploding the result makes ``url`` an output of the
-    generator: a later filter or join key on ``url`` cannot be rewritten into
-    a copy of this expression below it.
+    The base parts are the ``with_base_parts`` columns. Exploding the result
+    makes ``url`` an output of the generator: a later filter or join key on
+    ``url`` cannot be rewritten into a copy of this expression below it.
     """
-    b = {k: F.col(prefix + k) for k in ("raw", "scheme", "netloc", "path", "query", "dir")}
+    return _resolve_array(hrefs, {k: F.col(prefix + k) for k in BASE_PARTS})
+
+
+def _resolve_array(hrefs: Column, b: dict[str, Column]) -> Column:
+    """Each stage is one ``transform`` adding the parts of every href as
+    struct fields, so each part is computed once."""
     s1 = F.transform(hrefs, lambda h: F.struct(h.alias("href"), clean_url(h).alias("raw")))
     s2 = F.transform(s1, lambda x: F.struct(
         x["href"].alias("href"), x["raw"].alias("raw"), url_scheme(x["raw"]).alias("scheme")))

@@ -135,9 +135,9 @@ def in_scope_flag(url, seed, include=None, exclude=None) -> Column:
     default = U.is_crawlable(u) & bare.startswith(scope_prefix(seed))
     ok = default
     if include is not None:
-        ok = ok | F.coalesce(F.exists(col_of(include), lambda r: u.rlike(r)), F.lit(False))
+        ok = ok | F.coalesce(F.exists(col_of(include), lambda r: F.regexp_like(u, r)), F.lit(False))
     if exclude is not None:
-        ok = ok & ~F.coalesce(F.exists(col_of(exclude), lambda r: u.rlike(r)), F.lit(False))
+        ok = ok & ~F.coalesce(F.exists(col_of(exclude), lambda r: F.regexp_like(u, r)), F.lit(False))
     return F.coalesce(ok, F.lit(False))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsarc.functions import urls as U
-from newsarc.functions.common import col_of
+from newsarc.functions.common import col_of, let
 
 # Patterns for the tags and attributes read from pages.
 A_HREF = r"""(?i)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
@@ -64,15 +64,19 @@ def feed_link(body, base=None, types: tuple[str, ...] = FEED_TYPES, raw: bool =
     tags = F.regexp_extract_all(col_of(body), F.lit(LINK_TAG), F.lit(0))
     infos = F.transform(tags, lambda t: F.struct(_attr(t, TYPE_ATTR).alias("type"),
                                                  _attr(t, HREF_ATTR).alias("href")))
-    picks = []
-    for t in types:
-        first = F.try_element_at(F.filter(infos, lambda x, t=t: x["type"] == F.lit(t)), 1)
-        href = first["href"]
-        picks.append(F.when(href != "", href))
-    found = F.coalesce(*picks)
+
+    def of_type(t):
+        return lambda x: x["type"] == F.lit(t)
+
+    def first_href(arr):
+        picks = [let(F.try_element_at(F.filter(arr, of_type(t)), F.lit(1)),
+                     lambda f: F.when(f["href"] != "", f["href"])) for t in types]
+        return F.coalesce(*picks)
+
+    found = let(infos, first_href)
     if raw or base is None:
         return found
-    return F.when(found.isNotNull(), U.url_resolve(col_of(base), found))
+    return U.url_resolve(col_of(base), found)
 
 
 def discover_feeds(fetches: DataFrame, body: str = "body", base: str = "final_url",
