@@ -118,3 +118,31 @@ def global_row_number(df: DataFrame, by: list[str], bucket: list[str], order: li
         .drop("_n")
     joined = local.join(counts, keys, "left")
     return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("long")).drop("_off", "_r")
+
+
+def ranked_by_range(df: DataFrame, order: list[str], by: list[str] | None = None,
+                    partitions: int | None = None, out: str = "rn") -> DataFrame:
+    """``row_number()`` over ``partitionBy(by).orderBy(order)`` for groups of any size.
+
+    The rows are range-partitioned on ``by + order`` (Spark samples the keys,
+    so even one group holding a third of the rows is cut into balanced
+    ranges), sorted inside each range and numbered there; each range then
+    adds the number of rows of its group in the ranges before it. The offset
+    table has one row per (range, group) and is the only thing combined, so
+    no task ever holds a whole group. ``order`` must make rows unique.
+    """
+    by = by or []
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = by + order
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys]).sortWithinPartitions(*keys)
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()) \
+        .withColumn("_mid", F.monotonically_increasing_id())
+    # per (range, group): first id and row count; earlier ranges of the same group give the offset
+    per = ranged.groupBy("_pid", *by).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    # one row per range and group: AQE broadcasts it when it measures small
+    joined = ranged.join(per, ["_pid", *by])
+    return joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("long")) \
+        .drop("_pid", "_mid", "_first", "_off")

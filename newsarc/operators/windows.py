@@ -41,14 +41,12 @@ def daily_quota(df: DataFrame, n: int = 200, day: str = "day",
     """The archive takes ``n`` URLs a day; the rest waits ``day_offset`` days.
 
     Order inside a day: round robin over sites (every site's first link, then
-    every site's second, ...), sites by hash. The rank is computed per
-    (day, site rank, hash prefix) plus the counts of earlier buckets, so one
-    day never lands in a single task.
+    every site's second, ...), sites by hash. The rank comes from range
+    partitions of (day, site rank, site, url), so one day, however large,
+    never lands in a single task.
     """
-    bucketed = df.withColumn("_hb", F.substring(F.col(site), 1, 2))
-    ranked = ordered.global_row_number(bucketed, [day], [site_rank, "_hb"],
-                                       [site, *order], out="quota_rank")
-    return ranked.drop("_hb").withColumn(
+    ranked = ordered.ranked_by_range(df, [site_rank, site, *order], [day], out="quota_rank")
+    return ranked.withColumn(
         "day_offset", F.floor((F.col("quota_rank") - 1) / F.lit(n)).cast("int"))
 
 

@@ -264,8 +264,7 @@ def q_daily_quota(spark, sf):
     """Documents queued for the archive, 200 a day, round robin over sources."""
     d = D.document_captures(spark, sf).withColumn("day", F.lit(D.RUN_DAY).cast("date"))
     from newsarc.operators import ordered
-    d = d.withColumn("_blk", F.floor(F.col("doc_id") / 4096))
-    ranked = ordered.global_row_number(d, ["website_hash"], ["_blk"], ["doc_id"], out="rank").drop("_blk")
+    ranked = ordered.ranked_by_range(d, ["doc_id"], ["website_hash"], out="rank")
     out = W.daily_quota(ranked, 200, "day", "rank", "website_hash", ("url",))
     return out.select("doc_id", "website_hash", "rank", "quota_rank", "day_offset")
 
