@@ -367,4 +367,22 @@ ORACLE: dict[str, str] = {
                   FROM arch GROUP BY 1)
         SELECT url, trim(output) AS archive_ref, archived_time FROM lastr
         WHERE NOT (output IS NULL OR trim(output) = '' OR contains(output, 'Error'))""",
+    "q_locate_block": f"""WITH {LINKS},
+        k AS (SELECT page_id, pos, {surt_sql('url')} AS urlkey FROM links),
+        b AS (SELECT {netloc('url')} AS block_file, min({surt_sql('url')}) AS block_from FROM pages GROUP BY 1)
+        SELECT k.page_id, k.pos, k.urlkey, b.block_file, b.block_from
+        FROM k ASOF LEFT JOIN b ON k.urlkey >= b.block_from""",
+    "q_publication_time": """SELECT event_id,
+        CASE event_type
+          WHEN 'view' THEN strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' GMT'
+          WHEN 'click' THEN strftime(ts + INTERVAL 5 HOUR, '%a, %d %b %Y %H:%M:%S') || ' +0500'
+          WHEN 'purchase' THEN strftime(ts - INTERVAL 5 HOUR, '%a, %d %b %Y %H:%M:%S') || ' EST'
+          WHEN 'signup' THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS published,
+        CASE WHEN event_type IN ('view', 'click', 'purchase', 'signup') THEN date_trunc('second', ts)
+             ELSE TIMESTAMP '2025-03-17 00:00:00' END AS publication_date
+        FROM events""",
+    "q_log_summary": f"""WITH {EC},
+        lg AS (SELECT CASE WHEN status >= 500 THEN 'error' ELSE 'info' END AS logLevel, digest AS context,
+               coalesce(mime, 'none') AS message FROM ec)
+        SELECT logLevel, context, message, count(*) AS rows FROM lg GROUP BY ROLLUP (logLevel, context, message)""",
 }

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsarc.functions import urls as U
+from newsarc.functions.content import publication_time
 from newsarc.functions.records import archive_outcome
 from newsarc.operators import aggregates as A
 from newsarc.operators import filters as FL
@@ -385,6 +386,42 @@ def q_record_captures(spark, sf):
     return out.select("url", "archive_ref", "archived_time")
 
 
+def q_locate_block(spark, sf):
+    """Each link's key in a block index with one block per host (its smallest key)."""
+    pages = D.table(spark, sf, "pages")
+    blocks = pages.groupBy(U.url_netloc("url").alias("filename")).agg(
+        F.min(surt(F.col("url"))).alias("urlkey_from"), F.count(F.lit(1)).cast("long").alias("length")) \
+        .withColumn("offset", F.lit(0).cast("long"))
+    keys = D.links(spark, sf).select("page_id", "pos", surt(F.col("url")).alias("urlkey"))
+    out = J.locate_block(keys, blocks)
+    return out.select("page_id", "pos", "urlkey", F.col("block.filename").alias("block_file"),
+                      F.col("block.urlkey_from").alias("block_from"))
+
+
+RFC822 = "EEE, dd MMM yyyy HH:mm:ss"
+
+
+def q_publication_time(spark, sf):
+    """Feed dates written four ways (GMT, +0500, EST, ISO; none for errors), parsed back."""
+    e = D.table(spark, sf, "events").select("event_id", "event_type", "ts")
+    t, kind = F.col("ts"), F.col("event_type")
+    text = (F.when(kind == "view", F.concat(F.date_format(t, RFC822), F.lit(" GMT")))
+            .when(kind == "click", F.concat(F.date_format(t + F.expr("INTERVAL 5 HOURS"), RFC822), F.lit(" +0500")))
+            .when(kind == "purchase", F.concat(F.date_format(t - F.expr("INTERVAL 5 HOURS"), RFC822), F.lit(" EST")))
+            .when(kind == "signup", F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    fallback = F.to_timestamp(F.lit(D.RUN_DAY))
+    return e.select("event_id", text.alias("published"),
+                    publication_time(text, fallback).cast("timestamp_ntz").alias("publication_date"))
+
+
+def q_log_summary(spark, sf):
+    """Events read as a crawl log: rows per level x context x message with subtotals."""
+    c = D.event_captures(spark, sf)
+    log = c.select(F.when(F.col("status") >= 500, "error").otherwise("info").alias("logLevel"),
+                   F.col("digest").alias("context"), F.coalesce("mime", F.lit("none")).alias("message"))
+    return A.log_summary(log)
+
+
 QUERIES: dict[str, Query] = {
     "q_links": q_links,
     "q_links_distinct": q_links_distinct,
@@ -437,4 +474,7 @@ QUERIES: dict[str, Query] = {
     "q_archive_outcome": q_archive_outcome,
     "q_outcome_counts": q_outcome_counts,
     "q_record_captures": q_record_captures,
+    "q_locate_block": q_locate_block,
+    "q_publication_time": q_publication_time,
+    "q_log_summary": q_log_summary,
 }
