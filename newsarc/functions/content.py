@@ -62,7 +62,7 @@ def word_count(text) -> Column:
 
 
 def content_size(text, unit: str = "words") -> Column:
-    """Size of a page text in ``words`` (README rule) or ``chars`` (code)."""
+    """Size of a page text in ``words`` (stated rule) or ``chars`` (code)."""
     if unit == "words":
         return word_count(text)
     if unit == "chars":

@@ -280,7 +280,7 @@ def cdx_time(ts14) -> Column:
 
 
 def urlkey_host(urlkey) -> Column:
-    """SURT key ``com,adn)/x`` -> ``adn.com``; NULL for ``urn:`` keys."""
+    """SURT key ``com,example)/x`` -> ``example.com``; NULL for ``urn:`` keys."""
     k = col_of(urlkey)
     host = F.array_join(F.reverse(F.split(F.split_part(k, F.lit(")"), F.lit(1)), ",")), ".")
     return F.when(~k.startswith("urn:") & k.contains(")"), host)

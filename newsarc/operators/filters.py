@@ -17,7 +17,7 @@ from newsarc.functions.common import col_of
 ARTICLE_RULES = ("base", "last_segment", "depth3", "not_home")
 
 # The content thresholds of the article test.
-MIN_WORDS = 20   # README: pages with fewer than 20 words are dropped
+MIN_WORDS = 20   # stated rule: pages with fewer than 20 words are dropped
 MIN_CHARS = 20   # code: more than 20 characters are kept
 
 
@@ -74,7 +74,7 @@ def article_url(df: DataFrame, rule: str = "base", url: str = "url",
 
 
 def enough_content_flag(size, unit: str = "words") -> Column:
-    """words >= 20 (README rule, default) or characters > 20 (code)."""
+    """words >= 20 (stated rule, default) or characters > 20 (code)."""
     s = col_of(size)
     if unit == "words":
         return F.coalesce(s >= MIN_WORDS, F.lit(False))

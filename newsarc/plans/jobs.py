@@ -182,7 +182,7 @@ def crawl_report(spark: SparkSession, collections_root: str) -> dict[str, DataFr
 
 def article_filter(links: DataFrame, fetches: DataFrame, outlets: DataFrame,
                    unit: str = "words") -> DataFrame:
-    """E7, the README's six steps: dereference (J4) -> known domain (J3) ->
+    """E7, the six filtering steps of the report: dereference (J4) -> known domain (J3) ->
     normalise and dedup (P7 + U5) -> depth and boundary (F3) -> word count (F7).
     """
     x = J.expand_urls(links, fetches, "url", out="expanded_url")

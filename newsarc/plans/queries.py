@@ -144,7 +144,7 @@ def q_html_words(spark, sf):
 
 
 def q_content_words20(spark, sf):
-    """F7, README rule: at least 20 words."""
+    """F7, the stated rule: at least 20 words."""
     return FL.enough_content(D.page_sizes(spark, sf), "n_words", "words").select("page_id", "n_words")
 
 
