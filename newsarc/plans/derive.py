@@ -39,10 +39,12 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle); only a table read as a handful of row groups is spread
     round-robin. The partition count is known at planning, no job runs.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a Spark Connect session has no RDD view: leave the plan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _case(col, mapping: dict, default):

@@ -385,4 +385,36 @@ ORACLE: dict[str, str] = {
         lg AS (SELECT CASE WHEN status >= 500 THEN 'error' ELSE 'info' END AS logLevel, digest AS context,
                coalesce(mime, 'none') AS message FROM ec)
         SELECT logLevel, context, message, count(*) AS rows FROM lg GROUP BY ROLLUP (logLevel, context, message)""",
+    "q_registry_seeds": f"""WITH {OUTLETS}
+        SELECT DISTINCT regexp_replace(website, '/+$', '') || '/' AS seed_url FROM outlets
+        WHERE website IS NOT NULL AND website <> ''""",
+    "q_exact_ok": f"""WITH {OUTLETS}
+        SELECT website_hash, website, state FROM outlets
+        WHERE media = 'newspaper' AND website_status = 200 AND website IS NOT NULL AND website <> ''""",
+    "q_feed_like": "SELECT page_id, url FROM pages WHERE contains(url, 'rss') OR contains(url, 'feed')",
+    "q_status_class": f"""WITH {EC}
+        SELECT event_id, status, CASE WHEN status IS NULL THEN NULL WHEN status BETWEEN 200 AND 299 THEN '2xx'
+                                      ELSE 'other' END AS status_class FROM ec""",
+    "q_urlkey_host": f"""WITH {EC}
+        SELECT event_id, urlkey,
+          CASE WHEN NOT starts_with(urlkey, 'urn:') AND contains(urlkey, ')')
+               THEN array_to_string(list_reverse(string_split(split_part(urlkey, ')', 1), ',')), '.') END AS host
+        FROM ec""",
+    "q_robots_urls": f"""WITH {OUTLETS}
+        SELECT website_hash, website || 'robots.txt' AS robots_url, website || 'sitemap.xml' AS sitemap_url,
+               website || 'sitemap_index.xml' AS sitemap_index_url FROM outlets""",
+    "q_first_feed": f"""WITH f AS (
+          SELECT md5({site('url')}) AS website_hash, url, page_id, CASE WHEN contains(url, 'rss') THEN 0 ELSE 1 END AS prio
+          FROM pages WHERE contains(url, 'rss') OR contains(url, 'feed'))
+        SELECT website_hash, url AS feed FROM (
+          SELECT *, row_number() OVER (PARTITION BY website_hash ORDER BY prio, page_id) AS rn FROM f) WHERE rn = 1""",
+    "q_page_resources": f"""WITH {LINKS},
+        caps AS (
+          SELECT 'page' AS kind, page_id, CAST(NULL AS INTEGER) AS pos, url, CAST(NULL AS VARCHAR) AS referrer,
+                 {lang('url')} AS mime, page_id AS ts FROM pages
+          UNION ALL
+          SELECT 'link', l.page_id, l.pos, l.url, p.url, CAST(NULL AS VARCHAR), l.page_id
+          FROM links l JOIN pages p ON l.page_id = p.page_id),
+        lastm AS (SELECT url AS page_url, arg_max(mime, ts) AS page_mime FROM caps GROUP BY 1)
+        SELECT kind, page_id, pos, url, page_mime FROM caps LEFT JOIN lastm ON caps.referrer = lastm.page_url""",
 }

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from newsarc.functions import urls as U
 from newsarc.functions.content import publication_time
-from newsarc.functions.records import archive_outcome
+from newsarc.functions.records import archive_outcome, status_class
 from newsarc.operators import aggregates as A
 from newsarc.operators import filters as FL
+from newsarc.operators import generators as G
 from newsarc.operators import joins as J
 from newsarc.operators import sets as S
 from newsarc.operators import windows as W
@@ -422,6 +423,64 @@ def q_log_summary(spark, sf):
     return A.log_summary(log)
 
 
+def q_registry_seeds(spark, sf):
+    """Seed URLs of the outlets, trailing slash forced, distinct."""
+    return G.registry_seeds(D.outlets(spark, sf))
+
+
+def q_exact_ok(spark, sf):
+    """newspapers answering 200 with a website (home pages to archive)."""
+    return FL.exact_ok(D.outlets(spark, sf)).select("website_hash", "website", "state")
+
+
+def q_feed_like(spark, sf):
+    """page URLs that look like feeds (``rss`` or ``feed`` in the text)."""
+    return FL.feed_like(D.table(spark, sf, "pages").select("page_id", "url"), "url")
+
+
+def q_status_class(spark, sf):
+    """P15 on every capture's status."""
+    c = D.event_captures(spark, sf)
+    return c.select("event_id", "status", status_class("status").alias("status_class"))
+
+
+def q_urlkey_host(spark, sf):
+    """Host of every capture key."""
+    c = D.event_captures(spark, sf)
+    return c.select("event_id", "urlkey", U.urlkey_host("urlkey").alias("host"))
+
+
+def q_robots_urls(spark, sf):
+    """P10: robots.txt and the two sitemap locations of every outlet."""
+    o = D.outlets(spark, sf)
+    maps = U.sitemap_urls("website")
+    return o.select("website_hash", U.robots_url("website").alias("robots_url"),
+                    maps[0].alias("sitemap_url"), maps[1].alias("sitemap_index_url"))
+
+
+def q_first_feed(spark, sf):
+    """Per site, the first feed-like page URL by priority (``rss`` before ``feed``), then page."""
+    p = D.table(spark, sf, "pages").select("page_id", "url")
+    f = FL.feed_like(p, "url").select(
+        F.md5(U.site_root("url")).alias("website_hash"), "url", "page_id",
+        F.when(F.col("url").contains("rss"), 0).otherwise(1).alias("prio"))
+    return W.first_by_priority(f, ["website_hash"], "url", "prio", "page_id", out="feed")
+
+
+def q_page_resources(spark, sf):
+    """Links as resources joined to the page named in their referrer (page type = language)."""
+    pages = D.page_captures(spark, sf).select(
+        F.lit("page").alias("kind"), "page_id", F.lit(None).cast("int").alias("pos"), "url",
+        F.lit(None).cast("string").alias("referrer"), "mime", F.col("page_id").alias("ts"),
+        F.lit(200).alias("status"))
+    links = D.links(spark, sf).join(
+        D.table(spark, sf, "pages").select("page_id", F.col("url").alias("referrer")), "page_id").select(
+        F.lit("link").alias("kind"), "page_id", "pos", "url", "referrer",
+        F.lit(None).cast("string").alias("mime"), F.col("page_id").alias("ts"), F.lit(200).alias("status"))
+    out = J.page_resources(pages.unionByName(links))
+    return out.select("kind", "page_id", "pos", "url", "page_mime")
+
+
 QUERIES: dict[str, Query] = {
     "q_links": q_links,
     "q_links_distinct": q_links_distinct,
@@ -477,4 +536,12 @@ QUERIES: dict[str, Query] = {
     "q_locate_block": q_locate_block,
     "q_publication_time": q_publication_time,
     "q_log_summary": q_log_summary,
+    "q_registry_seeds": q_registry_seeds,
+    "q_exact_ok": q_exact_ok,
+    "q_feed_like": q_feed_like,
+    "q_status_class": q_status_class,
+    "q_urlkey_host": q_urlkey_host,
+    "q_robots_urls": q_robots_urls,
+    "q_first_feed": q_first_feed,
+    "q_page_resources": q_page_resources,
 }
