@@ -88,9 +88,20 @@ def page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text size of each page, computed in the scan (the body is dropped here)."""
     p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    text = p.select("page_id", "url", html_text("html").alias("_text"))
-    return text.select("page_id", "url", content_size("_text", "words").alias("n_words"),
-                       content_size("_text", "chars").alias("n_chars"))
+    return with_text_sizes(p, "html", ("page_id", "url"))
+
+
+def with_text_sizes(df: DataFrame, body: str, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` + ``n_words`` + ``n_chars`` of the body's text, the text computed once.
+
+    The sizes leave through a one-row generator (``inline``), so a later
+    filter on them (F7) stays above it instead of being rewritten into a
+    second evaluation of ``html_text`` below it.
+    """
+    text = df.select(*keep, html_text(body).alias("_text"))
+    sizes = F.struct(content_size("_text", "words").alias("n_words"),
+                     content_size("_text", "chars").alias("n_chars"))
+    return text.select(*keep, F.inline(F.array(sizes)))
 
 
 def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
