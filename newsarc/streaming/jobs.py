@@ -190,3 +190,35 @@ def due_retries(spark: SparkSession, retry_root: str, now) -> DataFrame:
     last = r.groupBy("url").agg(F.max_by(F.struct("tries", "not_before", "gave_up"), F.col("batch_id")).alias("l"))
     return last.filter(~F.col("l.gave_up") & (F.col("l.not_before") <= F.lit(now).cast("timestamp"))) \
         .select("url", F.col("l.tries").alias("tries"))
+
+
+def collect_batch(outlets: DataFrame, archive_results: DataFrame, articles_root: str, seen_root: str,
+                  n: int = 5, rule: str = "base"):
+    """T1 + E2 as a ``foreachBatch`` step: each micro-batch of fetch results is one round.
+
+    The round's candidates are checked against the stored seen set, capped,
+    joined to the archive results and appended under their day partitions and
+    ``batch_id`` (a replayed batch overwrites its own partition); the new seen
+    rows are appended only when not stored yet. This is the collectors'
+    endless loop, with Spark's checkpoint in place of the loop state.
+    """
+    from newsarc.plans.jobs import collect_articles
+    from newsarc.sources.sinks import write_seen
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run_ts = batch.agg(F.max("fetched_at")).first()[0]
+        if run_ts is None:
+            return
+        seen = _stored(spark, seen_root)
+        articles, new_seen = collect_articles(outlets, batch, archive_results, run_ts,
+                                              seen.select("website_hash", "url") if seen is not None else None,
+                                              n, rule)
+        # cut the lineage once (shared checkpoint folder): both writes use the same rows
+        articles = articles.checkpoint(eager=True)
+        (articles.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("state", "year", "month", "day", "batch_id").parquet(articles_root))
+        write_seen(articles.select("website_hash", F.to_date("archived_time").alias("day"),
+                                   F.col("link").alias("url")), seen_root)
+    return sink

@@ -131,3 +131,32 @@ def test_append_is_idempotent_and_retry(spark, tmp_path):
     again = res.filter(F.col("url") == "https://a/2").withColumn("tries", F.lit(1))
     retry(again, 1)
     assert S.due_retries(spark, str(tmp_path / "retry"), _t(5)).count() == 0   # gave up after 2 tries
+
+
+def test_collect_rounds_as_a_stream(spark, tmp_path):
+    from newsarc.sources.readers import FETCHES
+    outlets = spark.createDataFrame([("AK", "newspaper", "https://a.com/", None, 200)],
+                                    "state string, media string, website string, rss array<string>, website_status int")
+    words = "<p>" + " ".join(["word"] * 25) + "</p>"
+    home1 = "".join(f'<a href="/news/story-{i}">x</a>' for i in range(4))
+    home2 = "".join(f'<a href="/news/story-{i}">x</a>' for i in range(8))
+    rounds = []
+    for r, home in ((0, home1), (1, home2)):
+        t = dt.datetime(2025, 3, 17, 10 + r)
+        rows = [("https://a.com/", None, 200, t, home, None)]
+        rows += [(f"https://a.com/news/story-{i}", None, 200, t, words, None) for i in range(8)]
+        rounds.append(rows)
+    glob = _files(spark, rounds, FETCHES, str(tmp_path / "fetches"))
+    arch = spark.createDataFrame([(f"https://a.com/news/story-{i}", f"https://web.archive.org/web/1/{i}",
+                                   dt.datetime(2025, 3, 17, 9)) for i in range(8)],
+                                 "url string, output string, called_at timestamp")
+    sink = S.collect_batch(outlets, arch, str(tmp_path / "articles"), str(tmp_path / "seen"), n=5,
+                           rule="last_segment")
+    stream = spark.readStream.schema(FETCHES).option("maxFilesPerTrigger", 1).parquet(glob)
+    q = S.start(stream, "collect_t", sink=sink, checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination()
+    arts = spark.read.parquet(str(tmp_path / "articles"))
+    per_batch = {r.batch_id: r.n for r in arts.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
+    # round 1: 4 links (all new); round 2: 8 links, 4 seen, so the 4 new ones (under the cap of 5)
+    assert per_batch == {0: 4, 1: 4}
+    assert arts.select("link").distinct().count() == 8
