@@ -146,3 +146,26 @@ def ranked_by_range(df: DataFrame, order: list[str], by: list[str] | None = None
     joined = ranged.join(per, ["_pid", *by])
     return joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("long")) \
         .drop("_pid", "_mid", "_first", "_off")
+
+
+def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, bucket: str,
+             tiebreak: str | None = None) -> DataFrame:
+    """Session windows per key, as ``session_window(ts, gap)`` defines them,
+    without sorting a whole key in one task.
+
+    A row opens a session when the key's previous row is ``gap`` or more
+    before it (``previous_value`` over time buckets); the session id is the
+    running count of openings (``running_sums``); sessions are then an
+    ordinary aggregate: start, end (last time + gap), number of rows.
+    """
+    order = [ts] + ([tiebreak] if tiebreak else [])
+    prev = previous_value(df, [key], order, bucket, ts, out="_prev")
+    opens = prev.withColumn("_open", F.when(
+        F.col("_prev").isNull()
+        | (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_prev").cast("timestamp"))
+           >= F.lit(gap_seconds * 1_000_000)), 1).otherwise(0))
+    numbered = running_sums(opens, [key], order, bucket, {"_sid": "_open"})
+    return numbered.groupBy(key, "_sid").agg(
+        F.min(ts).alias("session_start"),
+        (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
+        F.count(F.lit(1)).cast("long").alias("events")).drop("_sid")

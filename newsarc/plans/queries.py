@@ -23,7 +23,7 @@ from newsarc.plans import derive as D
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SESSION_GAP = "1 hour"
+SESSION_GAP_SECONDS = 3600
 TOP_HOSTS = 5
 
 
@@ -309,11 +309,10 @@ def q_sliding_usage(spark, sf):
 
 def q_sessions(spark, sf):
     """T6 batch twin: bursts of captures per site, a new one after an hour of quiet."""
-    c = D.event_captures(spark, sf)
-    g = c.groupBy(F.session_window("ts", SESSION_GAP).alias("s"), "urlkey").agg(
-        F.count(F.lit(1)).cast("long").alias("events"))
-    return g.select("urlkey", F.col("s.start").alias("session_start"),
-                    F.col("s.end").alias("session_end"), "events")
+    from newsarc.operators import ordered
+    c = D.event_captures(spark, sf).withColumn("_bucket", F.date_trunc("hour", "ts"))
+    out = ordered.sessions(c, "urlkey", "ts", SESSION_GAP_SECONDS, "_bucket", "event_id")
+    return out.select("urlkey", "session_start", "session_end", "events")
 
 
 def q_status_report(spark, sf):

@@ -26,9 +26,18 @@ def with_day_parts(df: DataFrame, ts: str = "archived_time") -> DataFrame:
     return df.withColumn("year", F.year(t)).withColumn("month", F.month(t)).withColumn("day", F.dayofmonth(t))
 
 
+WRITE_SALT = 8   # writer tasks one site-day may be spread over
+
+
 def _spread(df: DataFrame, parts: list[str]) -> DataFrame:
-    return df.repartition(*[F.col(c) for c in parts + ["website_hash"]]) \
-        .sortWithinPartitions(*parts, "website_hash")
+    """Repartition for writing: by the partition columns, the site, and a hash
+    salt of the row's URL, so a site-day holding a third of the rows is written
+    by ``WRITE_SALT`` tasks (as many files) instead of one."""
+    cols = [F.col(c) for c in parts + ["website_hash"]]
+    row_key = next((c for c in ("link", "url") if c in df.columns), None)
+    if row_key is not None:
+        cols.append(F.pmod(F.xxhash64(F.col(row_key)), F.lit(WRITE_SALT)))
+    return df.repartition(*cols).sortWithinPartitions(*parts, "website_hash")
 
 
 def write_registry(outlets: DataFrame, path: str, nested: bool = False) -> None:
