@@ -140,29 +140,25 @@ def page_resources(captures: DataFrame) -> DataFrame:
     return captures.join(pages, captures["referrer"] == pages["page_url"], "left")
 
 
-def locate_block(keys: DataFrame, blocks: DataFrame, key: str = "urlkey",
-                 prefix_len: int = 3) -> DataFrame:
+def locate_block(keys: DataFrame, blocks: DataFrame, key: str = "urlkey") -> DataFrame:
     """The block of the second-level index whose key range holds each key.
 
     An as-of lookup on the sorted key: the last block starting at or before
-    the key. Buckets are key prefixes, so the index is never a single task.
+    the key, over sampled key ranges (SURT keys share long prefixes such as
+    ``com,``, so prefix buckets would put most keys in one task).
     """
-    k = keys.withColumn("_b", F.substring(F.col(key), 1, prefix_len)) \
-        .withColumn("_on", F.col(key)).withColumn("_g", F.lit(0))
-    b = blocks.withColumn("_b", F.substring(F.col("urlkey_from"), 1, prefix_len)) \
-        .withColumn("_on", F.col("urlkey_from")).withColumn("_g", F.lit(0)) \
+    k = keys.withColumn("_on", F.col(key))
+    b = blocks.withColumn("_on", F.col("urlkey_from")) \
         .withColumn("_blk", F.struct("filename", "urlkey_from", "offset", "length"))
-    out = ordered.asof_lookup(k, b, ["_g"], "_on", "_b", "_blk", out="block")
-    return out.drop("_b", "_on", "_g")
+    return ordered.asof_by_range(k, b, [], "_on", "_blk", out="block").drop("_on")
 
 
 def capture_as_of(requests: DataFrame, captures: DataFrame, key: str = "urlkey",
-                  ts: str = "ts", value: tuple[str, ...] = ("ts", "digest"),
-                  bucket: str = "hour") -> DataFrame:
-    """For each request, the latest capture of its URL at or before its time."""
-    r = requests.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
-    c = captures.withColumn("_b", F.date_trunc(bucket, F.col(ts))) \
-        .withColumn("_cap", F.struct(*[F.col(v) for v in value]))
-    out = ordered.asof_lookup(r, c.select(key, ts, "_b", "_cap"), [key], ts, "_b", "_cap",
-                              out="capture")
-    return out.drop("_b")
+                  ts: str = "ts", value: tuple[str, ...] = ("ts", "digest")) -> DataFrame:
+    """For each request, the latest capture of its URL at or before its time.
+
+    Ranges of (urlkey, time) are sampled, so a URL with a third of all
+    captures is still cut into balanced pieces.
+    """
+    c = captures.withColumn("_cap", F.struct(*[F.col(v) for v in value]))
+    return ordered.asof_by_range(requests, c.select(key, ts, "_cap"), [key], ts, "_cap", out="capture")

@@ -15,11 +15,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsarc.session import ensure_checkpoint_dir
+
 
 def _cols(xs):
     return [F.col(x) for x in xs]
 
 
+def _fix(df: DataFrame) -> DataFrame:
+    """Cut the lineage of range-partitioned rows with their range ids.
+
+    The range bounds come from a sample, and the row ids from positions:
+    two branches reading the same range exchange (one pruned differently)
+    would sample again and could number rows differently. A reliable
+    checkpoint in the shared ``spark.checkpoint.dir`` fixes them once, and a
+    lost executor re-reads the same rows instead of re-sampling.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def asof_lookup(left: DataFrame, right: DataFrame, by: list[str], on: str,
                 bucket: str, value: str, out: str = "match") -> DataFrame:
     """For each left row, ``value`` of the last right row with ``right.on <= left.on``.
@@ -138,6 +153,7 @@ def ranked_by_range(df: DataFrame, order: list[str], by: list[str] | None = None
     ranged = df.repartitionByRange(n, *[F.col(c) for c in keys]).sortWithinPartitions(*keys)
     ranged = ranged.withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mid", F.monotonically_increasing_id())
+    ranged = _fix(ranged)
     # per (range, group): first id and row count; earlier ranges of the same group give the offset
     per = ranged.groupBy("_pid", *by).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -169,3 +185,35 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, bucket: str,
         F.min(ts).alias("session_start"),
         (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
         F.count(F.lit(1)).cast("long").alias("events")).drop("_sid")
+
+
+def asof_by_range(left: DataFrame, right: DataFrame, by: list[str], on: str, value: str,
+                  out: str = "match", partitions: int | None = None) -> DataFrame:
+    """As-of lookup (last right ``value`` with ``right.on <= left.on`` in the same ``by``)
+    over sampled ranges, with no bucket to choose.
+
+    Both sides are range-partitioned together on ``by + on`` (balanced even
+    when one group or one key prefix holds a third of the rows) and sorted;
+    each (range, group) forward-fills the last right value; the value that
+    crosses into a range comes from a carry table with one row per (range,
+    group). Ties resolve to the right row.
+    """
+    spark = left.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = right.select(*by, on, F.col(value).alias("_val")).withColumn("_kind", F.lit(0))
+    l_ = left.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(r.schema["_val"].dataType))
+    both = l_.unionByName(r, allowMissingColumns=True)
+    keys = by + [on, "_kind"]
+    ranged = _fix(both.repartitionByRange(n, *[F.col(c) for c in keys]).sortWithinPartitions(*keys)
+                  .withColumn("_pid", F.spark_partition_id()))
+    w = Window.partitionBy("_pid", *by).orderBy(F.col(on), F.col("_kind")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_local", F.last("_val", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+    # per (range, group): the last right value in it (NULL when it has none)
+    per = ranged.groupBy("_pid", *by).agg(
+        F.max_by(F.col("_val"), F.when(F.col("_kind") == 0, F.struct(F.col(on)))).alias("_last"))
+    wc = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.withColumn("_carry", F.last("_last", ignorenulls=True).over(wc)).select("_pid", *by, "_carry")
+    joined = local.join(carry, ["_pid", *by], "left")
+    return joined.withColumn(out, F.coalesce("_local", "_carry")) \
+        .drop("_kind", "_val", "_local", "_carry", "_pid")

@@ -46,6 +46,7 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
         except Exception:  # static conf on a running session: keep theirs
             pass
+    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -55,12 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) a private folder is made.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side owns the checkpoint folder
+        return configured
     if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="newsarc-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 

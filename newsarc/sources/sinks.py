@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsarc.functions.urls import url_hash
+from newsarc.session import ensure_checkpoint_dir
 
 DAY_PARTS = ("state", "year", "month", "day")
 
@@ -109,6 +110,7 @@ def write_site_records(records: DataFrame, root: str) -> DataFrame:
     # the anti join reads the table being appended to: cut the lineage first
     # (reliable checkpoint in the shared spark.checkpoint.dir), so the rows
     # written and the rows returned are the same
+    ensure_checkpoint_dir(spark)
     new = new.checkpoint(eager=True)
     new.write.mode("append").partitionBy(*DAY_PARTS).parquet(root)
     return new
@@ -133,4 +135,6 @@ def write_seen(seen_new: DataFrame, root: str) -> None:
     stored = _existing(spark, root, keys)
     if stored is not None:
         new = new.join(stored, keys, "left_anti")
-    new.repartition("day", "website_hash").write.mode("append").partitionBy("day").parquet(root)
+    salt = F.pmod(F.xxhash64(F.col("url")), F.lit(WRITE_SALT))
+    new.repartition(F.col("day"), F.col("website_hash"), salt) \
+        .write.mode("append").partitionBy("day").parquet(root)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from newsarc.functions.records import archive_outcome
-from newsarc.session import checkpoint_path
+from newsarc.session import checkpoint_path, ensure_checkpoint_dir
 
 
 def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | None = None,
@@ -215,6 +215,7 @@ def collect_batch(outlets: DataFrame, archive_results: DataFrame, articles_root:
                                               seen.select("website_hash", "url") if seen is not None else None,
                                               n, rule)
         # cut the lineage once (shared checkpoint folder): both writes use the same rows
+        ensure_checkpoint_dir(spark)
         articles = articles.checkpoint(eager=True)
         (articles.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
