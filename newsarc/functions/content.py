@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsarc.functions.common import col_of
+from newsarc.functions.common import col_of, let
 
 # Blocks removed with their content, entity table, blank class.
 DROPPED_BLOCKS = ("script", "style", "head", "noscript")
@@ -76,10 +76,20 @@ def publication_time(text, fallback) -> Column:
     The weekday is cut (Spark 4 cannot parse ``EEE``), zone names become
     offsets, then each layout of DATE_PATTERNS is tried.
     """
-    t = F.trim(col_of(text))
-    t = F.regexp_replace(t, r"^[A-Za-z]{3},?\s*", "")
-    for name, offset in ZONE_OFFSETS:
-        t = F.regexp_replace(t, f"\\s{name}$", f" {offset}")
-    t = F.regexp_replace(t, r"\s+", " ")
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(p)) for p in DATE_PATTERNS])
+    stripped = F.regexp_replace(F.regexp_replace(F.trim(col_of(text)), r"^[A-Za-z]{3},?\s*", ""),
+                                r"\s+", " ")
+    offsets = F.create_map(*[x for name, off in ZONE_OFFSETS for x in (F.lit(name), F.lit(off))])
+
+    def normalise(s):          # a trailing zone name becomes its offset
+        zone = F.regexp_extract(s, r" ([A-Z]{1,4})$", 1)
+        return let(F.try_element_at(offsets, zone), lambda off: F.when(
+            off.isNotNull(), F.concat(F.regexp_replace(s, r" [A-Z]{1,4}$", ""), F.lit(" "), off)).otherwise(s))
+
+    def parse(t):              # the layout family is picked by shape; each pattern sees t once
+        rfc = [F.try_to_timestamp(t, F.lit(p)) for p in DATE_PATTERNS if not p.startswith("yyyy-")]
+        iso = [F.try_to_timestamp(t, F.lit(p)) for p in DATE_PATTERNS if p.startswith("yyyy-")]
+        return (F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), F.coalesce(*iso))
+                .when(t.rlike(r"^\d{1,2} [A-Za-z]{3} \d{2}"), F.coalesce(*rfc)))
+
+    parsed = let(let(stripped, normalise), parse)
     return F.coalesce(parsed, col_of(fallback))
