@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsarc.functions import urls as U
-from newsarc.functions.common import col_of
+from newsarc.functions.common import col_of, let
 
 ARTICLE_RULES = ("base", "last_segment", "depth3", "not_home")
 
@@ -42,29 +42,29 @@ def article_flag(url, rule: str = "base", site=None) -> Column:
     depth3       depth >= 3 only
     not_home     as base, and neither the site URL nor the site's path
     """
+    if rule not in ARTICLE_RULES:
+        raise ValueError(f"rule must be one of {ARTICLE_RULES}")
+    if rule == "not_home" and site is None:
+        raise ValueError("rule 'not_home' needs the site column")
     u = col_of(url)
-    segs = U.path_segments(u)
-    depth = F.size(segs)
-    first_two = F.slice(segs, 1, 2)
-    valid = U.is_valid_url(u)
-    if rule == "base":
-        shape = (depth >= 3) | ((depth >= 1) & F.exists(first_two, U.has_word_boundary))
-    elif rule == "last_segment":
-        last = F.try_element_at(segs, F.lit(-1))
-        last_ok = U.is_numeric_segment(last) | U.has_word_boundary(last)
-        some = F.exists(first_two, lambda s: U.has_word_boundary(s) | U.is_numeric_segment(s))
-        shape = (depth >= 1) & last_ok & ((depth >= 3) | some)
-    elif rule == "depth3":
-        shape = depth >= 3
-    elif rule == "not_home":
-        if site is None:
-            raise ValueError("rule 'not_home' needs the site column")
+
+    def shape_of(segs):        # the segments are computed once and bound here
+        depth = F.size(segs)
+        first_two = F.slice(segs, 1, 2)
+        if rule == "base":
+            return (depth >= 3) | ((depth >= 1) & F.exists(first_two, U.has_word_boundary))
+        if rule == "last_segment":
+            last = F.try_element_at(segs, F.lit(-1))
+            last_ok = U.is_numeric_segment(last) | U.has_word_boundary(last)
+            some = F.exists(first_two, lambda s: U.has_word_boundary(s) | U.is_numeric_segment(s))
+            return (depth >= 1) & last_ok & ((depth >= 3) | some)
+        if rule == "depth3":
+            return depth >= 3
         s = col_of(site)
         home = (u == s) | (U.url_path(s) == U.url_path(u))
-        shape = ~home & ((depth >= 3) | ((depth >= 1) & F.exists(first_two, U.has_word_boundary)))
-    else:
-        raise ValueError(f"rule must be one of {ARTICLE_RULES}")
-    return F.coalesce(valid & shape, F.lit(False))
+        return ~home & ((depth >= 3) | ((depth >= 1) & F.exists(first_two, U.has_word_boundary)))
+
+    return F.coalesce(U.is_valid_url(u) & let(U.path_segments(u), shape_of), F.lit(False))
 
 
 def article_url(df: DataFrame, rule: str = "base", url: str = "url",
