@@ -140,26 +140,39 @@ def _remove_dot_segments(segments: Column) -> Column:
 DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
 
 
-def _base_parts(b: Column) -> dict[str, Column]:
+def _split_params(full_path: Column) -> tuple[Column, Column]:
+    """``urlparse``'s split of ``;params`` from the last segment: (path, params)."""
+    return F.regexp_replace(full_path, ";[^/]*$", ""), F.regexp_extract(full_path, ";([^/]*)$", 1)
+
+
+def _base_parts(b: Column, orig: Column | None = None) -> dict[str, Column]:
     """Parts of a (cleaned) base URL that every href resolved on it needs."""
-    full_path = url_path(b, strip_params=False)
-    parts = F.split(full_path, "/")
+    path, params = _split_params(url_path(b, strip_params=False))
+    parts = F.split(path, "/")
     base_dir = F.when(F.try_element_at(parts, F.lit(-1)) != "",
                       F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return {"raw": b, "scheme": url_scheme(b), "netloc": url_netloc(b), "path": full_path,
-            "query": url_query(b), "dir": base_dir}
+    return {"orig": b if orig is None else orig, "raw": b, "scheme": url_scheme(b),
+            "netloc": url_netloc(b), "path": path, "params": params, "query": url_query(b),
+            "dir": base_dir}
 
 
 def _href_parts(h: Column, b_scheme: Column) -> dict[str, Column]:
     """Parts of a (cleaned) href: its scheme and the text after ``scheme:``."""
     h_scheme = url_scheme(h)
-    rest = F.when(h_scheme != "", F.regexp_extract(h, f"^{SCHEME}:(.*)$", 1)).otherwise(h)
+    rest = F.when(h_scheme != "", F.regexp_extract(h, f"(?s)^{SCHEME}:(.*)$", 1)).otherwise(h)
     return {"raw": h, "scheme": h_scheme, "rest": rest}
 
 
-def _rest_parts(rest: Column) -> dict[str, Column]:
-    return {"path": F.regexp_extract(rest, "^([^?#]*)", 1), "query": url_query(rest),
-            "fragment": url_fragment(rest)}
+def _net_parts(rest: Column) -> dict[str, Column]:
+    """A ``//netloc`` at the start of the rest, and what follows it."""
+    has_net = rest.startswith("//")
+    return {"has_net": has_net, "netloc": F.regexp_extract(rest, "^//([^/?#]*)", 1),
+            "after": F.when(has_net, F.regexp_extract(rest, "(?s)^//[^/?#]*(.*)$", 1)).otherwise(rest)}
+
+
+def _rest_parts(after: Column) -> dict[str, Column]:
+    path, params = _split_params(F.regexp_extract(after, "^([^?#]*)", 1))
+    return {"path": path, "params": params, "query": url_query(after), "fragment": url_fragment(after)}
 
 
 def _joined_path(b: dict, r: dict) -> Column:
@@ -175,31 +188,37 @@ def _joined_path(b: dict, r: dict) -> Column:
         F.array_join(_remove_dot_segments(F.when(absolute, F.split(r_path, "/")).otherwise(merged)), "/"))
 
 
+def _part(sep: str, value: Column) -> Column:
+    """``sep + value``, or nothing when the value is empty (as urlunparse drops it)."""
+    return F.when(value != "", F.concat(F.lit(sep), value)).otherwise(F.lit(""))
+
+
 def _join(b: dict, h: dict, r: dict, joined: Column | None = None) -> Column:
     """The urljoin case analysis over already computed parts."""
     if joined is None:
         joined = _joined_path(b, r)
     prefix = F.concat(b["scheme"], F.lit("://"), b["netloc"])
-    query_part = F.when(r["query"] != "", F.concat(F.lit("?"), r["query"])).otherwise(F.lit(""))
-    frag_part = F.when(r["fragment"] != "", F.concat(F.lit("#"), r["fragment"])).otherwise(F.lit(""))
-    # href without a path: base path (with its params), href query else base query
+    tail = F.concat(_part(";", r["params"]), _part("?", r["query"]), _part("#", r["fragment"]))
+    # href without path and params: base path and params, href query else base query
     no_path = F.concat(
-        prefix, b["path"],
-        F.when(r["query"] != "", F.concat(F.lit("?"), r["query"]))
-        .when(b["query"] != "", F.concat(F.lit("?"), b["query"])).otherwise(F.lit("")),
-        frag_part)
+        prefix, b["path"], _part(";", b["params"]),
+        F.when(r["query"] != "", F.concat(F.lit("?"), r["query"])).otherwise(_part("?", b["query"])),
+        _part("#", r["fragment"]))
+    network = F.concat(b["scheme"], F.lit("://"), r["netloc"], r["path"], tail)
     path = F.when(joined == "", F.lit("/")) \
         .when(~joined.startswith("/"), F.concat(F.lit("/"), joined)).otherwise(joined)
-    with_path = F.concat(prefix, path, query_part, frag_part)
-    return (F.when(b["raw"] == "", h["raw"])
-            .when(h["raw"] == "", b["raw"])
-            .when((h["scheme"] != "") & (h["scheme"] != b["scheme"]), h["raw"])
-            .when(h["rest"].startswith("//"), F.concat(b["scheme"], F.lit(":"), h["rest"]))
-            .when(r["path"] == "", no_path)
+    with_path = F.concat(prefix, path, tail)
+    # urljoin returns the other argument untouched when one is empty, and the
+    # href untouched under another scheme; an href of blanks only is not empty
+    return (F.when(b["raw"] == "", h["orig"])
+            .when(h["orig"] == "", b["orig"])
+            .when((h["scheme"] != "") & (h["scheme"] != b["scheme"]), h["orig"])
+            .when(r["has_net"] & (r["netloc"] != ""), network)
+            .when((r["path"] == "") & (r["params"] == ""), no_path)
             .otherwise(with_path))
 
 
-BASE_PARTS = ("raw", "scheme", "netloc", "path", "query", "dir")
+BASE_PARTS = ("orig", "raw", "scheme", "netloc", "path", "params", "query", "dir")
 
 
 def url_resolve(base, href) -> Column:
@@ -214,7 +233,7 @@ def url_resolve(base, href) -> Column:
     same staged resolution as ``resolve_all``. For the many hrefs of a page
     use ``with_base_parts`` + ``resolve_all`` (base split once per page).
     """
-    parts = _base_parts(clean_url(base))
+    parts = _base_parts(clean_url(base), col_of(base))
     packed = F.struct(*[parts[k].alias(k) for k in BASE_PARTS])
     return let(packed, lambda b: F.try_element_at(
         _resolve_array(F.array(col_of(href)), {k: b[k] for k in BASE_PARTS}), F.lit(1))["url"])
@@ -225,9 +244,9 @@ BASE_PREFIX = "_rb_"
 
 def with_base_parts(df: DataFrame, base: str, prefix: str = BASE_PREFIX) -> DataFrame:
     """Add the parts of ``base`` as columns (once per page, before its hrefs are exploded)."""
-    df = df.withColumn(prefix + "raw", clean_url(base))
-    for name, c in _base_parts(F.col(prefix + "raw")).items():
-        if name != "raw":
+    df = df.withColumn(prefix + "orig", F.col(base)).withColumn(prefix + "raw", clean_url(base))
+    for name, c in _base_parts(F.col(prefix + "raw"), F.col(prefix + "orig")).items():
+        if name not in ("raw", "orig"):
             df = df.withColumn(prefix + name, c)
     return df
 
@@ -245,22 +264,24 @@ def resolve_all(hrefs: Column, prefix: str = BASE_PREFIX) -> Column:
 def _resolve_array(hrefs: Column, b: dict[str, Column]) -> Column:
     """Each stage is one ``transform`` adding the parts of every href as
     struct fields, so each part is computed once."""
-    s1 = F.transform(hrefs, lambda h: F.struct(h.alias("href"), clean_url(h).alias("raw")))
-    s2 = F.transform(s1, lambda x: F.struct(
-        x["href"].alias("href"), x["raw"].alias("raw"), url_scheme(x["raw"]).alias("scheme")))
+    def keep(x, names):
+        return [x[k].alias(k) for k in names]
+
+    s1 = F.transform(hrefs, lambda h: F.struct(h.alias("orig"), clean_url(h).alias("raw")))
+    s2 = F.transform(s1, lambda x: F.struct(*keep(x, ("orig", "raw")), url_scheme(x["raw"]).alias("scheme")))
     s3 = F.transform(s2, lambda x: F.struct(
-        x["href"].alias("href"), x["raw"].alias("raw"), x["scheme"].alias("scheme"),
-        _href_parts(x["raw"], b["scheme"])["rest"].alias("rest")))
+        *keep(x, ("orig", "raw", "scheme")), _href_parts(x["raw"], b["scheme"])["rest"].alias("rest")))
     s4 = F.transform(s3, lambda x: F.struct(
-        x["href"].alias("href"), x["raw"].alias("raw"), x["scheme"].alias("scheme"),
-        x["rest"].alias("rest"), *[c.alias(k) for k, c in _rest_parts(x["rest"]).items()]))
+        *keep(x, ("orig", "raw", "scheme", "rest")), *[c.alias(k) for k, c in _net_parts(x["rest"]).items()]))
     s5 = F.transform(s4, lambda x: F.struct(
-        *[x[k].alias(k) for k in ("href", "raw", "scheme", "rest", "path", "query", "fragment")],
-        _joined_path(b, {"path": x["path"]}).alias("joined")))
-    return F.transform(s5, lambda x: F.struct(
-        x["href"].alias("href"),
-        _join(b, {"raw": x["raw"], "scheme": x["scheme"], "rest": x["rest"]},
-              {"path": x["path"], "query": x["query"], "fragment": x["fragment"]},
+        *keep(x, ("orig", "raw", "scheme", "rest", "has_net", "netloc")),
+        *[c.alias(k) for k, c in _rest_parts(x["after"]).items()]))
+    names = ("orig", "raw", "scheme", "rest", "has_net", "netloc", "path", "params", "query", "fragment")
+    s6 = F.transform(s5, lambda x: F.struct(*keep(x, names), _joined_path(b, {"path": x["path"]}).alias("joined")))
+    return F.transform(s6, lambda x: F.struct(
+        x["orig"].alias("href"),
+        _join(b, {k: x[k] for k in ("orig", "raw", "scheme", "rest")},
+              {k: x[k] for k in ("has_net", "netloc", "path", "params", "query", "fragment")},
               x["joined"]).alias("url")))
 
 
