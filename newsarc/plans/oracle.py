@@ -418,3 +418,12 @@ ORACLE: dict[str, str] = {
         lastm AS (SELECT url AS page_url, arg_max(mime, ts) AS page_mime FROM caps GROUP BY 1)
         SELECT kind, page_id, pos, url, page_mime FROM caps LEFT JOIN lastm ON caps.referrer = lastm.page_url""",
 }
+
+ORACLE["q_seed_type"] = f"""WITH s AS ({ORACLE['q_in_scope']}),
+    h AS (SELECT *, CASE WHEN in_scope THEN 0 ELSE 1 END AS hops FROM s)
+    SELECT website_hash, url, origin, feed_pos, entry_pos,
+      coalesce((in_scope AND hops = 0) OR (hops >= 1 AND hops <= 0), false) AS standard,
+      coalesce((in_scope AND hops = 0) OR (hops >= 1 AND hops <= 1), false) AS standard_plus,
+      coalesce(origin = 0, false) AS one_page,
+      coalesce(origin = 0 OR origin = 1, false) AS one_page_plus
+    FROM h"""

@@ -422,6 +422,15 @@ def q_log_summary(spark, sf):
     return A.log_summary(log)
 
 
+def q_seed_type(spark, sf):
+    """which candidates each seed type would crawl (page URL = seed, depth 0; link = depth 1;
+    out of the section's scope = one hop)."""
+    c = q_in_scope(spark, sf).withColumn("depth", F.col("origin")) \
+        .withColumn("hops", F.when(F.col("in_scope"), 0).otherwise(1))
+    return c.select("website_hash", "url", "origin", "feed_pos", "entry_pos",
+                    *[FL.seed_type_flag(k, "depth", "in_scope", "hops").alias(k) for k in FL.SEED_TYPES])
+
+
 def q_registry_seeds(spark, sf):
     """Seed URLs of the outlets, trailing slash forced, distinct."""
     return G.registry_seeds(D.outlets(spark, sf))
@@ -536,6 +545,7 @@ QUERIES: dict[str, Query] = {
     "q_publication_time": q_publication_time,
     "q_log_summary": q_log_summary,
     "q_registry_seeds": q_registry_seeds,
+    "q_seed_type": q_seed_type,
     "q_exact_ok": q_exact_ok,
     "q_feed_like": q_feed_like,
     "q_status_class": q_status_class,
