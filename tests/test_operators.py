@@ -338,3 +338,16 @@ def test_collect_and_filter_jobs(spark):
                                    ("https://q.com/a-b",)], "url string")
     kept = [r.norm_url for r in E.article_filter(links, fetches, outlets).collect()]
     assert kept == ["https://b.com/x-y"]
+
+
+def test_feed_for_outlet_chain(spark):
+    outlets = spark.createDataFrame(
+        [("https://a/", ["https://a/own"]), ("https://b/", []), ("https://c/", None), ("https://d/", None)],
+        "website string, rss array<string>")
+    html = spark.createDataFrame([("https://b/", "https://b/feed"), ("https://a/", "https://a/other")],
+                                 "website string, feed string")
+    smap = spark.createDataFrame([("https://b/", "https://b/rss2"), ("https://c/", "https://c/rss"),
+                                  ("https://c/", "https://c/feed")], "website string, feed string")
+    got = {r.website: r.feeds for r in J.feed_for_outlet(outlets, html, smap).collect()}
+    assert got == {"https://a/": ["https://a/own"], "https://b/": ["https://b/feed"],
+                   "https://c/": ["https://c/feed", "https://c/rss"], "https://d/": []}

@@ -152,7 +152,8 @@ def test_collect_rounds_as_a_stream(spark, tmp_path):
                                  "url string, output string, called_at timestamp")
     sink = S.collect_batch(outlets, arch, str(tmp_path / "articles"), str(tmp_path / "seen"), n=5,
                            rule="last_segment")
-    stream = spark.readStream.schema(FETCHES).option("maxFilesPerTrigger", 1).parquet(glob)
+    from newsarc.sources.readers import stream_fetches
+    stream = stream_fetches(spark, glob, max_files=1)
     q = S.start(stream, "collect_t", sink=sink, checkpoint=str(tmp_path / "ck"))
     q.awaitTermination()
     arts = spark.read.parquet(str(tmp_path / "articles"))
