@@ -105,6 +105,10 @@ def collect_articles(outlets: DataFrame, fetches: DataFrame, archive_results: Da
     site = "website" if rule == "not_home" else None
     c = c.filter(FL.article_flag("expanded_url", rule, site))
     if seen is not None:
+        # the seen set is kept per site and day: only the run's day counts
+        # (and, ``day`` being a partition column, only that day is read)
+        if "day" in seen.columns:
+            seen = seen.filter(F.col("day") == F.to_date(run))
         c = J.drop_seen(c, seen.select("website_hash", "url"))
     sizes = fetches.select(F.col("url").alias("expanded_url"),
                            content_size(html_text("body"), unit).alias("content_size"))

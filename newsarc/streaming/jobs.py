@@ -113,8 +113,10 @@ def cap_batch(root: str, n: int = 5, site: str = "website_hash", rnd: str = "rou
         stored = _stored(spark, root)
         keys = [site, rnd]
         if stored is not None:
-            used = stored.filter(F.col("batch_id") != batch_id).groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("_used"))
+            # only the rounds of this batch are read (the sink is partitioned by round)
+            rounds = [r[0] for r in batch.select(rnd).distinct().collect()]
+            used = stored.filter(F.col(rnd).isin(rounds) & (F.col("batch_id") != batch_id)) \
+                .groupBy(*keys).agg(F.count(F.lit(1)).alias("_used"))
             cand = batch.join(used, keys, "left")
         else:
             cand = batch.withColumn("_used", F.lit(0).cast("long"))
@@ -124,7 +126,7 @@ def cap_batch(root: str, n: int = 5, site: str = "website_hash", rnd: str = "rou
             .withColumn("rank", (F.col("_r") + F.coalesce(F.col("_used"), F.lit(0))).cast("int")) \
             .drop("_r", "_used")
         (ranked.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(root))
+         .option("partitionOverwriteMode", "dynamic").partitionBy(rnd, "batch_id").parquet(root))
     return sink
 
 
@@ -211,9 +213,7 @@ def collect_batch(outlets: DataFrame, archive_results: DataFrame, articles_root:
         if run_ts is None:
             return
         seen = _stored(spark, seen_root)
-        articles, new_seen = collect_articles(outlets, batch, archive_results, run_ts,
-                                              seen.select("website_hash", "url") if seen is not None else None,
-                                              n, rule)
+        articles, new_seen = collect_articles(outlets, batch, archive_results, run_ts, seen, n, rule)
         # cut the lineage once (shared checkpoint folder): both writes use the same rows
         ensure_checkpoint_dir(spark)
         articles = articles.checkpoint(eager=True)
