@@ -134,7 +134,9 @@ def write_seen(seen_new: DataFrame, root: str) -> None:
     new = seen_new.select(*keys).distinct()
     stored = _existing(spark, root, keys)
     if stored is not None:
-        new = new.join(stored, keys, "left_anti")
+        # only the days being written are read back (``day`` is the partition column)
+        days = [r[0] for r in new.select("day").distinct().collect()]
+        new = new.join(stored.filter(F.col("day").isin(days)), keys, "left_anti")
     salt = F.pmod(F.xxhash64(F.col("url")), F.lit(WRITE_SALT))
     new.repartition(F.col("day"), F.col("website_hash"), salt) \
         .write.mode("append").partitionBy("day").parquet(root)
