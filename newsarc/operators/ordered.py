@@ -1,13 +1,19 @@
-"""Skew-safe ordered operations: as-of lookup, previous value, running sum, global rank.
+"""Skew-safe ordered operations over range partitions: previous value, running
+sums, row numbers, as-of lookup, sessions.
 
 A window ``partitionBy(key).orderBy(ts)`` sends every row of a key to one
 task; with one key holding a third of the rows that task holds a third of
-the data. These helpers split each key into buckets (a time bucket or a key
-prefix), do the ordered work inside ``(key, bucket)`` and carry what crosses
-a bucket border through a summary with one row per ``(key, bucket)``. The
-summary is small (buckets, not rows), so its own window is cheap even for the
-hottest key, and it is joined back on ``(key, bucket)`` (AQE splits a skewed
-side of that join).
+the data. Here the rows are range-partitioned on ``key + order`` instead:
+Spark samples the sort key, so even the hottest key is cut into balanced,
+contiguous ranges. Each range does the ordered work for the keys inside it
+(a window over ``(range, key)``), and what crosses a range border comes from
+a carry table with one row per ``(range, key)`` -- as many rows as ranges,
+never as many as data -- joined back on ``(range, key)``.
+
+The range id of a row comes from a sample; two plans reading the same
+exchange could sample again and disagree. The ranged rows are therefore cut
+once by a reliable ``checkpoint()`` in the shared ``spark.checkpoint.dir``:
+every branch, and every retry after a lost executor, reads the same ranges.
 """
 
 from __future__ import annotations
@@ -22,198 +28,106 @@ def _cols(xs):
     return [F.col(x) for x in xs]
 
 
-def _fix(df: DataFrame) -> DataFrame:
-    """Cut the lineage of range-partitioned rows with their range ids.
-
-    The range bounds come from a sample, and the row ids from positions:
-    two branches reading the same range exchange (one pruned differently)
-    would sample again and could number rows differently. A reliable
-    checkpoint in the shared ``spark.checkpoint.dir`` fixes them once, and a
-    lost executor re-reads the same rows instead of re-sampling.
-    """
+def ranged(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``keys``, with its range id ``_pid``, fixed."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartitionByRange(n, *_cols(keys)).sortWithinPartitions(*keys) \
+        .withColumn("_pid", F.spark_partition_id())
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return out.checkpoint(eager=True)
 
 
-def asof_lookup(left: DataFrame, right: DataFrame, by: list[str], on: str,
-                bucket: str, value: str, out: str = "match") -> DataFrame:
-    """For each left row, ``value`` of the last right row with ``right.on <= left.on``.
-
-    Both sides hold columns ``by``, ``on``, ``bucket`` (a coarse, monotone
-    function of ``on``, e.g. the hour), and right holds ``value`` (any type,
-    e.g. a struct). Ties on ``on`` resolve to the right row (it is "at or
-    before"). Left rows with no earlier right row get NULL.
-    """
-    keys = by + [bucket]
-    l_tag = left.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None))
-    r_tag = right.select(*keys, on, F.col(value).alias("_val")).withColumn("_kind", F.lit(0))
-    l_tag = l_tag.withColumn("_val", F.lit(None).cast(r_tag.schema["_val"].dataType))
-    both = l_tag.unionByName(r_tag, allowMissingColumns=True)
-
-    w_local = Window.partitionBy(*keys).orderBy(F.col(on), F.col("_kind")) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = both.withColumn("_local", F.last("_val", ignorenulls=True).over(w_local)) \
-        .filter(F.col("_kind") == 1)
-
-    # last right value of each (key, bucket), then the value carried into each bucket
-    last_in_bucket = right.groupBy(*keys).agg(
-        F.max_by(F.col(value), F.col(on)).alias("_last"))
-    buckets = left.select(*keys).distinct().withColumn(
-        "_last", F.lit(None).cast(last_in_bucket.schema["_last"].dataType))
-    summary = last_in_bucket.unionByName(buckets).groupBy(*keys).agg(F.max("_last").alias("_last"))
-    w_carry = Window.partitionBy(*by).orderBy(bucket) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.withColumn("_carry", F.last("_last", ignorenulls=True).over(w_carry)) \
-        .select(*keys, "_carry")
-
-    joined = local.join(carry, keys, "left")
-    return joined.withColumn(out, F.coalesce("_local", "_carry")) \
-        .drop("_kind", "_val", "_local", "_carry")
-
-
-def previous_value(df: DataFrame, by: list[str], order: list[str], bucket: str,
-                   value: str, out: str = "prev") -> DataFrame:
-    """``lag(value)`` over ``partitionBy(by).orderBy(order)`` done per (by, bucket).
-
-    ``bucket`` must be monotone in ``order`` (its first column's coarse form).
-    """
-    keys = by + [bucket]
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    local = df.withColumn("_lag", F.lag(value).over(w)) \
-        .withColumn("_first", F.row_number().over(w) == 1)
-    order_struct = F.struct(*_cols(order))
-    last_in_bucket = df.groupBy(*keys).agg(F.max_by(F.col(value), order_struct).alias("_last"))
-    w_carry = Window.partitionBy(*by).orderBy(bucket)
-    carry = last_in_bucket.withColumn("_carry", F.lag("_last").over(w_carry)).select(*keys, "_carry")
-    joined = local.join(carry, keys, "left")
-    return joined.withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))) \
+def _prev_in_ranges(r: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    w = Window.partitionBy("_pid", *by).orderBy(*_cols(order))
+    local = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    last = r.groupBy("_pid", *by).agg(F.max_by(F.col(value), F.struct(*_cols(order))).alias("_last"))
+    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*by).orderBy("_pid"))) \
+        .select("_pid", *by, "_carry")
+    return local.join(carry, ["_pid", *by], "left") \
+        .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))) \
         .drop("_lag", "_first", "_carry")
 
 
-def running_sums(df: DataFrame, by: list[str], order: list[str], bucket: str,
-                 values: dict[str, str]) -> DataFrame:
-    """Cumulative sums ``{out: column}`` over ``partitionBy(by).orderBy(order)``.
-
-    Inside a bucket a rows-window sum; across buckets the totals of earlier
-    buckets, summed over the small per-bucket summary.
-    """
-    keys = by + [bucket]
-    w = Window.partitionBy(*keys).orderBy(*_cols(order)) \
+def _sums_in_ranges(r: DataFrame, by: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
+    w = Window.partitionBy("_pid", *by).orderBy(*_cols(order)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df
-    for out, src in values.items():
-        local = local.withColumn(f"_l_{out}", F.sum(src).over(w))
-    totals = df.groupBy(*keys).agg(*[F.sum(src).alias(f"_t_{out}") for out, src in values.items()])
-    w_before = Window.partitionBy(*by).orderBy(bucket) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    for out in values:
-        totals = totals.withColumn(f"_b_{out}", F.coalesce(F.sum(f"_t_{out}").over(w_before), F.lit(0)))
-    totals = totals.select(*keys, *[f"_b_{out}" for out in values])
-    joined = local.join(totals, keys, "left")
-    for out in values:
-        joined = joined.withColumn(out, F.col(f"_b_{out}") + F.col(f"_l_{out}")) \
-            .drop(f"_b_{out}", f"_l_{out}")
+    local = r
+    for o, src in values.items():
+        local = local.withColumn(f"_l_{o}", F.sum(src).over(w))
+    totals = r.groupBy("_pid", *by).agg(*[F.sum(src).alias(f"_t_{o}") for o, src in values.items()])
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    for o in values:
+        totals = totals.withColumn(f"_b_{o}", F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)))
+    totals = totals.select("_pid", *by, *[f"_b_{o}" for o in values])
+    joined = local.join(totals, ["_pid", *by], "left")
+    for o in values:
+        joined = joined.withColumn(o, F.col(f"_b_{o}") + F.col(f"_l_{o}")).drop(f"_b_{o}", f"_l_{o}")
     return joined
 
 
-def global_row_number(df: DataFrame, by: list[str], bucket: list[str], order: list[str],
-                      out: str = "rn") -> DataFrame:
-    """``row_number()`` over ``partitionBy(by).orderBy(bucket + order)`` without
-    sending a whole ``by`` group to one task.
+def previous_value(df: DataFrame, by: list[str], order: list[str], value: str,
+                   out: str = "prev") -> DataFrame:
+    """``lag(value)`` over ``partitionBy(by).orderBy(order)``; ``order`` makes rows unique."""
+    return _prev_in_ranges(ranged(df, by + order), by, order, value, out).drop("_pid")
 
-    Rank inside ``(by, bucket)`` plus the row count of all earlier buckets.
-    """
-    keys = by + bucket
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    local = df.withColumn("_r", F.row_number().over(w))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    w_before = Window.partitionBy(*by).orderBy(*_cols(bucket)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_before), F.lit(0))) \
-        .drop("_n")
-    joined = local.join(counts, keys, "left")
-    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("long")).drop("_off", "_r")
+
+def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
+    """Cumulative sums ``{out: column}`` over ``partitionBy(by).orderBy(order)``."""
+    return _sums_in_ranges(ranged(df, by + order), by, order, values).drop("_pid")
 
 
 def ranked_by_range(df: DataFrame, order: list[str], by: list[str] | None = None,
                     partitions: int | None = None, out: str = "rn") -> DataFrame:
     """``row_number()`` over ``partitionBy(by).orderBy(order)`` for groups of any size.
 
-    The rows are range-partitioned on ``by + order`` (Spark samples the keys,
-    so even one group holding a third of the rows is cut into balanced
-    ranges), sorted inside each range and numbered there; each range then
-    adds the number of rows of its group in the ranges before it. The offset
-    table has one row per (range, group) and is the only thing combined, so
-    no task ever holds a whole group. ``order`` must make rows unique.
+    Inside a range the rows are numbered in order; each range adds the rows of
+    its group in the ranges before it. ``order`` must make rows unique.
     """
     by = by or []
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = by + order
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys]).sortWithinPartitions(*keys)
-    ranged = ranged.withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mid", F.monotonically_increasing_id())
-    ranged = _fix(ranged)
-    # per (range, group): first id and row count; earlier ranges of the same group give the offset
-    per = ranged.groupBy("_pid", *by).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    # one row per range and group: AQE broadcasts it when it measures small
-    joined = ranged.join(per, ["_pid", *by])
-    return joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("long")) \
-        .drop("_pid", "_mid", "_first", "_off")
-
-
-def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, bucket: str,
-             tiebreak: str | None = None) -> DataFrame:
-    """Session windows per key, as ``session_window(ts, gap)`` defines them,
-    without sorting a whole key in one task.
-
-    A row opens a session when the key's previous row is ``gap`` or more
-    before it (``previous_value`` over time buckets); the session id is the
-    running count of openings (``running_sums``); sessions are then an
-    ordinary aggregate: start, end (last time + gap), number of rows.
-    """
-    order = [ts] + ([tiebreak] if tiebreak else [])
-    prev = previous_value(df, [key], order, bucket, ts, out="_prev")
-    opens = prev.withColumn("_open", F.when(
-        F.col("_prev").isNull()
-        | (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_prev").cast("timestamp"))
-           >= F.lit(gap_seconds * 1_000_000)), 1).otherwise(0))
-    numbered = running_sums(opens, [key], order, bucket, {"_sid": "_open"})
-    return numbered.groupBy(key, "_sid").agg(
-        F.min(ts).alias("session_start"),
-        (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
-        F.count(F.lit(1)).cast("long").alias("events")).drop("_sid")
+    r = ranged(df.withColumn("_one", F.lit(1)), by + order, partitions)
+    return _sums_in_ranges(r, by, order, {out: "_one"}).withColumn(out, F.col(out).cast("long")) \
+        .drop("_pid", "_one")
 
 
 def asof_by_range(left: DataFrame, right: DataFrame, by: list[str], on: str, value: str,
                   out: str = "match", partitions: int | None = None) -> DataFrame:
-    """As-of lookup (last right ``value`` with ``right.on <= left.on`` in the same ``by``)
-    over sampled ranges, with no bucket to choose.
-
-    Both sides are range-partitioned together on ``by + on`` (balanced even
-    when one group or one key prefix holds a third of the rows) and sorted;
-    each (range, group) forward-fills the last right value; the value that
-    crosses into a range comes from a carry table with one row per (range,
-    group). Ties resolve to the right row.
+    """As-of lookup: for each left row, the ``value`` of the last right row with
+    ``right.on <= left.on`` in the same ``by`` group (ties go to the right row).
+
+    Lookups and facts are range-partitioned together; each (range, group)
+    forward-fills the last fact; the fact crossing into a range comes from the
+    carry table.
     """
-    spark = left.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = right.select(*by, on, F.col(value).alias("_val")).withColumn("_kind", F.lit(0))
     l_ = left.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(r.schema["_val"].dataType))
-    both = l_.unionByName(r, allowMissingColumns=True)
-    keys = by + [on, "_kind"]
-    ranged = _fix(both.repartitionByRange(n, *[F.col(c) for c in keys]).sortWithinPartitions(*keys)
-                  .withColumn("_pid", F.spark_partition_id()))
+    both = ranged(l_.unionByName(r, allowMissingColumns=True), by + [on, "_kind"], partitions)
     w = Window.partitionBy("_pid", *by).orderBy(F.col(on), F.col("_kind")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_local", F.last("_val", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
-    # per (range, group): the last right value in it (NULL when it has none)
-    per = ranged.groupBy("_pid", *by).agg(
+    local = both.withColumn("_local", F.last("_val", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+    per = both.groupBy("_pid", *by).agg(
         F.max_by(F.col("_val"), F.when(F.col("_kind") == 0, F.struct(F.col(on)))).alias("_last"))
     wc = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = per.withColumn("_carry", F.last("_last", ignorenulls=True).over(wc)).select("_pid", *by, "_carry")
-    joined = local.join(carry, ["_pid", *by], "left")
-    return joined.withColumn(out, F.coalesce("_local", "_carry")) \
+    return local.join(carry, ["_pid", *by], "left") \
+        .withColumn(out, F.coalesce("_local", "_carry")) \
         .drop("_kind", "_val", "_local", "_carry", "_pid")
+
+
+def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, tiebreak: str | None = None) -> DataFrame:
+    """Session windows per key, as ``session_window(ts, gap)`` defines them.
+
+    One range partitioning serves both steps: a row opens a session when the
+    key's previous row is ``gap`` or more before it; the session id is the
+    running count of openings; sessions are then an ordinary aggregate.
+    """
+    order = [ts] + ([tiebreak] if tiebreak else [])
+    r = ranged(df, [key] + order)
+    prev = _prev_in_ranges(r, [key], order, ts, "_prev")
+    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_prev").cast("timestamp"))
+    opens = prev.withColumn("_open", F.when(F.col("_prev").isNull() | (gap >= gap_seconds * 1_000_000), 1)
+                            .otherwise(0))
+    numbered = _sums_in_ranges(opens, [key], order, {"_sid": "_open"})
+    return numbered.groupBy(key, "_sid").agg(
+        F.min(ts).alias("session_start"),
+        (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
+        F.count(F.lit(1)).cast("long").alias("events")).drop("_sid")

@@ -58,29 +58,25 @@ def first_by_priority(df: DataFrame, key: list[str], value: str, prio: str, pos:
 
 
 def capture_changes(captures: DataFrame, key: str = "urlkey", ts: str = "ts",
-                    digest: str = "digest", tiebreak: str | None = None,
-                    bucket: str = "hour") -> DataFrame:
+                    digest: str = "digest", tiebreak: str | None = None) -> DataFrame:
     """Per URL over time, each capture is ``first``, ``changed`` or ``unchanged``
-    against the previous capture's digest.
-    """
+    against the previous capture's digest (over range partitions: no URL is
+    ever sorted whole in one task)."""
     order = [ts] + ([tiebreak] if tiebreak else [])
-    b = captures.withColumn("_bucket", F.date_trunc(bucket, F.col(ts)))
-    prev = ordered.previous_value(b, [key], order, "_bucket", digest, out="prev_digest")
+    prev = ordered.previous_value(captures, [key], order, digest, out="prev_digest")
     change = (F.when(F.col("prev_digest").isNull(), F.lit("first"))
               .when(F.col("prev_digest") == F.col(digest), F.lit("unchanged"))
               .otherwise(F.lit("changed")))
-    return prev.drop("_bucket").withColumn("change", change)
+    return prev.withColumn("change", change)
 
 
 def crawl_progress(captures: DataFrame, crawl: str = "collection", ts: str = "ts",
-                   length: str = "length", tiebreak: str | None = None,
-                   bucket: str = "hour") -> DataFrame:
+                   length: str = "length", tiebreak: str | None = None) -> DataFrame:
     """Cumulative documents and bytes of each crawl over time."""
     order = [ts] + ([tiebreak] if tiebreak else [])
-    b = captures.withColumn("_bucket", F.date_trunc(bucket, F.col(ts))).withColumn("_one", F.lit(1))
-    out = ordered.running_sums(b, [crawl], order, "_bucket",
+    out = ordered.running_sums(captures.withColumn("_one", F.lit(1)), [crawl], order,
                                {"cum_docs": "_one", "cum_bytes": length})
-    return out.drop("_bucket", "_one").withColumn("cum_docs", F.col("cum_docs").cast("long"))
+    return out.drop("_one").withColumn("cum_docs", F.col("cum_docs").cast("long"))
 
 
 def top_n(df: DataFrame, by: str, n: int, tiebreak: str | None = None) -> DataFrame:

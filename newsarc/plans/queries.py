@@ -310,8 +310,8 @@ def q_sliding_usage(spark, sf):
 def q_sessions(spark, sf):
     """T6 batch twin: bursts of captures per site, a new one after an hour of quiet."""
     from newsarc.operators import ordered
-    c = D.event_captures(spark, sf).withColumn("_bucket", F.date_trunc("hour", "ts"))
-    out = ordered.sessions(c, "urlkey", "ts", SESSION_GAP_SECONDS, "_bucket", "event_id")
+    c = D.event_captures(spark, sf)
+    out = ordered.sessions(c, "urlkey", "ts", SESSION_GAP_SECONDS, "event_id")
     return out.select("urlkey", "session_start", "session_end", "events")
 
 

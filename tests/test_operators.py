@@ -212,7 +212,7 @@ def test_ordered_helpers_match_brute_force(spark):
         else:
             assert pdf.set_index("id").loc[got[r.id], "ts"] == pdf.set_index("id").loc[want, "ts"]
 
-    rn = O.global_row_number(df.withColumn("b", F.floor(F.col("id") / 50)), ["urlkey"], ["b"], ["id"])
+    rn = O.ranked_by_range(df, ["id"], ["urlkey"])
     for key, g in pd.DataFrame([r.asDict() for r in rn.select("urlkey", "id", "rn").collect()]).groupby("urlkey"):
         assert list(g.sort_values("id")["rn"]) == list(range(1, len(g) + 1))
 
