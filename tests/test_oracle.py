@@ -30,3 +30,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["website_hash", "url", "origin", "rank"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def test_column_types_match_oracle(spark, con):
+    bad = {}
+    for name, fn in QUERIES.items():
+        spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in fn(spark, SF_SMALL).schema.fields}
+        rel = con.sql(ORACLE[name])
+        duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if spark_types != duck_types:
+            bad[name] = (spark_types, duck_types)
+    assert not bad, bad
