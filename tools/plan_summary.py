@@ -18,8 +18,13 @@ KINDS = ("Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange Si
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = set(sys.argv[2:])
+    args = [a for a in sys.argv[1:] if a != "--markdown"]
+    markdown = "--markdown" in sys.argv
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    only = set(args[1:])
+    if markdown:
+        print("| query | physical operators (static plan, AQE off) | columns read | pushed filters |")
+        print("| --- | --- | --- | --- |")
     from newsarc.plans.queries import QUERIES
     from newsarc.session import build_session
     spark = build_session("local[8]", 8, "plans")
@@ -32,7 +37,14 @@ def main():
         counts = {k: v for k, v in counts.items() if v}
         scans = sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan)))
         pushed = sorted(set(x for x in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if x))
-        print(name, counts, "scan:", scans, "pushed:", pushed)
+        if markdown:
+            short = {k.replace("Exchange ", "").replace("partitioning", "").replace("Partitioning", ""): v
+                     for k, v in counts.items()}
+            cell = ", ".join(f"{k} {v}" for k, v in short.items()) or "—"
+            cols = "; ".join(s[len("struct<"):-1] for s in scans) or "(checkpointed ranges)"
+            print(f"| `{name}` | {cell} | {cols} | {'; '.join(pushed) or '—'} |")
+        else:
+            print(name, counts, "scan:", scans, "pushed:", pushed)
     spark.stop()
 
 
