@@ -116,17 +116,31 @@ def asof_by_range(left: DataFrame, right: DataFrame, by: list[str], on: str, val
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, tiebreak: str | None = None) -> DataFrame:
     """Session windows per key, as ``session_window(ts, gap)`` defines them.
 
-    One range partitioning serves both steps: a row opens a session when the
-    key's previous row is ``gap`` or more before it; the session id is the
-    running count of openings; sessions are then an ordinary aggregate.
+    A row opens a session when the key's previous row is ``gap`` or more
+    before it; the session id is the running count of openings. One window
+    pass over each (range, key) finds the openings after the range's first
+    row and their running count; a table with one row per (range, key) then
+    settles whether each range's first row opens a session (against the last
+    time of the key's previous range) and how many sessions came before it.
+    Sessions are finally an ordinary aggregate.
     """
     order = [ts] + ([tiebreak] if tiebreak else [])
-    r = ranged(df, [key] + order)
-    prev = _prev_in_ranges(r, [key], order, ts, "_prev")
-    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_prev").cast("timestamp"))
-    opens = prev.withColumn("_open", F.when(F.col("_prev").isNull() | (gap >= gap_seconds * 1_000_000), 1)
-                            .otherwise(0))
-    numbered = _sums_in_ranges(opens, [key], order, {"_sid": "_open"})
+    gap_us = gap_seconds * 1_000_000
+    r = ranged(df, [key] + order).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    w = Window.partitionBy("_pid", key).orderBy(*_cols(order))
+    lag_us = F.lag("_us").over(w)
+    local = r.withColumn("_open", F.when(lag_us.isNotNull() & (F.col("_us") - lag_us >= gap_us), 1).otherwise(0)) \
+        .withColumn("_cum", F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    per = local.groupBy("_pid", key).agg(F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"),
+                                          F.sum("_open").alias("_opens"))
+    wk = Window.partitionBy(key).orderBy("_pid")
+    prev_last = F.lag("_last_us").over(wk)
+    per = per.withColumn("_first_open", F.when(prev_last.isNull() | (F.col("_first_us") - prev_last >= gap_us), 1)
+                         .otherwise(0))
+    per = per.withColumn("_before", F.coalesce(
+        F.sum(F.col("_first_open") + F.col("_opens")).over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    numbered = local.join(per.select("_pid", key, "_first_open", "_before"), ["_pid", key], "left") \
+        .withColumn("_sid", F.col("_before") + F.col("_first_open") + F.col("_cum"))
     return numbered.groupBy(key, "_sid").agg(
         F.min(ts).alias("session_start"),
         (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),

@@ -351,3 +351,22 @@ def test_feed_for_outlet_chain(spark):
     got = {r.website: r.feeds for r in J.feed_for_outlet(outlets, html, smap).collect()}
     assert got == {"https://a/": ["https://a/own"], "https://b/": ["https://b/feed"],
                    "https://c/": ["https://c/feed", "https://c/rss"], "https://d/": []}
+
+
+def test_sessions_brute_force(spark):
+    rows = _rand_events(800, seed=11)
+    df = spark.createDataFrame(rows, "id long, urlkey string, ts timestamp, digest string, length long")
+    got = sorted((r.urlkey, r.session_start, r.events) for r in O.sessions(df, "urlkey", "ts", 3600, "id").collect())
+    want = []
+    pdf = pd.DataFrame(rows, columns=["id", "urlkey", "ts", "digest", "length"]).sort_values(["urlkey", "ts", "id"])
+    for key, g in pdf.groupby("urlkey"):
+        start, prev, n = None, None, 0
+        for t in g["ts"]:
+            if prev is None or (t - prev).total_seconds() >= 3600:
+                if start is not None:
+                    want.append((key, start.to_pydatetime(), n))
+                start, n = t, 0
+            n += 1
+            prev = t
+        want.append((key, start.to_pydatetime(), n))
+    assert got == sorted(want)
