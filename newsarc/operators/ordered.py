@@ -40,7 +40,8 @@ def ranged(df: DataFrame, keys: list[str], partitions: int | None = None) -> Dat
 def _prev_in_ranges(r: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
     w = Window.partitionBy("_pid", *by).orderBy(*_cols(order))
     local = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    last = r.groupBy("_pid", *by).agg(F.max_by(F.col(value), F.struct(*_cols(order))).alias("_last"))
+    # aggregated from the windowed rows: already partitioned by (range, key), no new shuffle
+    last = local.groupBy("_pid", *by).agg(F.max_by(F.col(value), F.struct(*_cols(order))).alias("_last"))
     carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*by).orderBy("_pid"))) \
         .select("_pid", *by, "_carry")
     return local.join(carry, ["_pid", *by], "left") \
@@ -54,7 +55,7 @@ def _sums_in_ranges(r: DataFrame, by: list[str], order: list[str], values: dict[
     local = r
     for o, src in values.items():
         local = local.withColumn(f"_l_{o}", F.sum(src).over(w))
-    totals = r.groupBy("_pid", *by).agg(*[F.sum(src).alias(f"_t_{o}") for o, src in values.items()])
+    totals = local.groupBy("_pid", *by).agg(*[F.sum(src).alias(f"_t_{o}") for o, src in values.items()])
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     for o in values:
         totals = totals.withColumn(f"_b_{o}", F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)))
@@ -103,8 +104,9 @@ def asof_by_range(left: DataFrame, right: DataFrame, by: list[str], on: str, val
     both = ranged(l_.unionByName(r, allowMissingColumns=True), by + [on, "_kind"], partitions)
     w = Window.partitionBy("_pid", *by).orderBy(F.col(on), F.col("_kind")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = both.withColumn("_local", F.last("_val", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
-    per = both.groupBy("_pid", *by).agg(
+    filled = both.withColumn("_local", F.last("_val", ignorenulls=True).over(w))
+    local = filled.filter(F.col("_kind") == 1)
+    per = filled.groupBy("_pid", *by).agg(
         F.max_by(F.col("_val"), F.when(F.col("_kind") == 0, F.struct(F.col(on)))).alias("_last"))
     wc = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = per.withColumn("_carry", F.last("_last", ignorenulls=True).over(wc)).select("_pid", *by, "_carry")
