@@ -98,6 +98,15 @@ def test_site_records_and_usage_and_sessions(spark, tmp_path):
     assert got == {("2025-03-17 00:00:00", "c1"): (3, 31), ("2025-03-17 00:00:00", "c2"): (1, 5),
                    ("2025-03-18 00:00:00", "c2"): (1, 7)}
 
+    sliding = S.stream_usage(_stream(spark, schema, glob).withColumnRenamed("fetched_at", "ts"),
+                             window="2 days", slide="1 day")
+    q = S.start(sliding, "slide_t", fmt="memory", mode="complete", checkpoint=str(tmp_path / "ck4"))
+    q.awaitTermination()
+    got = {(str(r.window_start), r.collection): r.documents for r in spark.sql("SELECT * FROM slide_t").collect()}
+    assert got == {("2025-03-16 00:00:00", "c1"): 3, ("2025-03-17 00:00:00", "c1"): 3,
+                   ("2025-03-16 00:00:00", "c2"): 1, ("2025-03-17 00:00:00", "c2"): 2,
+                   ("2025-03-18 00:00:00", "c2"): 1}
+
     log_schema = "page string, timestamp timestamp"
     lf = [[("p", _t(1, 0)), ("p", _t(1, 0) + dt.timedelta(seconds=30))],
           [("p", _t(1, 0) + dt.timedelta(seconds=200)), ("q", _t(1, 1))]]
