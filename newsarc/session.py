@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     # Cap for automatic broadcast: the planner only broadcasts a side whose
     # estimated size is below it, otherwise it shuffles both sides.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # range checkpoints (operators/ordered.py) are removed once their DataFrame
+    # is garbage-collected, so repeated runs do not fill the shared folder
+    # (a static setting: applied where this library builds the session)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
