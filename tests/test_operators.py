@@ -370,3 +370,15 @@ def test_sessions_brute_force(spark):
             prev = t
         want.append((key, start.to_pydatetime(), n))
     assert got == sorted(want)
+
+
+def test_hot_key_is_cut_into_balanced_ranges(spark):
+    """One key with 40% of the rows: hash partitioning by key puts it in one task, ranges do not."""
+    n = 20000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 5 < 2, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string")))
+        .alias("key"), F.col("id"))
+    per_range = [r["count"] for r in O.ranged(df, ["key", "id"], 8).groupBy("_pid").count().collect()]
+    assert sum(per_range) == n and max(per_range) < 2.0 * n / 8
+    by_key = [r["count"] for r in df.repartition(8, "key").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(by_key) >= 0.4 * n           # what a plain partitionBy(key) window would have to hold
