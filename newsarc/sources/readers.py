@@ -7,7 +7,7 @@ The collection (crawl) id comes from the file path (``_metadata.file_path``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,20 +201,25 @@ def read_scraper_log(spark: SparkSession, path: str) -> DataFrame:
 def read_frontier(spark: SparkSession, path: str) -> DataFrame:
     """Crawl state files -> (collection, list, url, added, seed_id, depth, extra_hops).
 
-    Each file is a small YAML document; its lines are numbered inside the file
-    (``posexplode``) and every item takes the list header above it.
+    The files are read line by line (a frontier can hold millions of queued
+    URLs, so a file is never one task). A line's place in its file is (start
+    of its split, row id inside the split); every item takes the list header
+    above it by an as-of lookup over range partitions of those places.
     """
-    docs = spark.read.text(path, wholetext=True).select(
-        _collection("_metadata.file_path").alias("collection"),
-        F.col("_metadata.file_path").alias("_file"), F.col("value"))
-    lines = docs.select("collection", "_file", F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
-    header = F.when(F.col("line").rlike(FRONTIER_LIST), F.regexp_extract("line", FRONTIER_LIST, 1))
-    w = Window.partitionBy("_file").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = lines.withColumn("list", F.last(header, ignorenulls=True).over(w))
-    items = tagged.filter(F.col("line").rlike(r"^\s+- "))
+    from newsarc.operators.ordered import asof_by_range
+
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("b"),
+                 F.monotonically_increasing_id().alias("n")).alias("_at"))
+    headers = lines.filter(F.col("line").rlike(FRONTIER_LIST)) \
+        .select("_file", "_at", F.regexp_extract("line", FRONTIER_LIST, 1).alias("_list"))
+    items = lines.filter(F.col("line").rlike(r"^\s+- "))
+    tagged = asof_by_range(items, headers, ["_file"], "_at", "_list", out="list") \
+        .withColumn("collection", _collection("_file"))
     js = F.from_json(F.regexp_extract("line", FRONTIER_JSON, 1), FRONTIER_ITEM)
     is_json = F.col("line").rlike(FRONTIER_JSON)
-    return items.select(
+    return tagged.select(
         "collection", "list",
         F.when(is_json, js["url"]).otherwise(F.regexp_extract("line", FRONTIER_URL, 1)).alias("url"),
         F.when(is_json, _iso(js["added"])).alias("added"),
