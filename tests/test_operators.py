@@ -382,3 +382,12 @@ def test_hot_key_is_cut_into_balanced_ranges(spark):
     assert sum(per_range) == n and max(per_range) < 2.0 * n / 8
     by_key = [r["count"] for r in df.repartition(8, "key").groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(by_key) >= 0.4 * n           # what a plain partitionBy(key) window would have to hold
+
+
+def test_url_order_by_ranges(spark):
+    rows = [(f"com,ex{i % 7})/p{i}", dt.datetime(2025, 3, 17) + dt.timedelta(minutes=i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "urlkey string, ts timestamp")
+    parts = W.url_order(df, partitions=4).rdd.glom().collect()
+    flat = [(r.urlkey, r.ts) for p in parts for r in p]
+    assert flat == sorted(flat) and len(flat) == 200          # ranges in order, each sorted
+    assert [(r.urlkey, r.ts) for r in W.url_order(df).collect()] == sorted(flat)
