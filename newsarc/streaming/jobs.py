@@ -4,8 +4,10 @@ The reference polls every outlet in an endless loop; here new fetch results
 arrive as files and each operator is a streaming DataFrame transformation or
 a ``foreachBatch`` step. State lives in the checkpoint folder (the shared
 ``spark.checkpoint.dir``), so a lost executor or a restarted query resumes
-where it stopped. Event time is ``fetched_at``/``seen_at``; rows later than
-the watermark are dropped by Spark and visible in the query's progress.
+where it stopped. Event time is ``fetched_at``/``seen_at``. Windowed
+aggregations (T5, T6) drop rows later than the watermark and count them in
+the query's progress (``numRowsDroppedByWatermark``); the watermark
+deduplications (T2, T4) use it to evict old state.
 """
 
 from __future__ import annotations

@@ -170,3 +170,20 @@ def test_collect_rounds_as_a_stream(spark, tmp_path):
     # round 1: 4 links (all new); round 2: 8 links, 4 seen, so the 4 new ones (under the cap of 5)
     assert per_batch == {0: 4, 1: 4}
     assert arts.select("link").distinct().count() == 8
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    schema = "ts timestamp, collection string, length long"
+    # late rows are judged against the previous batch's watermark (Spark's rule for chains of
+    # stateful operators), so the late row comes in the third micro-batch
+    files = [[(dt.datetime(2025, 3, 17, 12), "c1", 10), (dt.datetime(2025, 3, 17, 13), "c1", 5)],
+             [(dt.datetime(2025, 3, 17, 14), "c1", 1)],
+             [(dt.datetime(2025, 3, 15, 9), "c1", 100)]]     # two days before the watermark's base: late
+    glob = _files(spark, files, schema, str(tmp_path / "in"))
+    q = S.start(S.stream_usage(_stream(spark, schema, glob)), "late_t", fmt="memory", mode="update",
+                checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = {(str(r.window_start), r.documents, r.bytes) for r in spark.sql("SELECT * FROM late_t").collect()}
+    assert ("2025-03-17 00:00:00", 3, 16) in got and not any(w.startswith("2025-03-15") for w, _, _ in got)
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    assert dropped == 1
