@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from newsarc.plans.queries import QUERIES as OWN
 from newsarc.plans.compare import compare, duck
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = {name: fn for name, fn in E.queries().items() if name in OWN}
 ORACLE = E.oracle_sql()
 
 
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(OWN) and set(OWN) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
