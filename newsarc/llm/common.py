@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,25 @@ ALNUM = bytes(b + 32 if 65 <= b <= 90 else
               (b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32) for b in range(256))
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_newsarc_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="newsarc-py-"), "newsarc_code.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("newsarc", os.path.relpath(full, top)))
+    sc.addPyFile(path)
+    sc._newsarc_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

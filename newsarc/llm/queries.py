@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsarc.llm import kk_packing, sharding
+from newsarc.llm import decontaminate, kk_packing, line_dedup, pii, quality, sharding, simhash
 from newsarc.llm.common import table
 
 
@@ -16,13 +16,47 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside a verbatim window of the benchmark, and the items that occur."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their repeated multi-line chunks."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "removed_chunks", "removed_words")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal numbers, dates and addresses replaced by pseudonyms."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of each document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document, learnt from the labels that are not held out."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in sequences of at most 2048 ids."""
     return kk_packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+# The key of the registered query; a user passes a secret one.
+PII_KEY = "registered-query"
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_decontamination": op2_decontamination,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_pii": op4_pii,
+    "op5_simhash": op5_simhash,
+    "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }

@@ -15,64 +15,60 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsarc.llm.common import cut, with_positions
+from newsarc.llm.common import cut, with_positions, written
 
 BAND = 1024  # capacities that are tried in one walk
 
 
-def _running(batches):
-    """Adds pid and the sums up to and including each row within its range."""
-    pid, b, r = TaskContext.get().partitionId(), 0, 0
-    for x in batches:
-        if not x.num_rows:
-            continue
-        ends = b + np.cumsum(x["bytes"].to_numpy(zero_copy_only=False))
-        rows = r + np.cumsum(x["rows"].to_numpy(zero_copy_only=False))
-        b, r = int(ends[-1]), int(rows[-1])
-        yield pa.RecordBatch.from_arrays(
-            [x["digest"], x["bytes"], x["rows"], pa.array(ends, pa.int64()), pa.array(rows, pa.int64()),
-             pa.array(np.full(x.num_rows, pid, dtype="int32"))],
-            names=["digest", "bytes", "rows", "end_bytes", "end_rows", "pid"])
-
-
 class Groups:
-    """The ordered groups with running sums; answers look-ups by byte position."""
+    """The ordered groups with running sums as a sorted table; answers look-ups by byte position."""
 
     def __init__(self, groups: DataFrame):
-        self.df = cut(groups.repartitionByRange("digest").sortWithinPartitions("digest")
-                      .mapInArrow(_running, "digest binary, bytes long, rows long, end_bytes long, end_rows long, pid int"))
+        parts = cut(groups.repartitionByRange("digest").sortWithinPartitions("digest")
+                    .withColumn("pid", F.spark_partition_id()))
         self.total = self.rows = self.largest = 0
-        self.offsets: dict[int, tuple[int, int]] = {}
-        for p in sorted(self.df.groupBy("pid").agg(F.sum("bytes"), F.sum("rows"), F.max("bytes")).collect()):
-            self.offsets[p[0]] = (self.total, self.rows)
+        offsets: dict[int, tuple[int, int]] = {}
+        for p in sorted(parts.groupBy("pid").agg(F.sum("bytes"), F.sum("rows"), F.max("bytes")).collect()):
+            offsets[p[0]] = (self.total, self.rows)
             self.total, self.rows, self.largest = self.total + p[1], self.rows + p[2], max(self.largest, p[3])
 
+        def running(batches):
+            sums: dict[int, tuple[int, int]] = dict(offsets)
+            for x in batches:
+                for pid in np.unique(x["pid"].to_numpy()).tolist():
+                    y = x.filter(pa.compute.equal(x["pid"], pid))
+                    b, r = sums[pid]
+                    ends = b + np.cumsum(y["bytes"].to_numpy(zero_copy_only=False))
+                    rows = r + np.cumsum(y["rows"].to_numpy(zero_copy_only=False))
+                    sums[pid] = (int(ends[-1]), int(rows[-1]))
+                    yield pa.RecordBatch.from_arrays(
+                        [y["digest"], pa.array(np.append(b, ends[:-1]), pa.int64()), pa.array(ends, pa.int64()),
+                         pa.array(np.append(r, rows[:-1]), pa.int64())], names=["digest", "start", "end", "row"])
+
+        # Parquet: small files are read together and sorted row groups are skipped
+        self.df = written(parts.mapInArrow(running, "digest binary, start long, end long, row long"), "shard-groups")
+
     def at(self, targets: np.ndarray) -> dict[int, tuple[int, int, bytes]]:
         """For each byte position: start (bytes, rows) and digest of the group that holds it."""
-        offsets, ts = self.offsets, np.unique(targets)
+        ts = np.unique(targets)
 
         def find(batches):
             for x in batches:
-                if not x.num_rows:
-                    continue
-                pid = x["pid"].to_numpy()
-                base = np.array([offsets[p] for p in pid], dtype="int64").reshape(-1, 2)
-                size, n = x["bytes"].to_numpy(), x["rows"].to_numpy()
-                start = base[:, 0] + x["end_bytes"].to_numpy() - size
-                near = ts[(ts >= start[0]) & (ts < start[-1] + size[-1])]
-                i = np.searchsorted(start, near, "right") - 1
-                ok = near < start[i] + size[i]  # a batch may hold the end of one range and the start of another
-                near, i = near[ok], i[ok]
+                start, end = x["start"].to_numpy(zero_copy_only=False), x["end"].to_numpy(zero_copy_only=False)
+                n = np.searchsorted(ts, end, "left") - np.searchsorted(ts, start, "left")  # targets in [start, end)
+                i = np.repeat(np.arange(len(n)), n)
+                first = np.searchsorted(ts, start[i], "left")
+                near = ts[first + (np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(near, pa.int64()), pa.array(start[i], pa.int64()),
-                     pa.array((base[:, 1] + x["end_rows"].to_numpy() - n)[i], pa.int64()),
+                    [pa.array(near, pa.int64()), x["start"].take(pa.array(i)), x["row"].take(pa.array(i)),
                      x["digest"].take(pa.array(i))], names=["t", "start", "row", "digest"])
 
-        got = self.df.mapInArrow(find, "t long, start long, row long, digest binary").collect()
+        got = (self.df.where((F.col("start") <= int(ts[-1])) & (F.col("end") > int(ts[0])))
+               .mapInArrow(find, "t long, start long, row long, digest binary").collect())
         return {r["t"]: (r["start"], r["row"], bytes(r["digest"])) for r in got}
 
 
