@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsarc.llm import decontaminate, kk_packing, line_dedup, pii, quality, sharding, simhash
+from newsarc.llm import ann, bfd_packing, decontaminate, kk_packing, line_dedup, pii, quality, sharding, simhash
 from newsarc.llm.common import table
 
 
@@ -37,6 +37,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as rows of an id matrix with cumulative segment lengths and positions."""
+    return bfd_packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of each document, learnt from the labels that are not held out."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -57,6 +67,8 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_pii": op4_pii,
     "op5_simhash": op5_simhash,
+    "op7_token_ids": op7_token_ids,
+    "op8_neighbours": op8_neighbours,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
