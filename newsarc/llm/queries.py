@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsarc.llm import ann, bfd_packing, decontaminate, kk_packing, line_dedup, pii, quality, sharding, simhash
+from newsarc.llm import ann, bfd_packing, decontaminate, katz, kk_packing, line_dedup, pii, quality, sharding, simhash
 from newsarc.llm.common import table
 
 
@@ -37,6 +37,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document under a Katz model of the documents that are not held out."""
+    return katz.scored(table(spark, sf_dir, "documents"))
+
+
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as rows of an id matrix with cumulative segment lengths and positions."""
     return bfd_packing.pack(table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_pii": op4_pii,
     "op5_simhash": op5_simhash,
+    "op6_katz": op6_katz,
     "op7_token_ids": op7_token_ids,
     "op8_neighbours": op8_neighbours,
     "op9_quality": op9_quality,
