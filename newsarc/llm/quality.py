@@ -157,10 +157,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, ident: s
     return fit(np.array(rows["x"].tolist()), rows["_y"].to_numpy(dtype="float64"), **options)
 
 
-def score(docs: DataFrame, model: Trees, text: str = "text") -> DataFrame:
-    """``docs`` plus ``score``: probability of label 1 by the text alone. Clashing columns are replaced."""
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "score"])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double"
+def score(docs: DataFrame, model: Trees, text: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` plus ``name``: probability of label 1 by the text alone. A column of that name is replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != name])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` double"
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
     def run(batches):
@@ -171,7 +171,7 @@ def score(docs: DataFrame, model: Trees, text: str = "text") -> DataFrame:
                 s = shared.value.probability(x) if len(x) else np.zeros(0)
                 part = b.slice(a, 1000)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())],
-                                                 names=[*part.schema.names, "score"])
+                                                 names=[*part.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
