@@ -184,7 +184,7 @@ def blocks(benchmark: DataFrame, text: str, ident: str, window: int):
 
 
 def overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", ident: str = "doc_id",
-            item_text: str = "text", item_ident: str = "item_id") -> DataFrame:
+            item_text: str = "text", item_ident: str = "item_id", prefix: str = "") -> DataFrame:
     """``docs`` plus n_words, n_hit, spans, matches, item_ids, longest and contaminated.
 
     spans are the hit words as (start, length) per benchmark block; matches are the
@@ -193,9 +193,9 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: s
     words; null items and items without words have no window; items of fewer
     words than the window are one window. Repeated items count once by item_id,
     repeated documents are judged each. An empty benchmark hits nothing. Columns
-    of ``docs`` that clash with the added names are replaced.
+    of ``docs`` that clash with the added names (``prefix`` stands before each) are replaced.
     """
-    added = ["n_words", "n_hit", "spans", "matches", "item_ids", "longest", "contaminated"]
+    added = [prefix + x for x in ("n_words", "n_hit", "spans", "matches", "item_ids", "longest", "contaminated")]
     own = [c for c in docs.columns if c not in added]
     spans_type = "array<struct<start:int,length:int>>"
     out = docs.select(*[F.col(f"`{c}`") for c in own], F.lit(None).cast("long").alias("_n_words"),
@@ -214,16 +214,17 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: s
                                                  - F.greatest(s["end"], x["start"].cast("long")))).alias("n"),
                             F.greatest(s["end"], (x["start"] + x["length"]).cast("long")).alias("end")),
                         lambda s: s["n"])
-    return out.select(*[F.col(f"`{c}`") for c in own], F.col("_n_words").alias("n_words"), union.alias("n_hit"),
-                      F.col("_spans").alias("spans"), F.col("_matches").alias("matches"),
-                      F.array_sort(F.array_distinct(F.col("_matches.item_id"))).alias("item_ids"),
-                      F.coalesce(F.array_max(F.col("_matches.length")), F.lit(0)).alias("longest")
-                      ).withColumn("contaminated", F.col("n_hit") > 0)
+    found = [F.col("_n_words"), union, F.col("_spans"), F.col("_matches"),
+             F.array_sort(F.array_distinct(F.col("_matches.item_id"))),
+             F.coalesce(F.array_max(F.col("_matches.length")), F.lit(0))]
+    return (out.select(*[F.col(f"`{c}`") for c in own], *[c.alias(n) for c, n in zip(found, added)])
+            .withColumn(added[-1], F.col(added[1]) > 0))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a window of the benchmark."""
-    return overlap(docs, benchmark, **options).where("not contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the documents that hold a window of the benchmark; all columns stay as they are."""
+    judged = overlap(docs, benchmark, prefix="_bench_", **options)
+    return judged.where("not _bench_contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -65,7 +65,8 @@ def _words(chunk: Column) -> Column:
     return F.length(chunk) - F.length(F.replace(chunk, F.lit(" "), F.lit(""))) + 1
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = MIN_WORDS,
+                prefix: str = "") -> DataFrame:
     """``docs`` with the repeated chunks cut out of ``text``, plus removed_chunks and removed_words.
 
     Every row stays; a document that consists of repeated chunks ends with an
@@ -73,9 +74,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     twice (a null id is named by its text), so their chunks do not count as
     repeats of each other, only of earlier documents. Texts without line breaks
     or punctuation are one line and stay. Columns of ``docs`` that clash with the
-    two added ones are replaced.
+    two added ones (``prefix`` stands before both) are replaced.
     """
-    own = [c for c in docs.columns if c not in ("removed_chunks", "removed_words")]
+    own = [c for c in docs.columns if c not in (f"{prefix}removed_chunks", f"{prefix}removed_words")]
     keyed = docs.select(*[F.col(f"`{c}`") for c in own],
                         F.coalesce(F.col(ident).cast("long"), F.xxhash64(text)).alias("_k"))
     split = with_chunks(keyed.select("_k", F.col(text).alias("_t")), "_t")
@@ -119,5 +120,5 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     changed = F.col("_runs").isNotNull()
     return marked.select(
         *[F.when(changed, rest).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in own],
-        F.when(changed, F.size("_gone")).otherwise(0).alias("removed_chunks"),
-        F.when(changed, F.aggregate("_gone", F.lit(0), lambda s, no: s + _words(_chunk(no)))).otherwise(0).alias("removed_words"))
+        F.when(changed, F.size("_gone")).otherwise(0).alias(f"{prefix}removed_chunks"),
+        F.when(changed, F.aggregate("_gone", F.lit(0), lambda s, no: s + _words(_chunk(no)))).otherwise(0).alias(f"{prefix}removed_words"))

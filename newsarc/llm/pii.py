@@ -9,7 +9,8 @@ whoever has the key can invert it.
 kind   what counts                                       what is permuted
 card   13 to 19 digits with a right Luhn digit           all but the first and the Luhn digit (made anew)
 iban   IBAN with right check digits                      digits and letters after the check digits (made anew)
-phone  North American number                             the national digits; area and exchange start with 2-9
+phone  North American number (any area code if written     the national digits; where area or exchange start with
+       with +1 or in parentheses, else 2-9 first)          2-9 they do so again
 ip     IPv4 address                                      the four octets
 ssn    US social security number                         area, group and serial within their valid values
 date   1900 to 2099: Y-M-D, D-M-Y with - or ., M/D/Y     the day
@@ -30,7 +31,9 @@ _NO, _END = r"(?<![\w.+/-])", r"(?![\w-])"  # no value starts or ends inside a l
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": rf"{_NO}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}",
-    "phone": rf"{_NO}(?:\+?1[ .-]?)?(?:\([2-9][0-9]{{2}}\) ?|[2-9][0-9]{{2}}[ .-])[2-9][0-9]{{2}}[ .-][0-9]{{4}}{_END}",
+    "phone": "|".join(rf"{_NO}{d}[ .-][0-9]{{4}}{_END}" for d in (
+        r"\+?1[ .-]?\([0-9]{3}\) ?[0-9]{3}", r"\([0-9]{3}\) ?[0-9]{3}", r"\+1[ .-][0-9]{3}[ .-][0-9]{3}",
+        r"(?:1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}")),
     "card": rf"{_NO}(?:[0-9]{{13,19}}|[0-9]{{4}}[ -][0-9]{{4}}[ -][0-9]{{4}}[ -][0-9]{{1,7}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_END}",
     "ssn": rf"{_NO}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}",
     "date": "|".join(rf"{_NO}{d}(?![\w/-])" for d in (
@@ -106,7 +109,7 @@ def kind_of(s: Column) -> Column:
 
 def _fixed(kind: Column, s: Column) -> Column:
     """Length of the prefix that stays: country codes, check digits, the card's first digit."""
-    return (F.when(kind == "phone", F.length(F.regexp_extract(s, r"^(\+?1[ .-]?)?(?=\(?[2-9])", 0)))
+    return (F.when(kind == "phone", F.length(F.regexp_extract(s, r"^(?:\+1[ .-]?|1[ .-]?(?=[(])|1[ .-](?=[0-9]{3}[ .-][0-9]{3}[ .-]))?", 0)))
             .when(kind == "iban", 4).when(kind == "card", 1).otherwise(0))
 
 
@@ -133,8 +136,8 @@ def read(kind: Column, s: Column) -> Column:
     body = _body(kind, s)
     opens = lambda c, i: (kind == "phone") & c.between("0", "9") & _opens(body, i)
     text = F.transform(_chars(body), lambda c, i: F.struct(
-        F.when(opens(c, i), _value(c) - 2).otherwise(_value(c)).alias("v"),
-        F.when(opens(c, i), F.lit(8).cast("long")).otherwise(_radix(c)).alias("m")))
+        F.when(opens(c, i) & (c > "1"), _value(c) - 2).otherwise(_value(c)).alias("v"),
+        F.when(opens(c, i), F.when(c > "1", 8).otherwise(2).cast("long")).otherwise(_radix(c)).alias("m")))
     pairs = lambda *p: F.array(*[F.struct(number(v).alias("v"), F.lit(m).cast("long").alias("m")) for v, m in p])
     return (F.when(kind == "ip", F.transform(F.split(s, r"\."), lambda o: F.struct(
                 number(o).alias("v"), F.lit(256).cast("long").alias("m"))))
@@ -148,7 +151,7 @@ def write(kind: Column, s: Column, v: Column) -> Column:
     """The vector ``v`` in the format of ``s``."""
     body = _body(kind, s)
     chars = F.array_join(F.transform(_chars(body), lambda c, i: (
-        F.when(c.between("0", "9"), F.char(F.get(v, i) + 48 + F.when((kind == "phone") & _opens(body, i), 2).otherwise(0)))
+        F.when(c.between("0", "9"), F.char(F.get(v, i) + 48 + F.when((kind == "phone") & (c > "1") & _opens(body, i), 2).otherwise(0)))
         .when(c.between("a", "z"), F.char(F.get(v, i) + 97))
         .when(c.between("A", "Z"), F.char(F.get(v, i) + 65)).otherwise(c))), "")
     day = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.get(v, F.lit(0)) * DAY_RADIX[1] + F.get(v, F.lit(1))).cast("int"))
