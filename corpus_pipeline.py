@@ -31,7 +31,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated chunks; n_chars, if there, is counted anew. No row goes."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, prefix="_dedup_")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
