@@ -21,20 +21,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsarc.llm.common import cut
+from newsarc.llm.common import cut, written
 
 WINDOW = 2
 MIN_WORDS = 20
-_LINE = r"(?<=\n)|(?<=[.,;:!?] )"
+_ENDS = ["\n", ". ", ", ", "; ", ": ", "! ", "? "]   # what ends a line; it belongs to the line
+_MARK = "\x01"
+_LINE = r"(?<=\n)|(?<=[.,;:!?] )"                  # the same as a pattern, for texts that hold the mark
 
 
 def _rotated(h: Column, by: int) -> Column:
     return F.shiftleft(h, by).bitwiseOR(F.shiftrightunsigned(h, 64 - by)) if by else h
 
 
+def _lines(t: Column) -> Column:
+    marked = t
+    for end in _ENDS:  # plain replacements; a pattern costs several times as much
+        marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
+    pieces = F.when(t.contains(_MARK), F.split(t, _LINE, -1)).otherwise(F.split(marked, _MARK, -1))
+    return F.filter(pieces, lambda x: x != "")
+
+
 def with_chunks(docs: DataFrame, text: str) -> DataFrame:
-    """Adds ``_lines`` and ``_ends`` (the last line of each chunk) of the text."""
-    out = docs.withColumn("_lines", F.filter(F.split(F.col(text), _LINE, -1), lambda x: x != ""))
+    """Adds ``_lines``, their ``_hashes`` and ``_ends`` (the last line of each chunk) of the text."""
+    out = docs.withColumn("_lines", _lines(F.col(text)))
     out = out.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
     out = out.withColumn("_last", F.transform("_lines", lambda x, i: x.endswith("\n") | (i == F.size("_lines") - 1)))
     def rolling(h: Column, i: Column) -> Column:
@@ -49,7 +59,7 @@ def with_chunks(docs: DataFrame, text: str) -> DataFrame:
                  & (F.get("_roll", i) < F.get("_roll", i - 1)) & (F.get("_roll", i) < F.get("_roll", i + 1)))
         return F.get("_last", i) | F.coalesce(inner, F.lit(False))
     places = F.when(F.size("_lines") > 0, F.sequence(F.lit(0), F.size("_lines") - 1))
-    return out.withColumn("_ends", F.filter(places, border)).drop("_hashes", "_last", "_roll")
+    return out.withColumn("_ends", F.filter(places, border)).drop("_last", "_roll")
 
 
 def _start(no: Column) -> Column:
@@ -61,6 +71,10 @@ def _chunk(no: Column) -> Column:
     return F.array_join(F.slice("_lines", _start(no) + 1, F.get("_ends", no) - _start(no) + 1), "")
 
 
+def _chunk_hash(no: Column) -> Column:
+    return F.xxhash64(F.slice("_hashes", _start(no) + 1, F.get("_ends", no) - _start(no) + 1))
+
+
 def _words(chunk: Column) -> Column:
     return F.length(chunk) - F.length(F.replace(chunk, F.lit(" "), F.lit(""))) + 1
 
@@ -81,11 +95,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
                         F.coalesce(F.col(ident).cast("long"), F.xxhash64(text)).alias("_k"))
     split = with_chunks(keyed.select("_k", F.col(text).alias("_t")), "_t")
     number = F.transform("_ends", lambda e, i: F.struct(i.alias("no"), (e - _start(i) + 1).alias("n")))
-    chunks = (split.select("_k", F.explode(F.transform(
+    chunks = split.select("_k", F.explode(F.transform(
         F.filter(number, lambda c: c["n"] > 1),
-        lambda c: F.struct(c["no"].alias("no"), F.xxhash64(_chunk(c["no"])).alias("hash"),
-                           _words(_chunk(c["no"])).alias("words")))).alias("c"))
-        .select("_k", "c.no", "c.hash", "c.words"))
+        lambda c: F.struct(c["no"].alias("no"), _chunk_hash(c["no"]).alias("hash")))).alias("c"))
+    chunks = written(chunks.select("_k", "c.no", "c.hash"), "line-chunks")   # two numbers and a place per chunk
 
     # repeats by hash, on narrow rows
     repeated = cut(chunks.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash"))
@@ -95,10 +108,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     # the text of each first occurrence
     wanted = first.groupBy("_k").agg(F.collect_list(F.struct("no", "hash")).alias("_want"))
     kept = (with_chunks(keyed.select("_k", F.col(text).alias("_t")).join(wanted, "_k"), "_t")
-            .select(F.explode(F.transform("_want", lambda w: F.struct(w["hash"].alias("hash"),
-                                                                     _chunk(w["no"]).alias("same")))).alias("w"))
-            .select("w.hash", "w.same").where(F.xxhash64("same") == F.col("hash")))
-    kept = cut(kept.groupBy("hash").agg(F.min("same").alias("same")))
+            .select(F.explode(F.transform("_want", lambda w: F.struct(
+                w["hash"].alias("hash"), F.when(_chunk_hash(w["no"]) == w["hash"], _chunk(w["no"])).alias("same")))).alias("w"))
+            .select("w.hash", "w.same").where("same IS NOT NULL"))
+    kept = cut(kept.groupBy("hash").agg(F.min("same").alias("same")).withColumn("words", _words(F.col("same"))))
 
     # later occurrences, in runs of neighbouring chunks
     later = (places.join(first.select("hash", F.col("_k").alias("_fk"), F.col("no").alias("_fno"))
