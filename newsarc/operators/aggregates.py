@@ -52,14 +52,21 @@ def file_type_report(captures: DataFrame, mime: str = "mime") -> DataFrame:
 
 
 def seed_metrics(captures: DataFrame, crawl_pages: DataFrame, seed: str = "collection") -> DataFrame:
-    """Per seed: documents, bytes, 2xx/3xx/4xx/5xx counts, robots-blocked flag."""
+    """Per seed: documents, bytes, 2xx/3xx/4xx/5xx counts, robots failures and the robots-blocked flag.
+
+    A seed is blocked by robots when its robots.txt failed and no page answered 2xx.
+    """
     s = F.col("status")
+    robots = F.col("url").endswith("/robots.txt")
     m = captures.groupBy(seed).agg(
         _n().alias("documents"), F.sum("length").cast("long").alias("bytes"),
         F.count_if(s.between(200, 299)).cast("long").alias("ok"),
         F.count_if(s.between(300, 399)).cast("long").alias("redirects"),
-        F.count_if(s >= 400).cast("long").alias("errors"),
-        F.count_if(F.col("url").endswith("/robots.txt") & (s >= 400)).cast("long").alias("robots_fail"))
+        F.count_if(s.between(400, 499)).cast("long").alias("client_errors"),
+        F.count_if(s.between(500, 599)).cast("long").alias("server_errors"),
+        F.count_if(robots & (s >= 400)).cast("long").alias("robots_fail"),
+        F.count_if(~robots & s.between(200, 299)).alias("_pages"))
+    m = m.withColumn("robots_blocked", (F.col("robots_fail") > 0) & (F.col("_pages") == 0)).drop("_pages")
     seeds = crawl_pages.filter(F.col("seed")).groupBy(seed).agg(_n().alias("seeds"))
     return m.join(seeds, seed, "full")
 
@@ -76,6 +83,12 @@ def daily_usage(captures: DataFrame, budget_bytes: int | None = None,
     return d
 
 
+def average_usage(captures: DataFrame, crawl: str = "collection", ts: str = "ts") -> DataFrame:
+    """Days with captures and average bytes per such day of each collection."""
+    return daily_usage(captures, None, crawl, ts).groupBy(crawl).agg(
+        _n().alias("days"), F.floor(F.sum("bytes") / _n()).cast("long").alias("bytes_per_day"))
+
+
 def archive_outcomes(archive_results: DataFrame, keys: tuple[str, ...] = ("website_hash",)) -> DataFrame:
     """Found / archived / failed / server errors per site (and run)."""
     o = archive_outcome("output")

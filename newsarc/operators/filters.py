@@ -117,23 +117,32 @@ def needs_feed(df: DataFrame) -> DataFrame:
     return df.filter(needs_feed_flag())
 
 
+def _host(url) -> Column:
+    """Host and port in lower case, without user info."""
+    return F.regexp_replace(F.lower(U.url_netloc(url)), "^.*@", "")
+
+
 def scope_prefix(seed) -> Column:
-    """Scheme-less prefix of a seed up to its last ``/`` (http and https alike)."""
-    s = F.regexp_replace(col_of(seed), "^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    return F.regexp_extract(s, "^(.*/)", 1)
+    """Host and path of a seed up to the path's last ``/`` (http and https alike).
+
+    A seed without a path covers its host: ``https://h`` like ``https://h/``.
+    """
+    folder = F.regexp_extract(U.url_path(seed, strip_params=False), "^(.*/)", 1)
+    return F.concat(_host(seed), F.when(folder == "", F.lit("/")).otherwise(folder))
 
 
 def in_scope_flag(url, seed, include=None, exclude=None) -> Column:
     """default scope of a seed plus include/exclude regex lists.
 
-    In scope when the scheme-less URL starts with the seed's prefix up to its
-    last ``/`` (so ``https://h/local`` covers all of ``h``), or it matches an
-    include regex; never when it matches an exclude regex. Non-http URLs are out.
+    In scope when host (and port) are the seed's and the path starts with the
+    seed's path up to its last ``/`` (so ``https://h/local`` covers all of
+    ``h``), or the URL matches an include regex; never when it matches an exclude
+    regex. Non-http URLs are out.
     """
     u = col_of(url)
-    bare = F.regexp_replace(u, "^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    default = U.is_crawlable(u) & bare.startswith(scope_prefix(seed))
-    ok = default
+    path = U.url_path(u, strip_params=False)
+    place = F.concat(_host(u), F.when(path == "", F.lit("/")).otherwise(path))
+    ok = U.is_crawlable(u) & (U.url_netloc(seed) != "") & place.startswith(scope_prefix(seed))
     if include is not None:
         ok = ok | F.coalesce(F.exists(col_of(include), lambda r: F.regexp_like(u, r)), F.lit(False))
     if exclude is not None:

@@ -13,28 +13,59 @@ from pyspark.sql import functions as F
 from newsarc.functions import urls as U
 from newsarc.functions.common import col_of, let
 
-# Patterns for the tags and attributes read from pages.
-A_HREF = r"""(?i)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-LINK_TAG = r"(?i)<link\b[^>]*>"
-TYPE_ATTR = r"""(?i)\btype\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-HREF_ATTR = r"""(?i)\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-LOC_TAG = r"(?is)<loc>(.*?)</loc>"
+# One attribute of a tag (name, or name=value with the value quoted or not), and the value of a named one.
+_OTHER = r"""(?:[^\s"'>]++|"[^"]*+"|'[^']*+'|\s(?!%s\s*=))*+"""
+_VALUE = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+A_HREF = r"(?i)<a(?=\s)" + _OTHER % "href" + r"\shref" + _VALUE
+LINK_TAG = r"""(?i)<link(?=[\s/>])(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""
+TYPE_ATTR = r"(?i)^<link" + _OTHER % "type" + r"\stype" + _VALUE
+HREF_ATTR = r"(?i)^<link" + _OTHER % "href" + r"\shref" + _VALUE
+LOC_TAG = r"(?is)<loc(?:\s[^>]*)?>(.*?)</loc\s*>"
+# What a parser does not read as markup.
+HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+# Named character references that occur in addresses.
+ENTITIES = (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
 # Feed MIME types, in the order they are tried.
 FEED_TYPES = ("application/rss+xml", "application/atom+xml", "text/xml", "application/xml")
 RSS_ONLY = ("application/rss+xml",)
 
 
+def unescape(text) -> Column:
+    """Character references decoded once: numeric ones, then the named ones, ``&amp;`` last."""
+    t = col_of(text)
+    number = "&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+    def char(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, "([0-9a-fA-F]+);", 1)
+        code = F.when(F.lower(ref).contains("x"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        return F.when(code == 38, F.lit("&amp;")).when(code.between(1, 0x10FFFF), F.decode(
+            F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+    refs = F.transform(F.regexp_extract_all(t, F.lit(number), F.lit(0)), char)
+    joined = let(F.struct(refs.alias("r"), F.split(t, number, -1).alias("p")), lambda x: F.array_join(
+        F.transform(x["p"], lambda p, i: F.concat(p, F.coalesce(F.get(x["r"], i), F.lit("")))), ""))
+    out = F.when(t.contains("&#"), joined).otherwise(t)
+    for ref, plain in ENTITIES:
+        out = F.replace(out, F.lit(ref), F.lit(plain))
+    return F.when(t.contains("&"), out).otherwise(t)
+
+
 def unquote_attr(value) -> Column:
-    """Attribute text without its quotes, ``&amp;`` decoded (as an HTML parser does)."""
+    """Attribute text without its quotes, character references decoded (as an HTML parser does)."""
     v = col_of(value)
     inner = F.when(v.startswith('"') | v.startswith("'"),
                    F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-    return F.replace(inner, F.lit("&amp;"), F.lit("&"))
+    return unescape(inner)
+
+
+def markup(body) -> Column:
+    """The body without comments, scripts and styles."""
+    return F.regexp_replace(col_of(body), HIDDEN, " ")
 
 
 def hrefs(body) -> Column:
     """All ``<a href>`` values of a body, in document order."""
-    return F.transform(F.regexp_extract_all(col_of(body), F.lit(A_HREF), F.lit(1)), unquote_attr)
+    return F.transform(F.regexp_extract_all(markup(body), F.lit(A_HREF), F.lit(1)), unquote_attr)
 
 
 def extract_links(fetches: DataFrame, body: str = "body", base: str = "final_url",
@@ -61,7 +92,7 @@ def feed_link(body, base=None, types: tuple[str, ...] = FEED_TYPES, raw: bool =
     For each type only the first tag of that type counts; a tag without href
     passes to the next type. The href is resolved on ``base`` unless ``raw``.
     """
-    tags = F.regexp_extract_all(col_of(body), F.lit(LINK_TAG), F.lit(0))
+    tags = F.regexp_extract_all(markup(body), F.lit(LINK_TAG), F.lit(0))
     infos = F.transform(tags, lambda t: F.struct(_attr(t, TYPE_ATTR).alias("type"),
                                                  _attr(t, HREF_ATTR).alias("href")))
 
@@ -101,33 +132,53 @@ def robots_sitemaps(fetches: DataFrame, body: str = "body",
 def sitemap_locs(fetches: DataFrame, body: str = "body",
                  keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Text of every ``<loc>`` of a sitemap (broken XML tolerated)."""
-    locs = F.transform(F.regexp_extract_all(col_of(body), F.lit(LOC_TAG), F.lit(1)),
-                       lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+    locs = F.transform(F.regexp_extract_all(F.regexp_replace(col_of(body), "(?s)<!--.*?-->", ""), F.lit(LOC_TAG), F.lit(1)),
+                       xml_text)
     return fetches.select(*keep, F.posexplode(locs).alias("pos", "loc"))
 
 
+def xml_text(inner) -> Column:
+    """Text of an element: a CDATA section as it is, else with references decoded; blanks cut at both ends."""
+    x = F.regexp_replace(col_of(inner), r"^\s+|\s+$", "")
+    raw = F.regexp_extract(x, r"(?s)^<!\[CDATA\[(.*)\]\]>$", 1)
+    return F.regexp_replace(F.when(x.startswith("<![CDATA["), raw).otherwise(unescape(x)), r"^\s+|\s+$", "")
+
+
 ITEM = r"(?is)<item\b[^>]*>.*?</item>|<entry\b[^>]*>.*?</entry>"
-ITEM_LINK_TEXT = r"(?is)<link\b[^>]*>\s*([^<]*?)\s*</link>"
-ITEM_LINK_HREF = r"""(?is)<link\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-ITEM_DATE = (r"(?is)<(?:pubDate|published|updated|dc:date)\b[^>]*>\s*([^<]*?)\s*"
-             r"</(?:pubDate|published|updated|dc:date)>")
+ITEM_LINK_TEXT = r"(?is)<link(?:\s[^>]*)?>([^<]*|\s*<!\[CDATA\[.*?\]\]>\s*)</link>"
+REL_ATTR = r"(?i)^<link" + _OTHER % "rel" + r"\srel" + _VALUE
+# The date elements, in the order they are tried.
+DATE_TAGS = ("pubDate", "published", "dc:date", "updated")
+
+
+def _element(item, name: str) -> Column:
+    return xml_text(F.regexp_extract(col_of(item), rf"(?is)<{name}(?:\s[^>]*)?>(.*?)</{name}\s*>", 1))
+
+
+def _item_link(item) -> Column:
+    """RSS: the text of ``<link>``; Atom: the first link whose rel is absent or ``alternate``, else the first."""
+    text = xml_text(F.regexp_extract(col_of(item), ITEM_LINK_TEXT, 1))
+    tags = F.transform(F.regexp_extract_all(col_of(item), F.lit(LINK_TAG), F.lit(0)), lambda t: F.struct(
+        F.lower(_attr(t, REL_ATTR)).alias("rel"), _attr(t, HREF_ATTR).alias("href")))
+    with_href = F.filter(tags, lambda x: x["href"] != "")
+    atom = let(with_href, lambda a: F.coalesce(
+        F.try_element_at(F.filter(a, lambda x: x["rel"].isin("", "alternate")), F.lit(1))["href"],
+        F.try_element_at(a, F.lit(1))["href"]))
+    return F.when(text != "", text).otherwise(atom)
 
 
 def feed_entries(fetches: DataFrame, body: str = "body",
                  keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """RSS ``<item>`` and Atom ``<entry>`` rows: ``entry_pos``, ``link``, ``published``.
 
-    ``published`` is the raw date text; P11 parses it.
+    ``published`` is the raw date text (P11 parses it), NULL if there is none. An
+    entry without a link is left out; positions count all entries.
     """
-    items = F.regexp_extract_all(col_of(body), F.lit(ITEM), F.lit(0))
+    items = F.regexp_extract_all(F.regexp_replace(col_of(body), "(?s)<!--.*?-->", ""), F.lit(ITEM), F.lit(0))
     rows = fetches.select(*keep, F.posexplode(items).alias("entry_pos", "item"))
-    text_link = F.regexp_extract("item", ITEM_LINK_TEXT, 1)
-    link = F.when(text_link != "", text_link).otherwise(
-        F.regexp_extract("item", ITEM_LINK_HREF, 1))
-    published = F.regexp_extract("item", ITEM_DATE, 1)
-    return rows.select(*keep, "entry_pos",
-                       F.replace(link, F.lit("&amp;"), F.lit("&")).alias("link"),
-                       F.when(published != "", published).alias("published"))
+    dates = [F.nullif(_element("item", t), F.lit("")) for t in DATE_TAGS]
+    return rows.select(*keep, "entry_pos", _item_link("item").alias("link"),
+                       F.coalesce(*dates).alias("published")).filter(F.col("link") != "")
 
 
 def registry_seeds(outlets: DataFrame, website: str = "website") -> DataFrame:

@@ -20,8 +20,12 @@ from newsarc.operators.filters import enough_content_flag
 
 def latest_fetch(fetches: DataFrame, url: str = "url", ts: str = "fetched_at",
                  cols: tuple[str, ...] = ("status", "final_url")) -> DataFrame:
-    """One row per URL: the values of its latest fetch (map-side combined)."""
-    last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(ts)).alias("_f")
+    """One row per URL: the values of its latest fetch (map-side combined).
+
+    Of fetches at the same time the one with the largest values wins.
+    """
+    order = F.struct(F.col(ts), *[F.col(c) for c in cols if c != "body"])
+    last = F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_f")
     return fetches.groupBy(url).agg(last).select(url, *[F.col(f"_f.{c}").alias(c) for c in cols])
 
 
@@ -76,26 +80,22 @@ def expand_urls(candidates: DataFrame, fetches: DataFrame, url: str = "url",
 
 def feed_for_outlet(outlets: DataFrame, html_feeds: DataFrame | None = None,
                     sitemap_feeds: DataFrame | None = None, website: str = "website") -> DataFrame:
-    """The feed list of an outlet by the fallback chain.
+    """Feeds of each outlet by the fallback chain, as rows ``(website, feed, pos)``.
 
     Own ``rss`` when not empty; else the feed declared in its HTML head
     (``html_feeds(website, feed)``); else the feed-like locations found in its
     sitemap (``sitemap_feeds(website, feed)``, built by J5's caller from
     sitemap.xml, sitemap_index.xml or the robots.txt sitemaps in that order).
+    Feeds stay rows: a sitemap may name any number of them.
     """
-    out = outlets
-    own = F.when(F.coalesce(F.size("rss"), F.lit(0)) > 0, F.col("rss"))
-    found = [own]
-    if html_feeds is not None:
-        h = html_feeds.groupBy(website).agg(F.array_sort(F.collect_set("feed")).alias("_html"))
-        out = out.join(h, website, "left")
-        found.append(F.col("_html"))
-    if sitemap_feeds is not None:
-        s = sitemap_feeds.groupBy(website).agg(F.array_sort(F.collect_set("feed")).alias("_smap"))
-        out = out.join(s, website, "left")
-        found.append(F.col("_smap"))
-    out = out.withColumn("feeds", F.coalesce(*found, F.array().cast("array<string>")))
-    return out.drop("_html", "_smap")
+    out = outlets.filter(F.size("rss") > 0).select(website, F.posexplode("rss").alias("pos", "feed")) \
+        .groupBy(website, "feed").agg(F.min("pos").alias("pos"))
+    for found in (html_feeds, sitemap_feeds):
+        if found is not None:
+            rows = found.join(outlets.select(website), website, "left_semi").select(website, "feed").distinct()
+            fresh = rows.join(out.select(website).distinct(), website, "left_anti")
+            out = out.unionByName(fresh.withColumn("pos", F.lit(0)))
+    return out.select(website, "feed", "pos")
 
 
 def record_captures(selected: DataFrame, archive_results: DataFrame, url: str = "url") -> DataFrame:
@@ -104,7 +104,7 @@ def record_captures(selected: DataFrame, archive_results: DataFrame, url: str =
     The latest call per URL decides; its output is read by P14.
     """
     last = archive_results.groupBy("url").agg(
-        F.max_by(F.col("output"), F.col("called_at")).alias("output"),
+        F.max_by(F.col("output"), F.struct("called_at", "output")).alias("output"),
         F.max("called_at").alias("archived_time"))
     res = last.withColumn("_o", archive_outcome("output")) \
         .filter(F.col("_o.status") == "archived") \
@@ -114,13 +114,15 @@ def record_captures(selected: DataFrame, archive_results: DataFrame, url: str =
 
 
 def content_check(candidates: DataFrame, bodies: DataFrame, url: str = "url",
-                  unit: str = "words", size: str = "content_size") -> DataFrame:
+                  unit: str = "words", size: str = "content_size", ts: str | None = None) -> DataFrame:
     """Candidates left-joined to the size of their page text; no body -> rejected.
 
     ``bodies(url, content_size)`` carries the size computed at the scan, not
-    the body, so the wide column never crosses the shuffle.
+    the body, so the wide column never crosses the shuffle. With ``ts`` the
+    latest fetch decides, else there must be one row per URL (the largest counts).
     """
-    b = bodies.groupBy(url).agg(F.max(size).alias(size))
+    pick = F.max_by(F.col(size), F.struct(ts, size)) if ts else F.max(size)
+    b = bodies.groupBy(url).agg(pick.alias(size))
     joined = candidates.join(b, url, "left")
     return joined.withColumn("has_content", enough_content_flag(F.col(size), unit))
 

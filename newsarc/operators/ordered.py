@@ -1,80 +1,103 @@
-"""Skew-safe ordered operations over range partitions: previous value, running
-sums, row numbers, as-of lookup, sessions.
+"""Skew-safe ordered operations over key ranges: previous value, running sums,
+row numbers, as-of lookup, sessions.
 
 A window ``partitionBy(key).orderBy(ts)`` sends every row of a key to one
 task; with one key holding a third of the rows that task holds a third of
-the data. Here the rows are range-partitioned on ``key + order`` instead:
-Spark samples the sort key, so even the hottest key is cut into balanced,
-contiguous ranges. Each range does the ordered work for the keys inside it
-(a window over ``(range, key)``), and what crosses a range border comes from
-a carry table with one row per ``(range, key)`` -- as many rows as ranges,
-never as many as data -- joined back on ``(range, key)``.
-
-The range id of a row comes from a sample; two plans reading the same
-exchange could sample again and disagree. The ranged rows are therefore cut
-once by a reliable ``checkpoint()`` in the shared ``spark.checkpoint.dir``:
-every branch, and every retry after a lost executor, reads the same ranges.
+the data. Here the order ``key + order`` is cut into ranges of about equal
+size, so even the hottest key is spread over several ranges; each range does
+the ordered work for the keys inside it (a window over ``(range, key)``).
+
+The borders are a scalar subquery: a sorted array taken from the rows with the
+smallest hashes (a bounded sample, the same in every evaluation). A row's range
+is an expression of the row and that array, so nothing is checkpointed, no job
+runs before the query itself and a retried task finds the same ranges. Only
+the key at a border can reach into the next range: the carry table holds those
+keys alone, at most two rows per range, which is why it may be broadcast. Keys
+are compared null-safely throughout.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsarc.session import ensure_checkpoint_dir
+SAMPLE_PER_RANGE = 16
 
 
 def _cols(xs):
     return [F.col(x) for x in xs]
 
 
-def ranged(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
-    """``df`` range-partitioned and sorted on ``keys``, with its range id ``_pid``, fixed."""
+def _row(xs) -> Column:
+    return F.struct(*_cols(xs))
+
+
+def ranged(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """``df`` plus its range ``_pid`` and ``_edge``: the key reaches over a border of some range."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(n, *_cols(keys)).sortWithinPartitions(*keys) \
-        .withColumn("_pid", F.spark_partition_id())
-    ensure_checkpoint_dir(df.sparkSession)
-    return out.checkpoint(eager=True)
+    keys = by + order
+    sample = (df.select(_row(keys).alias("k"), F.xxhash64(*_cols(keys)).alias("h"))
+              .orderBy("h", "k").limit(n * SAMPLE_PER_RANGE)
+              .agg(F.array_sort(F.collect_list("k")).alias("b")))
+    every = F.filter("b", lambda _, i: i % SAMPLE_PER_RANGE == SAMPLE_PER_RANGE - 1)
+    borders = sample.select(every.alias("b")).scalar()
+    out = df.withColumn("_b", borders)
+    out = out.withColumn("_pid", F.size(F.filter("_b", lambda b: b <= _row(keys))))
+    same = F.exists("_b", lambda b: reduce(lambda x, y: x & y, [b[k].eqNullSafe(F.col(k)) for k in by])) \
+        if by else F.lit(True)
+    return out.withColumn("_edge", same).drop("_b")
 
 
-def _prev_in_ranges(r: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
-    w = Window.partitionBy("_pid", *by).orderBy(*_cols(order))
-    local = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    # aggregated from the windowed rows: already partitioned by (range, key), no new shuffle
-    last = local.groupBy("_pid", *by).agg(F.max_by(F.col(value), F.struct(*_cols(order))).alias("_last"))
-    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*by).orderBy("_pid"))) \
-        .select("_pid", *by, "_carry")
-    return local.join(carry, ["_pid", *by], "left") \
-        .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))) \
-        .drop("_lag", "_first", "_carry")
+def _with_carry(local: DataFrame, carry: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
+    """Left join of the carry columns on (range, key), null-safe; the carry is at most two rows per range."""
+    c = carry.select(F.col("_pid").alias("_cp"), *[F.col(k).alias(f"_c_{k}") for k in by], *cols)
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in by], F.col("_pid") == F.col("_cp"))
+    return local.join(F.broadcast(c), on, "left").drop("_cp", *[f"_c_{k}" for k in by])
 
 
-def _sums_in_ranges(r: DataFrame, by: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
+def _before(by: list[str]):
+    """All earlier ranges of the key (over the carry table)."""
+    return Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def previous_value(df: DataFrame, by: list[str], order: list[str], value: str,
+                   out: str = "prev", exists: str | None = None) -> DataFrame:
+    """``lag(value)`` over ``partitionBy(by).orderBy(order)``; ``order`` makes rows unique.
+
+    ``exists`` names a column that tells whether there is a previous row (its value may be NULL).
+    """
+    r = ranged(df, by, order)
+    w = Window.partitionBy("_pid", *by).orderBy(*_cols(order))
+    local = r.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    last = r.filter("_edge").groupBy("_pid", *by).agg(
+        F.max_by(F.struct(F.col(value).alias("v")), _row(order)).alias("_last"))
+    carry = last.withColumn("_carry", F.last("_last").over(_before(by)))
+    joined = _with_carry(local, carry, by, ["_carry"])
+    joined = joined.withColumn(out, F.when(F.col("_first"), F.col("_carry.v")).otherwise(F.col("_lag")))
+    if exists:
+        joined = joined.withColumn(exists, ~F.col("_first") | F.col("_carry").isNotNull())
+    return joined.drop("_lag", "_first", "_carry", "_pid", "_edge")
+
+
+def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[str, str],
+                 partitions: int | None = None) -> DataFrame:
+    """Cumulative sums ``{out: column}`` over ``partitionBy(by).orderBy(order)``."""
+    r = ranged(df, by, order, partitions)
     w = Window.partitionBy("_pid", *by).orderBy(*_cols(order)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = r
     for o, src in values.items():
         local = local.withColumn(f"_l_{o}", F.sum(src).over(w))
-    totals = local.groupBy("_pid", *by).agg(*[F.sum(src).alias(f"_t_{o}") for o, src in values.items()])
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = r.filter("_edge").groupBy("_pid", *by).agg(*[F.sum(src).alias(f"_t_{o}") for o, src in values.items()])
     for o in values:
-        totals = totals.withColumn(f"_b_{o}", F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)))
-    totals = totals.select("_pid", *by, *[f"_b_{o}" for o in values])
-    joined = local.join(totals, ["_pid", *by], "left")
+        totals = totals.withColumn(f"_b_{o}", F.sum(f"_t_{o}").over(_before(by)))
+    joined = _with_carry(local, totals, by, [f"_b_{o}" for o in values])
     for o in values:
-        joined = joined.withColumn(o, F.col(f"_b_{o}") + F.col(f"_l_{o}")).drop(f"_b_{o}", f"_l_{o}")
-    return joined
-
-
-def previous_value(df: DataFrame, by: list[str], order: list[str], value: str,
-                   out: str = "prev") -> DataFrame:
-    """``lag(value)`` over ``partitionBy(by).orderBy(order)``; ``order`` makes rows unique."""
-    return _prev_in_ranges(ranged(df, by + order), by, order, value, out).drop("_pid")
-
-
-def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
-    """Cumulative sums ``{out: column}`` over ``partitionBy(by).orderBy(order)``."""
-    return _sums_in_ranges(ranged(df, by + order), by, order, values).drop("_pid")
+        joined = joined.withColumn(o, F.coalesce(F.col(f"_b_{o}"), F.lit(0)) + F.col(f"_l_{o}")) \
+            .drop(f"_b_{o}", f"_l_{o}")
+    return joined.drop("_pid", "_edge")
 
 
 def ranked_by_range(df: DataFrame, order: list[str], by: list[str] | None = None,
@@ -84,35 +107,35 @@ def ranked_by_range(df: DataFrame, order: list[str], by: list[str] | None = None
     Inside a range the rows are numbered in order; each range adds the rows of
     its group in the ranges before it. ``order`` must make rows unique.
     """
-    by = by or []
-    r = ranged(df.withColumn("_one", F.lit(1)), by + order, partitions)
-    return _sums_in_ranges(r, by, order, {out: "_one"}).withColumn(out, F.col(out).cast("long")) \
-        .drop("_pid", "_one")
+    out_df = running_sums(df.withColumn("_one", F.lit(1)), by or [], order, {out: "_one"}, partitions)
+    return out_df.withColumn(out, F.col(out).cast("long")).drop("_one")
 
 
 def asof_by_range(left: DataFrame, right: DataFrame, by: list[str], on: str, value: str,
                   out: str = "match", partitions: int | None = None) -> DataFrame:
     """As-of lookup: for each left row, the ``value`` of the last right row with
-    ``right.on <= left.on`` in the same ``by`` group (ties go to the right row).
+    ``right.on <= left.on`` in the same ``by`` group (ties of ``on`` go to the
+    right row, among right rows to the largest ``value``).
 
-    Lookups and facts are range-partitioned together; each (range, group)
-    forward-fills the last fact; the fact crossing into a range comes from the
-    carry table.
+    Lookups and facts are ranged together; each (range, group) forward-fills
+    the last fact; the fact crossing into a range comes from the carry table.
     """
     r = right.select(*by, on, F.col(value).alias("_val")).withColumn("_kind", F.lit(0))
     l_ = left.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(r.schema["_val"].dataType))
-    both = ranged(l_.unionByName(r, allowMissingColumns=True), by + [on, "_kind"], partitions)
-    w = Window.partitionBy("_pid", *by).orderBy(F.col(on), F.col("_kind")) \
+    both = ranged(l_.unionByName(r, allowMissingColumns=True), by, [on, "_kind"], partitions)
+    w = Window.partitionBy("_pid", *by).orderBy(F.col(on), F.col("_kind"), F.col("_val")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = both.withColumn("_local", F.last("_val", ignorenulls=True).over(w))
-    local = filled.filter(F.col("_kind") == 1)
-    per = filled.groupBy("_pid", *by).agg(
-        F.max_by(F.col("_val"), F.when(F.col("_kind") == 0, F.struct(F.col(on)))).alias("_last"))
-    wc = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.withColumn("_carry", F.last("_last", ignorenulls=True).over(wc)).select("_pid", *by, "_carry")
-    return local.join(carry, ["_pid", *by], "left") \
+    local = both.withColumn("_local", F.last("_val", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+    per = both.filter(F.col("_edge") & (F.col("_kind") == 0)).groupBy("_pid", *by).agg(
+        F.max_by(F.col("_val"), F.struct(F.col(on), F.col("_val"))).alias("_last"))
+    # every range of a border key needs an entry, also those without a fact
+    spans = both.filter("_edge").select("_pid", *by).distinct()
+    key = reduce(lambda x, y: x & y, [spans[k].eqNullSafe(per[k]) for k in by], spans["_pid"] == per["_pid"])
+    carry = spans.join(per, key, "left").select(spans["_pid"], *[spans[k] for k in by], "_last")
+    carry = carry.withColumn("_carry", F.last("_last", ignorenulls=True).over(_before(by)))
+    return _with_carry(local, carry, by, ["_carry"]) \
         .withColumn(out, F.coalesce("_local", "_carry")) \
-        .drop("_kind", "_val", "_local", "_carry", "_pid")
+        .drop("_kind", "_val", "_local", "_carry", "_pid", "_edge")
 
 
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, tiebreak: str | None = None) -> DataFrame:
@@ -120,29 +143,26 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, tiebreak: str |
 
     A row opens a session when the key's previous row is ``gap`` or more
     before it; the session id is the running count of openings. One window
-    pass over each (range, key) finds the openings after the range's first
-    row and their running count; a table with one row per (range, key) then
-    settles whether each range's first row opens a session (against the last
-    time of the key's previous range) and how many sessions came before it.
-    Sessions are finally an ordinary aggregate.
+    pass over each (range, key) counts the openings; for the keys at the
+    borders the carry table settles whether a range's first row opens a session
+    (against the last time of the key's earlier ranges) and how many sessions
+    came before it. Sessions are finally an ordinary aggregate.
     """
     order = [ts] + ([tiebreak] if tiebreak else [])
     gap_us = gap_seconds * 1_000_000
-    r = ranged(df, [key] + order).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    r = ranged(df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))), [key], order)
     w = Window.partitionBy("_pid", key).orderBy(*_cols(order))
-    lag_us = F.lag("_us").over(w)
-    local = r.withColumn("_open", F.when(lag_us.isNotNull() & (F.col("_us") - lag_us >= gap_us), 1).otherwise(0)) \
-        .withColumn("_cum", F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    per = local.groupBy("_pid", key).agg(F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"),
-                                          F.sum("_open").alias("_opens"))
-    wk = Window.partitionBy(key).orderBy("_pid")
-    prev_last = F.lag("_last_us").over(wk)
+    opens = F.when(F.col("_us") - F.lag("_us").over(w) >= gap_us, 1).otherwise(0)
+    rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = r.withColumn("_open", opens).withColumn("_cum", F.sum("_open").over(rows))
+    per = local.filter("_edge").groupBy("_pid", key).agg(
+        F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"), F.sum("_open").alias("_opens"))
+    prev_last = F.lag("_last_us").over(Window.partitionBy(key).orderBy("_pid"))
     per = per.withColumn("_first_open", F.when(prev_last.isNull() | (F.col("_first_us") - prev_last >= gap_us), 1)
                          .otherwise(0))
-    per = per.withColumn("_before", F.coalesce(
-        F.sum(F.col("_first_open") + F.col("_opens")).over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = local.join(per.select("_pid", key, "_first_open", "_before"), ["_pid", key], "left") \
-        .withColumn("_sid", F.col("_before") + F.col("_first_open") + F.col("_cum"))
+    per = per.withColumn("_before", F.sum(F.col("_first_open") + F.col("_opens")).over(_before([key])))
+    numbered = _with_carry(local, per, [key], ["_first_open", "_before"]).withColumn(
+        "_sid", F.coalesce("_before", F.lit(0)) + F.coalesce("_first_open", F.lit(1)) + F.col("_cum"))
     return numbered.groupBy(key, "_sid").agg(
         F.min(ts).alias("session_start"),
         (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),

@@ -63,11 +63,11 @@ def capture_changes(captures: DataFrame, key: str = "urlkey", ts: str = "ts",
     against the previous capture's digest (over range partitions: no URL is
     ever sorted whole in one task)."""
     order = [ts] + ([tiebreak] if tiebreak else [])
-    prev = ordered.previous_value(captures, [key], order, digest, out="prev_digest")
-    change = (F.when(F.col("prev_digest").isNull(), F.lit("first"))
-              .when(F.col("prev_digest") == F.col(digest), F.lit("unchanged"))
+    prev = ordered.previous_value(captures, [key], order, digest, out="prev_digest", exists="_had")
+    change = (F.when(~F.col("_had"), F.lit("first"))
+              .when(F.col("prev_digest").eqNullSafe(F.col(digest)), F.lit("unchanged"))
               .otherwise(F.lit("changed")))
-    return prev.withColumn("change", change)
+    return prev.withColumn("change", change).drop("_had")
 
 
 def crawl_progress(captures: DataFrame, crawl: str = "collection", ts: str = "ts",
@@ -88,12 +88,21 @@ def top_n(df: DataFrame, by: str, n: int, tiebreak: str | None = None) -> DataFr
 def page_durations(log: DataFrame, crawl: str = "collection", page: str = "page",
                    ts: str = "timestamp", start_msg: str = "Awaiting page load",
                    end_msg: str = "Page Finished") -> DataFrame:
-    """Per crawl and page, the first start message and the first finish after it."""
+    """One row per visit of a page in a crawl: its start message and the first finish after it.
+
+    A visit runs from one start to the page's next one; ``finished`` is NULL when
+    the page did not finish in between, finishes before any start are left out.
+    """
     is_start = F.col("message").contains(start_msg)
     is_end = F.col("message").contains(end_msg)
-    agg = log.filter(F.col(page).isNotNull()).groupBy(crawl, page).agg(
+    # a finish logged in the same instant as a start belongs to the visit before
+    w = Window.partitionBy(crawl, page).orderBy(F.col(ts), is_start.cast("int")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    visits = log.filter(F.col(page).isNotNull() & (is_start | is_end)) \
+        .withColumn("visit", F.sum(is_start.cast("int")).over(w)).filter(F.col("visit") > 0)
+    agg = visits.groupBy(crawl, page, "visit").agg(
         F.min(F.when(is_start, F.col(ts))).alias("started"),
-        F.max(F.when(is_end, F.col(ts))).alias("finished"))
+        F.min(F.when(is_end, F.col(ts))).alias("finished"))
     return agg.withColumn("seconds",
                           F.col("finished").cast("double") - F.col("started").cast("double"))
 

@@ -32,21 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a small input that arrives in fewer splits than cores.
-
-    A big table arrives in thousands of splits and is returned unchanged (no
-    shuffle); only a table read as a handful of row groups is spread
-    round-robin. The partition count is known at planning, no job runs.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # a Spark Connect session has no RDD view: leave the plan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def _case(col, mapping: dict, default):
     expr = None
     for k, v in mapping.items():
@@ -70,9 +55,9 @@ def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 over every page: page_id, website, website_hash, pos, href, url."""
-    p = spread(table(spark, sf_dir, "pages").select(
+    p = table(spark, sf_dir, "pages").select(
         "page_id", "html", F.col("url").alias("page_url"),
-        U.site_root("url").alias("website")))
+        U.site_root("url").alias("website"))
     p = p.withColumn("website_hash", F.md5("website"))
     return extract_links(p, body="html", base="page_url",
                          keep=("page_id", "website", "website_hash"))
@@ -87,7 +72,7 @@ def page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text size of each page, computed in the scan (the body is dropped here)."""
-    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return with_text_sizes(p, "html", ("page_id", "url"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from newsarc.functions import urls as U
 from newsarc.functions.content import content_size, html_text, publication_time
+from newsarc.functions.records import site_record
 from newsarc.operators import aggregates as A
 from newsarc.operators import filters as FL
 from newsarc.operators import generators as G
@@ -65,11 +66,12 @@ def enrich_registry(outlets: DataFrame, fetches: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- E2-E4
 
-def candidates(outlets: DataFrame, fetches: DataFrame, n: int = 5) -> DataFrame:
+def candidates(outlets: DataFrame, fetches: DataFrame) -> DataFrame:
     """U2 of feed entries (G5 over each outlet's fetched feeds) and home-page links (G1).
 
-    Home-page links are only looked at for sites whose feeds gave fewer than
-    ``n`` entries, as the collectors fall back to the home page.
+    Every alive site offers both; the cap (W1) orders feed entries before home-page
+    links, so a site falls back to its home page for as many links as its feeds,
+    after all tests, did not give.
     """
     last = _latest(fetches)
     alive = FL.alive(outlets).select("state", "website", F.md5("website").alias("website_hash"), "rss")
@@ -79,9 +81,7 @@ def candidates(outlets: DataFrame, fetches: DataFrame, n: int = 5) -> DataFrame:
     entries = G.feed_entries(feed_bodies, keep=("state", "website", "website_hash", "feed_pos"))
     feed_c = entries.select("state", "website", "website_hash", F.col("link").alias("url"),
                             F.col("feed_pos").cast("long").alias("feed_pos"), "entry_pos", "published")
-    per_site = feed_c.groupBy("website_hash").agg(F.count(F.lit(1)).alias("_n"))
-    home_sites = alive.join(per_site.filter(F.col("_n") >= n), "website_hash", "left_anti")
-    home = home_sites.join(last.withColumnRenamed("url", "website"), "website") \
+    home = alive.drop("rss").join(last.withColumnRenamed("url", "website"), "website") \
         .withColumn("final_url", F.coalesce("final_url", "website"))
     links = G.extract_links(home, keep=("state", "website", "website_hash"))
     home_c = S.distinct_links(links.withColumn("page_id", F.lit(0).cast("long")),
@@ -91,6 +91,11 @@ def candidates(outlets: DataFrame, fetches: DataFrame, n: int = 5) -> DataFrame:
     return S.union_candidates(feed_c, home_c)
 
 
+def _by_final_url(fetches: DataFrame) -> DataFrame:
+    """Fetches under the address their body was found at (a redirected one under its target)."""
+    return fetches.withColumn("url", F.coalesce("final_url", "url"))
+
+
 def collect_articles(outlets: DataFrame, fetches: DataFrame, archive_results: DataFrame,
                      run_ts, seen: DataFrame | None = None, n: int = 5, rule: str = "base",
                      unit: str = "words", count: str = "archived") -> tuple[DataFrame, DataFrame]:
@@ -100,7 +105,7 @@ def collect_articles(outlets: DataFrame, fetches: DataFrame, archive_results: Da
     use a slot, as in the collectors); ``'selected'`` caps before it.
     """
     run = F.lit(run_ts).cast("timestamp")
-    c = candidates(outlets, fetches, n).withColumn("seen_at", run)
+    c = candidates(outlets, fetches).withColumn("seen_at", run)
     c = J.expand_urls(c, fetches, "url", out="expanded_url")
     site = "website" if rule == "not_home" else None
     c = c.filter(FL.article_flag("expanded_url", rule, site))
@@ -110,9 +115,9 @@ def collect_articles(outlets: DataFrame, fetches: DataFrame, archive_results: Da
         if "day" in seen.columns:
             seen = seen.filter(F.col("day") == F.to_date(run))
         c = J.drop_seen(c, seen.select("website_hash", "url"))
-    sizes = fetches.select(F.col("url").alias("expanded_url"),
-                           content_size(html_text("body"), unit).alias("content_size"))
-    c = J.content_check(c, sizes, "expanded_url", unit).filter("has_content")
+    sizes = _by_final_url(fetches).select(F.col("url").alias("expanded_url"), "fetched_at",
+                                          content_size(html_text("body"), unit).alias("content_size"))
+    c = J.content_check(c, sizes, "expanded_url", unit, ts="fetched_at").filter("has_content")
     if count == "selected":
         c = W.cap_per_site(c, n)
         c = J.record_captures(c, archive_results, "url")
@@ -132,19 +137,26 @@ def collect_html(outlets, fetches, archive_results, run_ts, seen=None, n: int =
     """E2 with the last-segment rule; the article bodies are returned for S4."""
     articles, new_seen = collect_articles(outlets, fetches, archive_results, run_ts, seen, n,
                                           rule="last_segment")
-    bodies = articles.join(_latest(fetches).select(F.col("url").alias("expanded_url"), "body"),
+    bodies = articles.join(_latest(_by_final_url(fetches)).select(F.col("url").alias("expanded_url"), "body"),
                            "expanded_url").select("state", "year", "month", "day", "website_hash",
                                                   F.col("link").alias("url"), "body")
     return articles, new_seen, bodies
 
 
+def site_records(outlets: DataFrame, archive_results: DataFrame, run_ts) -> DataFrame:
+    """A record per alive site that the archive took: its reference, the archive
+    time and the outlet's columns as ``publication_metadata``."""
+    recs = FL.alive(outlets)
+    recs = recs.select("state", "website", F.md5("website").alias("website_hash"),
+                       site_record(recs.columns).alias("publication_metadata"))
+    taken = J.record_captures(recs, archive_results, "website").withColumnRenamed("archive_ref", "archived_path")
+    return K.with_day_parts(taken.withColumn("_run", F.lit(run_ts).cast("timestamp")), "_run").drop("_run")
+
+
 def collect_v2(outlets, fetches, archive_results, run_ts, site_root: str | None = None, n: int = 5):
-    """Site record first (S5), the depth-3 rule, no seen set."""
-    run = F.lit(run_ts).cast("timestamp")
+    """Site records first (S5, only sites the archive took), the depth-3 rule, no seen set."""
     if site_root:
-        recs = FL.alive(outlets).select("state", "website", F.md5("website").alias("website_hash")) \
-            .withColumn("archived_time", run)
-        K.write_site_records(K.with_day_parts(recs), site_root)
+        K.write_site_records(site_records(outlets, archive_results, run_ts), site_root)
     return collect_articles(outlets, fetches, archive_results, run_ts, None, n, rule="depth3")[0]
 
 
@@ -193,6 +205,6 @@ def article_filter(links: DataFrame, fetches: DataFrame, outlets: DataFrame,
     x = J.known_domain(x, outlets, "expanded_url")
     x = S.dedup_normalized(x, "expanded_url")
     x = x.filter(FL.article_flag("norm_url", "base"))
-    sizes = fetches.select(F.regexp_replace(F.lower("url"), "/+$", "").alias("norm_url"),
-                           content_size(html_text("body"), unit).alias("content_size"))
-    return J.content_check(x, sizes, "norm_url", unit).filter("has_content").drop("has_content")
+    sizes = _by_final_url(fetches).select(F.regexp_replace(F.lower("url"), "/+$", "").alias("norm_url"), "fetched_at",
+                                          content_size(html_text("body"), unit).alias("content_size"))
+    return J.content_check(x, sizes, "norm_url", unit, ts="fetched_at").filter("has_content").drop("has_content")

@@ -8,8 +8,10 @@ captures) are CTE texts put in front of each query.
 
 from __future__ import annotations
 
-from newsarc.operators.generators import A_HREF
-
+# The oracle's own reading of a link: hidden parts cut, then attribute after attribute up to href.
+HIDDEN_SQL = "(?is)<!--.*?-->|<script[^>]*>.*?</script *>|<style[^>]*>.*?</style *>"
+LINK_SQL = (r"""(?i)<a\s+(?:[^\s"'>=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?\s+)*?"""
+            r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 SCHEME = "[A-Za-z][A-Za-z0-9+.-]*"
 
 
@@ -65,11 +67,13 @@ def domain(x):
 
 
 LINKS = f"""
-lk0 AS (SELECT page_id, url AS base, regexp_extract_all(html, {lit(A_HREF)}, 1) AS hl FROM pages),
+lk0 AS (SELECT page_id, url AS base,
+        regexp_extract_all(regexp_replace(html, {lit(HIDDEN_SQL)}, ' ', 'g'), {lit(LINK_SQL)}, 1) AS hl FROM pages),
 lk1 AS (SELECT page_id, base, unnest(hl) AS raw, CAST(unnest(range(len(hl))) AS INTEGER) AS pos FROM lk0),
 lk2 AS (SELECT page_id, base, pos,
-        replace(CASE WHEN starts_with(raw, '"') OR starts_with(raw, '''')
-                     THEN substr(raw, 2, length(raw) - 2) ELSE raw END, '&amp;', '&') AS href FROM lk1),
+        replace(replace(replace(CASE WHEN starts_with(raw, '"') OR starts_with(raw, '''')
+                     THEN substr(raw, 2, length(raw) - 2) ELSE raw END, '&#38;', '&amp;'), '&quot;', '"'),
+                '&amp;', '&') AS href FROM lk1),
 lk3 AS (SELECT *, {scheme('base')} AS bs, {scheme('href')} AS hs, {netloc('base')} AS bnet,
         {fullpath('base')} AS bpath, {query('base')} AS bq FROM lk2),
 lk4 AS (SELECT *, CASE WHEN hs <> '' THEN regexp_extract(href, '^{SCHEME}:(.*)$', 1) ELSE href END AS rest
@@ -166,28 +170,24 @@ sizes AS (SELECT page_id, url,
           CAST(length(t) AS INTEGER) AS n_chars FROM pt)"""
 
 
-def article_sql(rule: str) -> str:
-    sg = "sg"
-    first_two_b = f"len(list_filter({sg}[1:2], lambda s: regexp_matches(s, '[-_.]'))) > 0"
-    base_shape = f"(len({sg}) >= 3 OR (len({sg}) >= 1 AND {first_two_b}))"
-    if rule == "base":
-        cond = base_shape
-    elif rule == "last_segment":
+def shape_sql(rule: str, sg: str = "sg") -> str:
+    two = f"{sg}[1:2]"
+    if rule == "depth3":
+        return f"len({sg}) >= 3"
+    if rule == "last_segment":
         last = f"{sg}[len({sg})]"
-        some = (f"len(list_filter({sg}[1:2], lambda s: regexp_matches(s, '[-_.]') "
+        some = (f"len(list_filter({two}, lambda s: regexp_matches(s, '[-_.]') "
                 f"OR regexp_matches(s, '^[0-9]+$'))) > 0")
-        cond = (f"(len({sg}) >= 1 AND (regexp_matches({last}, '^[0-9]+$') OR regexp_matches({last}, '[-_.]')) "
+        return (f"(len({sg}) >= 1 AND (regexp_matches({last}, '^[0-9]+$') OR regexp_matches({last}, '[-_.]')) "
                 f"AND (len({sg}) >= 3 OR {some}))")
-    elif rule == "depth3":
-        cond = f"len({sg}) >= 3"
-    else:
-        cond = f"(NOT (url = website OR {path('website')} = {path('url')}) AND {base_shape})"
-    src = "cw" if rule == "not_home" else "cand"
-    extra = f", {OUTLETS}, cw AS (SELECT cand.*, outlets.website FROM cand JOIN outlets USING (website_hash))" \
-        if rule == "not_home" else ""
-    return f"""WITH {LINKS}, {DLINKS}, {CAND}{extra},
-c2 AS (SELECT *, {segs('url')} AS sg, {valid('url')} AS ok FROM {src})
-SELECT website_hash, url, origin, feed_pos, entry_pos FROM c2 WHERE ok AND {cond}"""
+    return (f"(len({sg}) >= 3 OR (len({sg}) >= 1 "
+            f"AND len(list_filter({two}, lambda s: regexp_matches(s, '[-_.]'))) > 0))")
+
+
+def article_sql(rule: str) -> str:
+    return f"""WITH {LINKS}, {DLINKS}, {CAND},
+c2 AS (SELECT *, {segs('url')} AS sg, {valid('url')} AS ok FROM cand)
+SELECT website_hash, url, origin, feed_pos, entry_pos FROM c2 WHERE ok AND {shape_sql(rule)}"""
 
 
 BASE_ART = f"""
@@ -216,6 +216,12 @@ SITE_STATUS = """
 st AS (SELECT url AS website, arg_max(status, ts) AS website_status FROM ec GROUP BY 1)"""
 
 
+DOC_TEXT = f"""
+d0 AS (SELECT doc_id, trim(regexp_replace(text, '{BLANKS}', ' ', 'g'), ' ') AS t FROM documents),
+dt AS (SELECT doc_id, CAST(len(list_filter(string_split(t, ' '), lambda w: w <> '')) AS INTEGER) AS n_words,
+       CAST(length(t) AS INTEGER) AS n_chars FROM d0)"""
+
+
 def surt_sql(x: str) -> str:
     host = f"regexp_replace(lower({netloc(x)}), '^www\\.', '')"
     q = query(x)
@@ -229,12 +235,22 @@ ORACLE: dict[str, str] = {
     "q_links_per_page": f"WITH {LINKS} SELECT page_id, count(DISTINCT url) AS n_links FROM links GROUP BY 1",
     "q_articles_base": article_sql("base"),
     "q_articles_last_segment": article_sql("last_segment"),
-    "q_articles_depth3": article_sql("depth3"),
-    "q_articles_not_home": article_sql("not_home"),
-    "q_same_site": f"""WITH {LINKS}
-        SELECT page_id, pos, url FROM links WHERE starts_with({netloc('url')}, {netloc('website')})""",
-    "q_crawlable": f"""WITH {LINKS}, {DLINKS}, {CAND}
-        SELECT website_hash, url, origin FROM cand WHERE regexp_matches(url, '^https?://')""",
+    "q_articles_depth3": f"""WITH {EC}, {ARCH},
+        u AS (SELECT 'page' AS kind, page_id AS id, url FROM pages
+              UNION ALL SELECT 'archive', event_id, output FROM arch)
+        SELECT kind, id, url FROM u WHERE {valid('url')} AND len({segs('url')}) >= 3""",
+    "q_articles_not_home": f"""WITH {LINKS}, {DLINKS}, {CAND},
+        homes AS (SELECT md5({site('url')}) AS website_hash, arg_min(url, page_id) AS home FROM pages GROUP BY 1),
+        c2 AS (SELECT c.*, home, {segs('url')} AS sg, {valid('url')} AS ok FROM cand c JOIN homes USING (website_hash))
+        SELECT website_hash, url, origin, feed_pos, entry_pos FROM c2
+        WHERE ok AND {shape_sql('base')} AND NOT (url = home OR {path('home')} = {path('url')})""",
+    "q_same_site": f"""WITH {LINKS}, {EC},
+        u AS (SELECT 'link' AS kind, page_id AS id, url, website FROM links
+              UNION ALL SELECT 'capture', event_id, url, 'https://u1' FROM ec)
+        SELECT kind, id, url FROM u WHERE starts_with({netloc('url')}, {netloc('website')})""",
+    "q_crawlable": f"""WITH {LINKS},
+        u AS (SELECT page_id, pos, href AS link FROM links UNION ALL SELECT page_id, pos, url FROM links)
+        SELECT page_id, pos, link FROM u WHERE regexp_matches(link, '^https?://')""",
     "q_url_parts": f"""SELECT page_id, {scheme('url')} AS scheme, {netloc('url')} AS netloc, {path('url')} AS path,
         {query('url')} AS query, {fragment('url')} AS fragment, CAST(len({segs('url')}) AS INTEGER) AS depth,
         {valid('url')} AS valid FROM pages""",
@@ -248,10 +264,10 @@ ORACLE: dict[str, str] = {
         md5({site('url')})) AS archive_path FROM pages""",
     "q_url_order": f"SELECT page_id, {surt_sql('url')} AS urlkey FROM pages ORDER BY urlkey, page_id",
     "q_html_words": f"WITH {SIZES} SELECT page_id, n_words, n_chars FROM sizes",
-    "q_content_words20": f"WITH {SIZES} SELECT page_id, n_words FROM sizes WHERE n_words >= 20",
-    "q_content_chars20": f"WITH {SIZES} SELECT page_id, n_chars FROM sizes WHERE n_chars > 20",
+    "q_content_words20": f"WITH {DOC_TEXT} SELECT doc_id, n_words FROM dt WHERE n_words >= 20",
+    "q_content_chars20": f"WITH {DOC_TEXT} SELECT doc_id, n_chars FROM dt WHERE n_chars > 20",
     "q_content_check": f"""WITH {LINKS}, {DLINKS}, {CAND}, {SIZES},
-        sz AS (SELECT url, max(n_words) AS content_size FROM sizes GROUP BY 1)
+        sz AS (SELECT url, arg_max(n_words, page_id) AS content_size FROM sizes GROUP BY 1)
         SELECT c.website_hash, c.url, c.origin, coalesce(sz.content_size >= 20, false) AS has_content
         FROM cand c LEFT JOIN sz ON c.url = sz.url""",
     "q_cap5": f"""WITH {LINKS}, {DLINKS}, {CAND}, {BASE_ART}
@@ -265,9 +281,10 @@ ORACLE: dict[str, str] = {
     "q_drop_seen": f"""WITH {LINKS}
         SELECT page_id, pos, website_hash, url FROM links l WHERE NOT EXISTS (
           SELECT 1 FROM links s WHERE s.website_hash = l.website_hash AND s.url = l.url AND s.page_id < l.page_id)""",
-    "q_known_domain": f"""WITH {LINKS}, {OUTLETS},
-        reg AS (SELECT DISTINCT {domain('website')} AS d FROM outlets WHERE state = 'EN')
-        SELECT page_id, pos, url FROM links WHERE {domain('url')} IN (SELECT d FROM reg)""",
+    "q_known_domain": f"""WITH {LINKS}, {OUTLETS}, {EC},
+        reg AS (SELECT DISTINCT {domain('website')} AS d FROM outlets),
+        u AS (SELECT 'link' AS kind, page_id AS id, url FROM links UNION ALL SELECT 'capture', event_id, url FROM ec)
+        SELECT kind, id, url FROM u WHERE {domain('url')} IN (SELECT d FROM reg)""",
     "q_new_urls": f"""WITH {LINKS}, {TODAY_BEFORE}
         SELECT website_hash, url FROM tb WHERE page_id = last_page
         EXCEPT SELECT website_hash, url FROM tb WHERE page_id < last_page""",
@@ -281,12 +298,17 @@ ORACLE: dict[str, str] = {
         FROM cand c LEFT JOIN f ON c.url = f.furl""",
     "q_in_scope": f"""WITH {LINKS}, {DLINKS}, {CAND},
         seeds AS (SELECT md5({site('url')}) AS website_hash, page_id AS feed_pos,
-                  {site('url')} || {lang('url')} || '/' AS seed_url FROM pages),
-        cs AS (SELECT c.*, s.seed_url FROM cand c JOIN seeds s USING (website_hash, feed_pos))
+                  CASE WHEN page_id % 2 = 1 THEN {scheme('url')} || '://' || {netloc('url')}
+                       ELSE {site('url')} || {lang('url')} || '/' END AS seed_url FROM pages),
+        cs AS (SELECT c.*, s.seed_url FROM cand c JOIN seeds s USING (website_hash, feed_pos)),
+        parts AS (SELECT *, split_part('@' || lower({netloc('url')}), '@', -1) AS uh, {fullpath('url')} AS up,
+                  split_part('@' || lower({netloc('seed_url')}), '@', -1) AS sh, {fullpath('seed_url')} AS sp FROM cs)
         SELECT website_hash, url, origin, feed_pos, entry_pos,
-          coalesce(regexp_matches(url, '^https?://') AND starts_with(regexp_replace(url, '^{SCHEME}://', ''),
-            regexp_extract(regexp_replace(seed_url, '^{SCHEME}://', ''), '^(.*/)', 1)), false) AS in_scope
-        FROM cs""",
+          coalesce(regexp_matches(url, '^https?://') AND sh <> '' AND uh = sh
+            AND starts_with(CASE WHEN up = '' THEN '/' ELSE up END,
+                            CASE WHEN sp = '' THEN '/' ELSE left(sp, length(sp) - position('/' in reverse(sp)) + 1) END),
+            false) AS in_scope
+        FROM parts""",
     "q_seed_report": f"""WITH {PAGE_CAPS}
         SELECT collection, count(*) AS documents, CAST(sum(length) AS BIGINT) AS bytes FROM pc GROUP BY 1""",
     "q_host_report": f"WITH {PAGE_CAPS} SELECT host, documents, bytes FROM hosts",
@@ -319,9 +341,10 @@ ORACLE: dict[str, str] = {
         FROM ec""",
     "q_capture_changes": f"""WITH {EC},
         l AS (SELECT event_id, urlkey, digest,
-              lag(digest) OVER (PARTITION BY urlkey ORDER BY ts, event_id) AS prev_digest FROM ec)
+              lag(digest) OVER (PARTITION BY urlkey ORDER BY ts, event_id) AS prev_digest,
+              row_number() OVER (PARTITION BY urlkey ORDER BY ts, event_id) AS nth FROM ec)
         SELECT event_id, urlkey, prev_digest,
-          CASE WHEN prev_digest IS NULL THEN 'first' WHEN prev_digest = digest THEN 'unchanged'
+          CASE WHEN nth = 1 THEN 'first' WHEN prev_digest IS NOT DISTINCT FROM digest THEN 'unchanged'
                ELSE 'changed' END AS change FROM l""",
     "q_capture_as_of": f"""WITH {EC},
         req AS (SELECT event_id, urlkey, ts FROM ec WHERE digest = 'view'),
@@ -388,9 +411,8 @@ ORACLE: dict[str, str] = {
     "q_registry_seeds": f"""WITH {OUTLETS}
         SELECT DISTINCT regexp_replace(website, '/+$', '') || '/' AS seed_url FROM outlets
         WHERE website IS NOT NULL AND website <> ''""",
-    "q_exact_ok": f"""WITH {OUTLETS}
-        SELECT website_hash, website, state FROM outlets
-        WHERE media = 'newspaper' AND website_status = 200 AND website IS NOT NULL AND website <> ''""",
+    "q_exact_ok": f"""WITH {EC}
+        SELECT event_id, url AS website FROM ec WHERE mime = 'text/html' AND status = 200 AND url <> ''""",
     "q_feed_like": "SELECT page_id, url FROM pages WHERE contains(url, 'rss') OR contains(url, 'feed')",
     "q_status_class": f"""WITH {EC}
         SELECT event_id, status, CASE WHEN status IS NULL THEN NULL WHEN status BETWEEN 200 AND 299 THEN '2xx'
@@ -427,3 +449,50 @@ ORACLE["q_seed_type"] = f"""WITH s AS ({ORACLE['q_in_scope']}),
       coalesce(origin = 0, false) AS one_page,
       coalesce(origin = 0 OR origin = 1, false) AS one_page_plus
     FROM h"""
+
+ORACLE["q_collect"] = f"""WITH {LINKS}, {DLINKS}, {CAND}, {SIZES},
+    c AS (SELECT website_hash, url, origin, feed_pos, entry_pos FROM
+          (SELECT *, {segs('url')} AS sg, {valid('url')} AS ok FROM cand) WHERE ok AND {shape_sql('base')}),
+    seen AS (SELECT md5({site('url')}) AS website_hash, url FROM pages WHERE page_id % 3 = 0),
+    sz AS (SELECT url, arg_max(n_words, page_id) AS content_size FROM sizes GROUP BY 1),
+    calls AS (SELECT url, arg_max(page_id, page_id) AS last_id FROM pages GROUP BY 1),
+    kept AS (SELECT c.* FROM c JOIN sz USING (url) JOIN calls USING (url)
+             WHERE content_size >= 20 AND last_id % 5 <> 0 AND NOT EXISTS (
+               SELECT 1 FROM seen s WHERE s.website_hash = c.website_hash AND s.url = c.url))
+    SELECT website_hash, url, origin, CAST(rank AS INTEGER) AS rank, 'https://web.archive.org/web/1/' || url AS archive_ref
+    FROM (SELECT *, row_number() OVER (PARTITION BY website_hash ORDER BY origin, feed_pos, entry_pos, url) AS rank FROM kept)
+    WHERE rank <= 5"""
+
+ORACLE["q_discover_feeds"] = f"""SELECT page_id, {site('url')} || CASE WHEN page_id % 2 = 0
+      THEN 'rss/' || CAST(page_id AS VARCHAR) || '?a=1&b=2' ELSE 'atom/' || CAST(page_id AS VARCHAR) END AS feed FROM pages"""
+ORACLE["q_robots_sitemaps"] = f"""SELECT page_id, 0 AS pos, {site('url')} || 'map-' || CAST(page_id AS VARCHAR) || '.xml' AS sitemap
+    FROM pages UNION ALL SELECT page_id, 1, {site('url')} || 'news.xml' FROM pages"""
+ORACLE["q_sitemap_locs"] = """SELECT page_id, 0 AS pos, url || '&x=A' AS loc FROM pages
+    UNION ALL SELECT page_id, 1, url FROM pages"""
+ORACLE["q_feed_entries"] = """SELECT page_id, 0 AS entry_pos, url AS link, 'day ' || CAST(page_id AS VARCHAR) AS published FROM pages
+    UNION ALL SELECT page_id, 2, url, 'p' || CAST(page_id AS VARCHAR) FROM pages"""
+ORACLE["q_seed_metrics"] = f"""WITH {EC},
+    c AS (SELECT urlkey, status, length, digest, event_id % 5 = 0 AS robots FROM ec),
+    m AS (SELECT urlkey, count(*) AS documents, CAST(sum(length) AS BIGINT) AS bytes,
+            count(*) FILTER (WHERE status // 100 = 2) AS ok, count(*) FILTER (WHERE status // 100 = 3) AS redirects,
+            count(*) FILTER (WHERE status // 100 = 4) AS client_errors, count(*) FILTER (WHERE status // 100 = 5) AS server_errors,
+            count(*) FILTER (WHERE robots AND status >= 400) AS robots_fail,
+            count(*) FILTER (WHERE robots AND status >= 400) > 0
+              AND count(*) FILTER (WHERE NOT robots AND status // 100 = 2) = 0 AS robots_blocked FROM c GROUP BY 1),
+    s AS (SELECT urlkey, count(*) AS seeds FROM c WHERE digest = 'purchase' GROUP BY 1)
+    SELECT * FROM m FULL JOIN s USING (urlkey)"""
+ORACLE["q_average_usage"] = f"""WITH {EC}
+    SELECT collection, count(DISTINCT CAST(ts AS DATE)) AS days,
+           CAST(sum(length) // count(DISTINCT CAST(ts AS DATE)) AS BIGINT) AS bytes_per_day FROM ec GROUP BY 1"""
+ORACLE["q_page_durations"] = f"""WITH {EC},
+    l AS (SELECT collection, urlkey AS page, ts, digest = 'view' AS st FROM ec WHERE digest IN ('view', 'click', 'purchase')),
+    v AS (SELECT *, CAST(sum(CAST(st AS INTEGER)) OVER (PARTITION BY collection, page ORDER BY ts, st
+            ROWS UNBOUNDED PRECEDING) AS BIGINT) AS visit FROM l)
+    SELECT collection, page, visit, min(ts) FILTER (WHERE st) AS started, min(ts) FILTER (WHERE NOT st) AS finished
+    FROM v WHERE visit > 0 GROUP BY 1, 2, 3"""
+ORACLE["q_log_field"] = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
+ORACLE["q_site_record"] = f"WITH {OUTLETS} SELECT website_hash, state, media, name, website FROM outlets"
+ORACLE["q_page_captures"] = f"""WITH {PAGE_CAPS}
+    SELECT p.page_id, p.collection, p.url, make_timestamp(c.page_id * 1000000) AS capture_ts,
+           CASE WHEN c.page_id IS NOT NULL THEN md5(c.url) END AS digest, c.length
+    FROM pc p LEFT JOIN (SELECT * FROM pc WHERE page_id % 2 = 0) c ON p.collection = c.collection AND p.url = c.url"""

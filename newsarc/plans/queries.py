@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsarc.functions import urls as U
-from newsarc.functions.content import publication_time
-from newsarc.functions.records import archive_outcome, status_class
+from newsarc.functions.content import BLANKS, content_size, publication_time
+from newsarc.functions.records import archive_outcome, log_field, site_record, status_class
 from newsarc.operators import aggregates as A
 from newsarc.operators import filters as FL
 from newsarc.operators import generators as G
@@ -60,28 +60,44 @@ def q_union_candidates(spark, sf):
     return _candidates(spark, sf)
 
 
-def _with_site(spark, sf):
-    sites = D.outlets(spark, sf).select("website_hash", "website")
-    return _candidates(spark, sf).join(sites, "website_hash")
-
-
 def _articles(rule):
     def q(spark, sf):
-        c = _with_site(spark, sf) if rule == "not_home" else _candidates(spark, sf)
-        out = FL.article_url(c, rule, "url", "website" if rule == "not_home" else None)
+        out = FL.article_url(_candidates(spark, sf), rule, "url")
         return out.select("website_hash", "url", "origin", "feed_pos", "entry_pos")
-    q.__doc__ = f"F3-F6: article test, rule {rule!r}, over the candidates."
+    q.__doc__ = f"F3, F4: article test, rule {rule!r}, over the candidates."
     return q
 
 
+def q_articles_depth3(spark, sf):
+    """F5 over page URLs (depth 2 at most) and the archiver's outputs (archive URLs are deep, errors no URL)."""
+    pages = D.table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), "url")
+    refs = D.archive_results(spark, sf).select(F.lit("archive").alias("kind"), F.col("event_id").alias("id"),
+                                               F.col("output").alias("url"))
+    return FL.article_url(pages.unionByName(refs), "depth3", "url")
+
+
+def q_articles_not_home(spark, sf):
+    """candidates against the site's first page as its home page (so the home page is a candidate too)."""
+    homes = D.table(spark, sf, "pages").groupBy(F.md5(U.site_root("url")).alias("website_hash")).agg(
+        F.min_by("url", "page_id").alias("home"))
+    c = _candidates(spark, sf).join(homes, "website_hash")
+    out = FL.article_url(c, "not_home", "url", "home")
+    return out.select("website_hash", "url", "origin", "feed_pos", "entry_pos")
+
+
 def q_same_site(spark, sf):
-    """F8: links whose host starts with the page's site host."""
-    return FL.same_site(D.links(spark, sf), "url", "website").select("page_id", "pos", "url")
+    """F8: page links against their page's site, and captures against the site of user 1."""
+    links = D.links(spark, sf).select(F.lit("link").alias("kind"), F.col("page_id").alias("id"), "url", "website")
+    caps = D.event_captures(spark, sf).select(F.lit("capture").alias("kind"), F.col("event_id").alias("id"), "url",
+                                              F.lit("https://u1").alias("website"))
+    return FL.same_site(links.unionByName(caps), "url", "website").select("kind", "id", "url")
 
 
 def q_crawlable(spark, sf):
-    """F13."""
-    return FL.crawlable(_candidates(spark, sf)).select("website_hash", "url", "origin")
+    """F13 over the links as written (relative ones are no URLs) and their resolved form."""
+    links = D.links(spark, sf)
+    raw = links.select("page_id", "pos", F.explode(F.array("href", "url")).alias("link"))
+    return FL.crawlable(raw, "link")
 
 
 # ------------------------------------------------------------ URL parts
@@ -144,20 +160,26 @@ def q_html_words(spark, sf):
     return D.page_sizes(spark, sf).select("page_id", "n_words", "n_chars")
 
 
+def _document_text(spark, sf):
+    text = F.trim(F.regexp_replace("text", BLANKS, " "))
+    return D.table(spark, sf, "documents").select("doc_id", F.inline(F.array(F.struct(
+        content_size(text, "words").alias("n_words"), content_size(text, "chars").alias("n_chars")))))
+
+
 def q_content_words20(spark, sf):
     """F7, the stated rule: at least 20 words."""
-    return FL.enough_content(D.page_sizes(spark, sf), "n_words", "words").select("page_id", "n_words")
+    return FL.enough_content(_document_text(spark, sf), "n_words", "words").select("doc_id", "n_words")
 
 
 def q_content_chars20(spark, sf):
     """F7, code rule: more than 20 characters."""
-    return FL.enough_content(D.page_sizes(spark, sf), "n_chars", "chars").select("page_id", "n_chars")
+    return FL.enough_content(_document_text(spark, sf), "n_chars", "chars").select("doc_id", "n_chars")
 
 
 def q_content_check(spark, sf):
     """Candidates joined to the size of their page text; no body -> rejected."""
-    sizes = D.page_sizes(spark, sf).select("url", F.col("n_words").alias("content_size"))
-    out = J.content_check(_candidates(spark, sf), sizes, "url", "words")
+    sizes = D.page_sizes(spark, sf).select("url", "page_id", F.col("n_words").alias("content_size"))
+    out = J.content_check(_candidates(spark, sf), sizes, "url", "words", ts="page_id")
     return out.select("website_hash", "url", "origin", "has_content")
 
 
@@ -187,9 +209,10 @@ def q_drop_seen(spark, sf):
 
 
 def q_known_domain(spark, sf):
-    """Links whose domain belongs to an outlet of the English registry."""
-    registry = D.outlets(spark, sf).filter(F.col("state") == "EN")
-    return J.known_domain(D.links(spark, sf), registry).select("page_id", "pos", "url")
+    """Page links and captured sites whose domain belongs to a registered outlet."""
+    links = D.links(spark, sf).select(F.lit("link").alias("kind"), F.col("page_id").alias("id"), "url")
+    caps = D.event_captures(spark, sf).select(F.lit("capture").alias("kind"), F.col("event_id").alias("id"), "url")
+    return J.known_domain(links.unionByName(caps), D.outlets(spark, sf)).select("kind", "id", "url")
 
 
 def _today_before(spark, sf):
@@ -221,16 +244,34 @@ def q_expand_urls(spark, sf):
 
 
 def q_in_scope(spark, sf):
-    """candidates against the seed of their page's section (``https://h/en/``)."""
+    """candidates against their page's seed: its section (``https://h/en/``), for odd pages the bare host."""
+    section = F.concat(U.site_root("url"), D.page_lang("url"), F.lit("/"))
+    host = F.concat(U.url_scheme("url"), F.lit("://"), U.url_netloc("url"))
     c = _candidates(spark, sf).join(
         D.table(spark, sf, "pages").select(
             F.md5(U.site_root("url")).alias("website_hash"), F.col("page_id").alias("feed_pos"),
-            F.concat(U.site_root("url"), D.page_lang("url"), F.lit("/")).alias("seed_url")),
+            F.when(F.col("page_id") % 2 == 1, host).otherwise(section).alias("seed_url")),
         ["website_hash", "feed_pos"])
     return c.select("website_hash", "url", "origin", "feed_pos", "entry_pos",
                     FL.in_scope_flag("url", "seed_url").alias("in_scope"))
 
 
+def q_collect(spark, sf):
+    """E2 over the pages: candidates -> F3 -> J2 -> J7 -> J6 -> W1 (every third page seen before, every
+    fifth refused by the archive)."""
+    pages = D.table(spark, sf, "pages")
+    c = FL.article_url(_candidates(spark, sf), "base", "url")
+    seen = pages.filter(F.col("page_id") % 3 == 0).select(F.md5(U.site_root("url")).alias("website_hash"), "url")
+    c = J.drop_seen(c, seen)
+    sizes = D.page_sizes(spark, sf).select("url", "page_id", F.col("n_words").alias("content_size"))
+    c = J.content_check(c, sizes, "url", "words", ts="page_id").filter("has_content")
+    calls = pages.select("url", F.timestamp_seconds("page_id").alias("called_at"), F.when(
+        F.col("page_id") % 5 == 0, F.lit("520 Server Error: x")).otherwise(
+        F.concat(F.lit("https://web.archive.org/web/1/"), F.col("url"))).alias("output"))
+    c = W.cap_per_site(J.record_captures(c, calls, "url"), 5)
+    return c.select("website_hash", "url", "origin", "rank", "archive_ref")
+
+
 # --------------------------------------------------------------- reports
 
 def q_seed_report(spark, sf):
@@ -299,10 +340,12 @@ def q_capture_as_of(spark, sf):
 
 
 def q_sliding_usage(spark, sf):
-    """T5 batch twin: 7-day windows sliding by a day, per collection."""
+    """T5 batch twin: 7-day windows sliding by a day, per collection (days first, then the windows they lie in)."""
     c = D.event_captures(spark, sf)
-    g = c.groupBy(F.window("ts", "7 days", "1 day").alias("w"), "collection").agg(
-        F.count(F.lit(1)).cast("long").alias("documents"), F.sum("length").cast("long").alias("bytes"))
+    days = c.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "collection").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("length").alias("bytes"))
+    g = days.groupBy(F.window("day", "7 days", "1 day").alias("w"), "collection").agg(
+        F.sum("documents").cast("long").alias("documents"), F.sum("bytes").cast("long").alias("bytes"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "collection", "documents", "bytes")
 
@@ -437,8 +480,103 @@ def q_registry_seeds(spark, sf):
 
 
 def q_exact_ok(spark, sf):
-    """newspapers answering 200 with a website (home pages to archive)."""
-    return FL.exact_ok(D.outlets(spark, sf)).select("website_hash", "website", "state")
+    """captures as outlets (HTML: newspapers), answering 200 with a website."""
+    c = D.event_captures(spark, sf).select(
+        "event_id", F.col("url").alias("website"), F.col("status").alias("website_status"),
+        F.when(F.col("mime") == "text/html", "newspaper").otherwise("tv").alias("media"))
+    return FL.exact_ok(c).select("event_id", "website")
+
+
+# -------------------------------------- bodies rendered row by row from pages
+
+def _rendered(spark, sf, body):
+    return D.table(spark, sf, "pages").select("page_id", F.col("url").alias("final_url"), body.alias("body"))
+
+
+def q_discover_feeds(spark, sf):
+    """Heads with a stylesheet, an Atom link and (even pages) a quoted RSS link."""
+    i = F.col("page_id").cast("string")
+    head = F.concat(F.lit('<head><link rel="stylesheet" data-type="application/rss+xml" href="/s.css">'
+                          '<!--<link type="application/rss+xml" href="/old">-->'
+                          '<link type="application/atom+xml" href="/atom/'), i, F.lit('">'),
+                    F.when(F.col("page_id") % 2 == 0, F.concat(
+                        F.lit("<link title=\"a > b\" href='/rss/"), i, F.lit("?a=1&amp;b=2' type='application/rss+xml'/>")))
+                    .otherwise(""), F.lit("</head>"))
+    return G.discover_feeds(_rendered(spark, sf, head), keep=("page_id",))
+
+
+def q_robots_sitemaps(spark, sf):
+    """Robots texts with two sitemap lines."""
+    site = U.site_root("url")
+    text = F.concat(F.lit("User-agent: *\nSitemap: "), site, F.lit("map-"), F.col("page_id").cast("string"),
+                    F.lit(".xml \r\nDisallow: /x\nsitemap:"), site, F.lit("news.xml\n"))
+    return G.robots_sitemaps(_rendered(spark, sf, text), keep=("page_id",))
+
+
+def q_sitemap_locs(spark, sf):
+    """Sitemaps with a reference-coded, a commented and a CDATA location."""
+    coded = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    text = F.concat(F.lit("<urlset><url><loc> "), coded, F.lit("&amp;x=&#65; </loc></url><!--<loc>no</loc>--><loc><![CDATA["),
+                    F.col("url"), F.lit("]]></loc></urlset>"))
+    return G.sitemap_locs(_rendered(spark, sf, text), keep=("page_id",))
+
+
+def q_feed_entries(spark, sf):
+    """An RSS item in CDATA, one without a link and an Atom entry with self and alternate links."""
+    i, coded = F.col("page_id").cast("string"), F.replace("url", F.lit("&"), F.lit("&amp;"))
+    text = F.concat(F.lit("<rss><item><link><![CDATA[ "), F.col("url"), F.lit(" ]]></link><pubDate><![CDATA[day "), i,
+                    F.lit(']]></pubDate></item><item><link></link></item><entry><link rel="self" href="/self"/>'
+                          '<link href="'), coded, F.lit('" rel="alternate"/><updated>late</updated><published>p'), i,
+                    F.lit("</published></entry></rss>"))
+    return G.feed_entries(_rendered(spark, sf, text), keep=("page_id",))
+
+
+# ------------------------------------------------- events as a crawl's files
+
+def q_seed_metrics(spark, sf):
+    """Metrics per site; every fifth event asks for robots.txt, purchases are seeds."""
+    c = D.event_captures(spark, sf)
+    url = F.when(F.col("event_id") % 5 == 0, F.concat("url", F.lit("robots.txt"))).otherwise(F.col("url"))
+    caps = c.select("urlkey", url.alias("url"), "status", "length")
+    return A.seed_metrics(caps, c.select("urlkey", (F.col("digest") == "purchase").alias("seed")), "urlkey")
+
+
+def q_average_usage(spark, sf):
+    """Average bytes per day of each collection."""
+    return A.average_usage(D.event_captures(spark, sf))
+
+
+def q_page_durations(spark, sf):
+    """Views as starts, clicks and purchases as finishes of a page."""
+    c = D.event_captures(spark, sf)
+    log = c.select("collection", F.col("urlkey").alias("page"), F.col("ts").cast("timestamp").alias("timestamp"),
+                   F.when(F.col("digest") == "view", "Awaiting page load").when(
+                       F.col("digest").isin("click", "purchase"), "Page Finished").otherwise("other").alias("message"))
+    return W.page_durations(log).select("collection", "page", "visit", F.col("started").cast("timestamp_ntz").alias("started"),
+                                        F.col("finished").cast("timestamp_ntz").alias("finished"))
+
+
+def q_log_field(spark, sf):
+    """A field of the details text."""
+    return D.table(spark, sf, "events").select("event_id", log_field("props", "k").alias("k"))
+
+
+def q_site_record(spark, sf):
+    """The outlet's columns as one nested record."""
+    o = D.outlets(spark, sf)
+    rec = o.select("website_hash", site_record(["state", "media", "name", "website"]).alias("publication_metadata"))
+    return rec.select("website_hash", "publication_metadata.state", "publication_metadata.media",
+                      "publication_metadata.name", "publication_metadata.website")
+
+
+def q_page_captures(spark, sf):
+    """Each page with its captures (the captures of its host's pages under the same URL)."""
+    pages = D.page_captures(spark, sf).withColumn("status", F.lit(200))
+    caps = pages.filter(F.col("page_id") % 2 == 0).select(
+        "collection", "url", F.timestamp_seconds("page_id").cast("timestamp_ntz").alias("ts"), "status", "mime",
+        F.md5("url").alias("digest"), "length")
+    out = J.page_captures(pages.select("page_id", "collection", "url", "status", "mime"), caps)
+    return out.select("page_id", "collection", "url", "capture_ts", "digest", "length")
 
 
 def q_feed_like(spark, sf):
@@ -495,8 +633,8 @@ QUERIES: dict[str, Query] = {
     "q_links_per_page": q_links_per_page,
     "q_articles_base": _articles("base"),
     "q_articles_last_segment": _articles("last_segment"),
-    "q_articles_depth3": _articles("depth3"),
-    "q_articles_not_home": _articles("not_home"),
+    "q_articles_depth3": q_articles_depth3,
+    "q_articles_not_home": q_articles_not_home,
     "q_same_site": q_same_site,
     "q_crawlable": q_crawlable,
     "q_url_parts": q_url_parts,
@@ -553,4 +691,15 @@ QUERIES: dict[str, Query] = {
     "q_robots_urls": q_robots_urls,
     "q_first_feed": q_first_feed,
     "q_page_resources": q_page_resources,
+    "q_collect": q_collect,
+    "q_discover_feeds": q_discover_feeds,
+    "q_robots_sitemaps": q_robots_sitemaps,
+    "q_sitemap_locs": q_sitemap_locs,
+    "q_feed_entries": q_feed_entries,
+    "q_seed_metrics": q_seed_metrics,
+    "q_average_usage": q_average_usage,
+    "q_page_durations": q_page_durations,
+    "q_log_field": q_log_field,
+    "q_site_record": q_site_record,
+    "q_page_captures": q_page_captures,
 }

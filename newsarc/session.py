@@ -18,8 +18,7 @@ DEFAULT_CONF = {
     # Cap for automatic broadcast: the planner only broadcasts a side whose
     # estimated size is below it, otherwise it shuffles both sides.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # range checkpoints (operators/ordered.py) are removed once their DataFrame
-    # is garbage-collected, so repeated runs do not fill the shared folder
+    # checkpoints are removed once their DataFrame is garbage-collected
     # (a static setting: applied where this library builds the session)
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -33,13 +32,14 @@ def build_session(master: str | None = None, partitions: int | None = None,
         builder = builder.master(master)
         builder = builder.config("spark.driver.memory", "16g")
         builder = builder.config("spark.ui.enabled", "false")
+        if master.startswith("local"):  # one machine: a private folder is shared by all its tasks
+            builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="newsarc-ckpt-"))
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -50,25 +50,20 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
         except Exception:  # static conf on a running session: keep theirs
             pass
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
+    """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir``, which must be set.
 
-    Only when the session names none (local tests) a private folder is made.
+    Only streams and the sinks that read what they append to need it; no
+    query does.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server side owns the checkpoint folder
-        return configured
+    sc = spark.sparkContext
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="newsarc-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured

@@ -6,12 +6,13 @@ gzip file per site and day. Here the same tree is Hive partitions
 files are clustered by, or a fifth partition level when asked for (fine for a
 state's few hundred sites a day, too fine for a national archive).
 
-Writes are repartitioned by the partition columns plus the site hash, so one
-busy state or day is spread over many tasks, and each task writes few files.
+Writes are rebalanced by the partition columns: AQE splits a busy state or day
+over as many tasks as its measured size needs and joins small ones.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,18 +28,22 @@ def with_day_parts(df: DataFrame, ts: str = "archived_time") -> DataFrame:
     return df.withColumn("year", F.year(t)).withColumn("month", F.month(t)).withColumn("day", F.dayofmonth(t))
 
 
-WRITE_SALT = 8   # writer tasks one site-day may be spread over
+def _spread(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of a partition together, as many writers as its measured size needs.
 
+    The REBALANCE hint lets AQE split a site-day of any size and join small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in parts])
 
-def _spread(df: DataFrame, parts: list[str]) -> DataFrame:
-    """Repartition for writing: by the partition columns, the site, and a hash
-    salt of the row's URL, so a site-day holding a third of the rows is written
-    by ``WRITE_SALT`` tasks (as many files) instead of one."""
-    cols = [F.col(c) for c in parts + ["website_hash"]]
-    row_key = next((c for c in ("link", "url") if c in df.columns), None)
-    if row_key is not None:
-        cols.append(F.pmod(F.xxhash64(F.col(row_key)), F.lit(WRITE_SALT)))
-    return df.repartition(*cols).sortWithinPartitions(*parts, "website_hash")
+
+def stored(spark, root: str) -> DataFrame | None:
+    """The table under ``root``; None if nothing was written yet. Any other read error is raised."""
+    try:
+        return spark.read.parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
 
 
 def write_registry(outlets: DataFrame, path: str, nested: bool = False) -> None:
@@ -79,40 +84,28 @@ def write_bodies(bodies: DataFrame, root: str) -> None:
     _spread(out, list(DAY_PARTS)).write.mode("append").partitionBy(*DAY_PARTS).parquet(root)
 
 
-def _existing(spark, root: str, schema_cols: list[str]):
-    try:
-        return spark.read.parquet(root).select(*schema_cols)
-    except Exception:  # first run: nothing stored yet
-        return None
-
-
 def write_site_records(records: DataFrame, root: str) -> DataFrame:
     """One site record per site and day; only those not stored yet are appended.
 
-    Returns the rows written. The stored keys are read with the day
-    partitions of the new rows only (partition pruning).
+    Of several new records of a site and day the earliest stays. Returns the
+    rows written. Stored keys are read for the new rows' days only: a semi join
+    on the partition columns, which prunes the partitions at run time.
     """
     spark = records.sparkSession
     keys = list(DAY_PARTS) + ["website_hash"]
-    new = records.dropDuplicates(keys)
-    stored = _existing(spark, root, keys)
-    if stored is not None:
-        days = [r.asDict() for r in new.select(*DAY_PARTS).distinct().collect()]
-        if days:
-            cond = None
-            for d in days:
-                c = None
-                for k, v in d.items():
-                    c = (F.col(k) == v) if c is None else c & (F.col(k) == v)
-                cond = c if cond is None else cond | c
-            stored = stored.filter(cond)
-        new = new.join(stored, keys, "left_anti")
+    rest = [c for c in records.columns if c not in keys]
+    first = F.min(F.struct(*sorted(rest, key=lambda c: c != "archived_time"))).alias("_r")
+    new = records.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_r.{c}") for c in rest])
+    old = stored(spark, root)
+    if old is not None:
+        days = new.select(*DAY_PARTS).distinct()
+        new = new.join(old.select(*keys).join(days, list(DAY_PARTS), "left_semi"), keys, "left_anti")
     # the anti join reads the table being appended to: cut the lineage first
     # (reliable checkpoint in the shared spark.checkpoint.dir), so the rows
     # written and the rows returned are the same
     ensure_checkpoint_dir(spark)
     new = new.checkpoint(eager=True)
-    new.write.mode("append").partitionBy(*DAY_PARTS).parquet(root)
+    _spread(new, list(DAY_PARTS)).write.mode("append").partitionBy(*DAY_PARTS).parquet(root)
     return new
 
 
@@ -123,20 +116,30 @@ def write_run_articles(articles: DataFrame, root: str, run_ts) -> None:
 
 
 def read_seen(spark, root: str) -> DataFrame:
-    """The seen-URL table (website_hash, day, url)."""
+    """The seen-URL table (website_hash, day, url[, batch_id])."""
     return spark.read.parquet(root)
 
 
-def write_seen(seen_new: DataFrame, root: str) -> None:
-    """Append only (site, day, url) rows not stored yet."""
+def write_seen(seen_new: DataFrame, root: str, batch_id: int | None = None) -> None:
+    """Append only (site, day, url) rows not stored yet.
+
+    With ``batch_id`` the rows stand in the batch's own partition, which a
+    replay of the batch overwrites; its own rows do not count as stored.
+    """
     spark = seen_new.sparkSession
     keys = ["website_hash", "day", "url"]
     new = seen_new.select(*keys).distinct()
-    stored = _existing(spark, root, keys)
-    if stored is not None:
-        # only the days being written are read back (``day`` is the partition column)
-        days = [r[0] for r in new.select("day").distinct().collect()]
-        new = new.join(stored.filter(F.col("day").isin(days)), keys, "left_anti")
-    salt = F.pmod(F.xxhash64(F.col("url")), F.lit(WRITE_SALT))
-    new.repartition(F.col("day"), F.col("website_hash"), salt) \
-        .write.mode("append").partitionBy("day").parquet(root)
+    old = stored(spark, root)
+    if old is not None:
+        if batch_id is not None:
+            old = old.filter(F.col("batch_id") != batch_id)
+        days = new.select("day").distinct()
+        new = new.join(old.select(*keys).join(days, "day", "left_semi"), keys, "left_anti")
+    if batch_id is None:
+        _spread(new, ["day"]).write.mode("append").partitionBy("day").parquet(root)
+    else:
+        # the overwritten partition is read by nobody else: cut before it is replaced
+        ensure_checkpoint_dir(spark)
+        new = new.withColumn("batch_id", F.lit(batch_id).cast("long")).checkpoint(eager=True)
+        (_spread(new, ["day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch_id").parquet(root))

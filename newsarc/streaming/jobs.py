@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from newsarc.functions.records import archive_outcome
 from newsarc.session import checkpoint_path, ensure_checkpoint_dir
+from newsarc.sources.sinks import stored, write_seen
 
 
 def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | None = None,
@@ -47,8 +46,13 @@ def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | Non
 
 def stream_dedup(df: DataFrame, keys: tuple[str, ...] = ("website_hash", "url"),
                  ts: str = "seen_at", delay: str = "1 day") -> DataFrame:
-    """A URL of a site is taken once within the watermark delay (seen set as state)."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """A URL of a site is taken once per calendar day (seen set as state).
+
+    The day is part of the key, as the collectors keep one seen set per day's
+    folder; the watermark only evicts days that are over.
+    """
+    d = df.withColumn("day", F.to_date(F.col(ts)))
+    return d.withWatermark(ts, delay).dropDuplicatesWithinWatermark([*keys, "day"])
 
 
 def stream_site_records(df: DataFrame, ts: str = "fetched_at", delay: str = "1 day") -> DataFrame:
@@ -69,7 +73,11 @@ def stream_usage(df: DataFrame, ts: str = "ts", length: str = "length", crawl: s
 
 def stream_sessions(log: DataFrame, ts: str = "timestamp", key: str = "page",
                     gap: str = "60 seconds", delay: str = "10 minutes") -> DataFrame:
-    """Bursts of crawl activity per page: a new session after ``gap`` of quiet."""
+    """Bursts of crawl activity per page: a new session after ``gap`` of quiet.
+
+    A page's open session is one state row; rows of one page in one batch meet
+    in one task (the engine's rule for session windows).
+    """
     g = log.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("s"), key).agg(
         F.count(F.lit(1)).alias("events"))
     return g.select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
@@ -78,13 +86,6 @@ def stream_sessions(log: DataFrame, ts: str = "timestamp", key: str = "page",
 
 # ------------------------------------------------------------- foreachBatch
 
-def _stored(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(root)
-    except Exception:  # nothing written yet
-        return None
-
-
 def append_batch(root: str, partition_by: tuple[str, ...] = ("state", "year", "month", "day")):
     """``foreachBatch`` sink appending rows to the tree, idempotent by batch id.
 
@@ -112,12 +113,12 @@ def cap_batch(root: str, n: int = 5, site: str = "website_hash", rnd: str = "rou
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = _stored(spark, root)
+        old = stored(spark, root)
         keys = [site, rnd]
-        if stored is not None:
-            # only the rounds of this batch are read (the sink is partitioned by round)
-            rounds = [r[0] for r in batch.select(rnd).distinct().collect()]
-            used = stored.filter(F.col(rnd).isin(rounds) & (F.col("batch_id") != batch_id)) \
+        if old is not None:
+            # only the rounds of this batch are read: a semi join on the partition column
+            used = old.filter(F.col("batch_id") != batch_id) \
+                .join(batch.select(rnd).distinct(), rnd, "left_semi") \
                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("_used"))
             cand = batch.join(used, keys, "left")
         else:
@@ -132,68 +133,56 @@ def cap_batch(root: str, n: int = 5, site: str = "website_hash", rnd: str = "rou
     return sink
 
 
-def cap_with_state(df: DataFrame, n: int = 5, site: str = "website_hash", rnd: str = "round") -> DataFrame:
-    """T3, low-latency form: a per-(site, round) counter in streaming state.
-
-    Keeps the first ``n`` rows of each key in arrival order; inside one
-    micro-batch the order is the order pandas receives (not fixed), which is
-    why the ``foreachBatch`` form is the default.
-    """
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", rank int"
-    out_cols = [f.name for f in df.schema.fields] + ["rank"]
-
-    def fn(key, pdfs, state):
-        used = state.get[0] if state.exists else 0
-        kept = []
-        for pdf in pdfs:
-            room = n - used
-            if room <= 0:
-                continue
-            take = pdf.head(room).copy()
-            take["rank"] = range(used + 1, used + 1 + len(take))
-            used += len(take)
-            kept.append(take)
-        state.update((used,))
-        yield pd.concat(kept) if kept else pd.DataFrame(columns=out_cols)
-
-    return df.groupBy(site, rnd).applyInPandasWithState(
-        fn, out_schema, "used long", "append", GroupStateTimeout.NoTimeout)
-
-
 def retry_batch(retry_root: str, out_root: str, delay_minutes: int = 60, max_tries: int = 3):
     """Failed archive calls come back later.
 
     Each batch of archive results (url, output, called_at[, tries]) is split
-    by P14: archived rows go to ``out_root``; retryable failures with tries
-    left go to the retry table with ``not_before = called_at + delay``; the
-    others are given up (kept in the retry table with ``gave_up``). A caller
-    takes ``due_retries`` into its next round. Both writes are idempotent by
-    batch id.
+    by P14: archived rows go to ``out_root``; every outcome also goes to the
+    retry table: a retryable failure with tries left as ``due`` from ``called_at +
+    delay`` on, others as ``gave_up``, a success as ``done``, which closes the URL. A
+    caller takes ``due_retries`` into its next round. Both writes are idempotent
+    by batch id; ``compact_retries`` keeps the table as small as what is open.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = batch if "tries" in batch.columns else batch.withColumn("tries", F.lit(0))
         b = b.withColumn("_o", archive_outcome("output")).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        ok = b.filter(F.col("_o.status") == "archived").select(
+        done = F.col("_o.status") == "archived"
+        ok = b.filter(done).select(
             "url", F.col("_o.archive_url").alias("archive_ref"), F.col("called_at").alias("archived_time"),
             "batch_id")
-        failed = b.filter(F.col("_o.status") == "failed").select(
-            "url", (F.col("tries") + 1).alias("tries"),
+        tries = F.col("tries") + F.when(done, 0).otherwise(1)
+        state = (F.when(done, "done").when((tries >= max_tries) | ~F.col("_o.retryable"), "gave_up").otherwise("due"))
+        outcome = b.filter(done | (F.col("_o.status") == "failed")).select(
+            "url", tries.cast("int").alias("tries"),
             (F.col("called_at") + F.expr(f"INTERVAL {int(delay_minutes)} MINUTES")).alias("not_before"),
-            ((F.col("tries") + 1 >= max_tries) | ~F.col("_o.retryable")).alias("gave_up"), "batch_id")
-        for df, root in ((ok, out_root), (failed, retry_root)):
+            state.alias("state"), "batch_id")
+        for df, root in ((ok, out_root), (outcome, retry_root)):
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(root))
     return sink
 
 
+def _latest_outcome(r: DataFrame) -> DataFrame:
+    """Per URL its last outcome; within one batch the later call, a success before a failure of the same time."""
+    order = F.struct("batch_id", "not_before", F.col("state") == "done", "tries")
+    return r.groupBy("url").agg(F.max_by(F.struct("tries", "not_before", "state", "batch_id"), order).alias("l")) \
+        .select("url", "l.*")
+
+
 def due_retries(spark: SparkSession, retry_root: str, now) -> DataFrame:
-    """Latest retry row per URL that is due and not given up (to union into a round)."""
-    r = _stored(spark, retry_root)
+    """URLs whose last outcome is due by ``now`` (to union into a round)."""
+    r = stored(spark, retry_root)
     if r is None:
         return spark.createDataFrame([], "url string, tries int")
-    last = r.groupBy("url").agg(F.max_by(F.struct("tries", "not_before", "gave_up"), F.col("batch_id")).alias("l"))
-    return last.filter(~F.col("l.gave_up") & (F.col("l.not_before") <= F.lit(now).cast("timestamp"))) \
-        .select("url", F.col("l.tries").alias("tries"))
+    return _latest_outcome(r).filter((F.col("state") == "due") & (F.col("not_before") <= F.lit(now).cast("timestamp"))) \
+        .select("url", "tries")
+
+
+def compact_retries(spark: SparkSession, retry_root: str, compact_root: str) -> None:
+    """T8 upkeep: only the last outcome of URLs that are still due, as a new table for the next rounds."""
+    r = stored(spark, retry_root)
+    if r is not None:
+        _latest_outcome(r).filter("state = 'due'").write.mode("overwrite").partitionBy("batch_id").parquet(compact_root)
 
 
 def collect_batch(outlets: DataFrame, archive_results: DataFrame, articles_root: str, seen_root: str,
@@ -202,26 +191,28 @@ def collect_batch(outlets: DataFrame, archive_results: DataFrame, articles_root:
 
     The round's candidates are checked against the stored seen set, capped,
     joined to the archive results and appended under their day partitions and
-    ``batch_id`` (a replayed batch overwrites its own partition); the new seen
-    rows are appended only when not stored yet. This is the collectors'
-    endless loop, with Spark's checkpoint in place of the loop state.
+    ``batch_id``. The seen rows carry the batch id too and are kept under the day
+    of the run, the day they are read by. A replayed batch ignores its own seen
+    rows and overwrites its own partitions, so it finds and writes the same.
     """
     from newsarc.plans.jobs import collect_articles
-    from newsarc.sources.sinks import write_seen
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run_ts = batch.agg(F.max("fetched_at")).first()[0]
         if run_ts is None:
             return
-        seen = _stored(spark, seen_root)
-        articles, new_seen = collect_articles(outlets, batch, archive_results, run_ts, seen, n, rule)
+        seen = stored(spark, seen_root)
+        if seen is not None:
+            seen = seen.filter(F.col("batch_id") != batch_id)
+        articles, _ = collect_articles(outlets, batch, archive_results, run_ts, seen, n, rule)
         # cut the lineage once (shared checkpoint folder): both writes use the same rows
         ensure_checkpoint_dir(spark)
         articles = articles.checkpoint(eager=True)
         (articles.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("state", "year", "month", "day", "batch_id").parquet(articles_root))
-        write_seen(articles.select("website_hash", F.to_date("archived_time").alias("day"),
-                                   F.col("link").alias("url")), seen_root)
+        new_seen = articles.select("website_hash", F.to_date(F.lit(run_ts).cast("timestamp")).alias("day"),
+                                   F.col("link").alias("url"))
+        write_seen(new_seen, seen_root, batch_id)
     return sink

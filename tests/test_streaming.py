@@ -70,15 +70,70 @@ def test_cap_across_batches_and_restart(spark, tmp_path):
     assert spark.read.parquet(out).count() == len(want)
 
 
-def test_cap_with_state_holds_the_cap(spark, tmp_path):
-    files = _cands()
+def _round(spark, stories, home, t):
+    words = "<p>" + " ".join(["word"] * 25) + "</p>"
+    rows = [("https://a.com/", None, 200, t, "".join(f'<a href="/news/story-{i}">x</a>' for i in home), None)]
+    rows += [(f"https://a.com/news/story-{i}", None, 200, t, words, None) for i in stories]
+    from newsarc.sources.readers import FETCHES
+    return spark.createDataFrame(rows, FETCHES)
+
+
+def _site(spark):
+    return spark.createDataFrame([("AK", "newspaper", "https://a.com/", None, 200)],
+                                 "state string, media string, website string, rss array<string>, website_status int")
+
+
+def _archive(spark, when):
+    return spark.createDataFrame([(f"https://a.com/news/story-{i}", f"https://web.archive.org/web/1/{i}", when)
+                                  for i in range(12)], "url string, output string, called_at timestamp")
+
+
+def test_a_replayed_round_writes_the_same(spark, tmp_path):
+    arts, seen = str(tmp_path / "articles"), str(tmp_path / "seen")
+    sink = S.collect_batch(_site(spark), _archive(spark, _t(9)), arts, seen, n=5, rule="last_segment")
+
+    def tables():
+        a = sorted((r.batch_id, r.link) for r in spark.read.parquet(arts).collect())
+        s = sorted((r.batch_id, str(r.day), r.url) for r in spark.read.parquet(seen).collect())
+        return a, s
+    sink(_round(spark, range(8), range(8), _t(10)), 0)
+    once = tables()
+    sink(_round(spark, range(8), range(8), _t(10)), 0)       # replay after a failure
+    assert tables() == once and len(once[0]) == len(once[1]) == 5
+    sink(_round(spark, range(8), range(8), _t(11)), 1)
+    twice = tables()
+    sink(_round(spark, range(8), range(8), _t(11)), 1)
+    assert tables() == twice and [len(x) for x in twice] == [8, 8]
+
+
+def test_links_archived_after_midnight_are_not_taken_again(spark, tmp_path):
+    late = dt.datetime(2025, 3, 17, 23, 50)
+    arch = _archive(spark, dt.datetime(2025, 3, 18, 0, 10))
+    sink = S.collect_batch(_site(spark), arch, str(tmp_path / "a"), str(tmp_path / "s"), n=5, rule="last_segment")
+    sink(_round(spark, range(5), range(5), late), 0)
+    sink(_round(spark, range(5), range(5), late + dt.timedelta(minutes=5)), 1)
+    got = spark.read.parquet(str(tmp_path / "a"))
+    assert got.count() == got.select("link").distinct().count() == 5
+
+
+def test_a_failing_read_is_not_an_empty_table(spark, tmp_path):
+    import pytest
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        S.stored(spark, str(tmp_path / "t"))
+    assert S.stored(spark, str(tmp_path / "none")) is None
+
+
+def test_the_same_url_on_the_next_day(spark, tmp_path):
+    day2 = dt.datetime(2025, 3, 18, 9)
+    files = [[("s", "r", "https://s/x", 0, 0, 0, _t(20)), ("s", "r", "https://s/x", 0, 0, 1, _t(21))],
+             [("s", "r", "https://s/x", 0, 0, 0, day2)]]
     glob = _files(spark, files, CAND_SCHEMA, str(tmp_path / "in"))
-    q = S.start(S.cap_with_state(_stream(spark, CAND_SCHEMA, glob), n=4), "capstate_t",
-                fmt="parquet", path=str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"))
+    q = S.start(S.stream_dedup(_stream(spark, CAND_SCHEMA, glob)), "day_t", fmt="parquet",
+                path=str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"))
     q.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    per = {r.website_hash: r.n for r in got.groupBy("website_hash").agg(F.count("*").alias("n")).collect()}
-    assert per == {"s1": 4, "s2": 4, "s3": 3}
+    assert sorted(str(r.day) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["2025-03-17", "2025-03-18"]
 
 
 def test_site_records_and_usage_and_sessions(spark, tmp_path):
@@ -142,6 +197,25 @@ def test_append_is_idempotent_and_retry(spark, tmp_path):
     assert S.due_retries(spark, str(tmp_path / "retry"), _t(5)).count() == 0   # gave up after 2 tries
 
 
+def test_a_retry_that_succeeds_is_no_longer_due(spark, tmp_path):
+    retry_root, ok_root = str(tmp_path / "retry"), str(tmp_path / "ok")
+    retry = S.retry_batch(retry_root, ok_root, delay_minutes=30, max_tries=5)
+    schema = "url string, output string, called_at timestamp, tries int"
+    bad = spark.createDataFrame([("https://a/2", "520 Server Error: x", _t(1), 0),
+                                 ("https://a/4", "520 Server Error: x", _t(1), 0)], schema)
+    good = spark.createDataFrame([("https://a/2", "https://web.archive.org/web/1/https://a/2", _t(2), 1)], schema)
+    for _ in range(2):                       # each batch replayed once
+        retry(bad, 0)
+    assert {r.url for r in S.due_retries(spark, retry_root, _t(3)).collect()} == {"https://a/2", "https://a/4"}
+    for _ in range(2):
+        retry(good, 1)
+    assert {r.url for r in S.due_retries(spark, retry_root, _t(3)).collect()} == {"https://a/4"}
+    assert spark.read.parquet(ok_root).count() == 1
+    S.compact_retries(spark, retry_root, str(tmp_path / "compact"))
+    assert spark.read.parquet(str(tmp_path / "compact")).count() == 1
+    assert {r.url for r in S.due_retries(spark, str(tmp_path / "compact"), _t(3)).collect()} == {"https://a/4"}
+
+
 def test_collect_rounds_as_a_stream(spark, tmp_path):
     from newsarc.sources.readers import FETCHES
     outlets = spark.createDataFrame([("AK", "newspaper", "https://a.com/", None, 200)],
