@@ -31,7 +31,7 @@ from newsarc.llm.common import blank_words, written
 
 ORDER = 2
 CUT = 5                    # counts up to this are discounted
-BLOCK_TOKENS = 1 << 21     # a block ends with the document that reaches this
+BLOCK_TOKENS = 1 << 20     # a block ends with the document that reaches this
 BUCKET_BYTES = 8 << 20     # text per bucket
 END = b"\n"                # no word holds a blank, so this names the end token
 UNKNOWN = (1 << 62) - 1    # id of the unknown class
@@ -278,7 +278,7 @@ class Tokens:
         self.levels, self.buckets = levels, buckets
         ends = np.cumsum(self.lengths)
         self.starts = ends - self.lengths
-        self.position = np.arange(len(self.word)) - np.repeat(self.starts, self.lengths)
+        self.position = (np.arange(len(self.word)) - np.repeat(self.starts, self.lengths)).astype("int32")
         self.learnt = np.repeat(self.train, self.lengths)
         answers: list[dict[int, bytes]] = [{} for _ in levels]
         for i, what in enumerate(kind):
