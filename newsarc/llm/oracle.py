@@ -1,3 +1,24 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express (the others are held against brute force in tests/llm)."""
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op2_decontamination": f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+spans AS (SELECT item_id, w, least(10, len(w)) AS n FROM iw WHERE len(w) > 0),
+iwin AS (SELECT DISTINCT item_id, n, array_to_string(w[o:o + n - 1], ' ') AS win
+         FROM (SELECT *, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS o FROM spans)),
+dwin AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS win
+         FROM (SELECT doc_id, w, n, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS p
+               FROM dw, (SELECT DISTINCT n FROM iwin) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, p, n, item_id FROM dwin JOIN iwin USING (n, win)),
+hw AS (SELECT doc_id, count(DISTINCT x) AS n_hit
+       FROM (SELECT doc_id, unnest(range(p, CAST(p + n AS BIGINT))) AS x FROM hits) GROUP BY 1),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)""",
+}

@@ -18,7 +18,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a verbatim window of the benchmark, and the items that occur."""
-    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
