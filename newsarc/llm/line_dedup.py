@@ -114,8 +114,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     kept = cut(kept.groupBy("hash").agg(F.min("same").alias("same")).withColumn("words", _words(F.col("same"))))
 
     # later occurrences, in runs of neighbouring chunks
-    later = (places.join(first.select("hash", F.col("_k").alias("_fk"), F.col("no").alias("_fno"))
-                         .join(kept, "hash"), "hash")
+    originals = cut(first.select("hash", F.col("_k").alias("_fk"), F.col("no").alias("_fno")).join(kept, "hash"))
+    # both sides are plain exchanges below the join: a chunk with very many places is split by measured size
+    later = (places.join(originals.hint("shuffle_merge"), "hash")
              .where((F.col("_k") != F.col("_fk")) | (F.col("no") != F.col("_fno"))))
     order = Window.partitionBy("_k").orderBy("no")
     runs = (later.dropDuplicates(["_k", "no"]).withColumn("_run", F.col("no") - F.row_number().over(order))
