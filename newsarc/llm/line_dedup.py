@@ -1,17 +1,20 @@
 """Removal of repeated multi-line chunks whose borders the content defines.
 
-A line is a clause: text up to a line break or to sentence punctuation and a
+A line is a clause: text up to line breaks or to sentence punctuation and a
 blank, both kept, so the lines of a text join to exactly that text. A cyclic
 rolling hash over the hashes of ``WINDOW`` neighbouring lines has a border
 wherever it is a local minimum; paragraph ends are borders too and the hash
 starts anew there. Borders therefore depend on nearby lines only (an insertion
 shifts no later border) and a chunk has two lines or more, except paragraphs of
-one line, which are never removed.
+one line; of these only those of ``MIN_WORDS`` words or more count as chunks (a
+long paragraph without punctuation).
 
 Chunks that occur in several places are found by a 64-bit hash on narrow rows.
 The first occurrence (smallest document, then place) stays. The others get the
-first one's text and go only where their bytes are equal to it and where the run
-of neighbouring repeated chunks holds ``MIN_WORDS`` words or more.
+first one's text and go only where their bytes are equal to it (but for blanks
+and line breaks at the end, which a text's last line may lack) and where a run
+of neighbouring chunks that are neighbours in the original too holds ``MIN_WORDS``
+words or more; short phrases that recur by chance stay.
 
 DataFrame functions only; the whole text crosses two shuffles by document.
 """
@@ -27,17 +30,23 @@ WINDOW = 2
 MIN_WORDS = 20
 _ENDS = ["\n", ". ", ", ", "; ", ": ", "! ", "? "]   # what ends a line; it belongs to the line
 _MARK = "\x01"
-_LINE = r"(?<=\n)|(?<=[.,;:!?] )"                  # the same as a pattern, for texts that hold the mark
+_LINE = r"(?<=\n)(?!\n)|(?<=[.,;:!?] )(?!\n)"       # the same as a pattern, for texts that hold the mark
 
 
 def _rotated(h: Column, by: int) -> Column:
     return F.shiftleft(h, by).bitwiseOR(F.shiftrightunsigned(h, 64 - by)) if by else h
 
 
+def _bare(x: Column) -> Column:
+    """Without the blanks and line breaks at the end, which the last line of a text may lack."""
+    return F.rtrim(x, F.lit(" \n"))
+
+
 def _lines(t: Column) -> Column:
     marked = t
     for end in _ENDS:  # plain replacements; a pattern costs several times as much
         marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
+    marked = F.replace(marked, F.lit(_MARK + "\n"), F.lit("\n"))  # a line break ends the line before it
     pieces = F.when(t.contains(_MARK), F.split(t, _LINE, -1)).otherwise(F.split(marked, _MARK, -1))
     return F.filter(pieces, lambda x: x != "")
 
@@ -45,7 +54,7 @@ def _lines(t: Column) -> Column:
 def with_chunks(docs: DataFrame, text: str) -> DataFrame:
     """Adds ``_lines``, their ``_hashes`` and ``_ends`` (the last line of each chunk) of the text."""
     out = docs.withColumn("_lines", _lines(F.col(text)))
-    out = out.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
+    out = out.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(_bare(x))))
     out = out.withColumn("_last", F.transform("_lines", lambda x, i: x.endswith("\n") | (i == F.size("_lines") - 1)))
     def rolling(h: Column, i: Column) -> Column:
         value, open_ = h, F.lit(True)
@@ -67,7 +76,11 @@ def _start(no: Column) -> Column:
 
 
 def _chunk(no: Column) -> Column:
-    """Text of chunk ``no``; null beyond the last one."""
+    """Text of chunk ``no`` without blanks and line breaks at its end; null beyond the last one."""
+    return _bare(_whole_chunk(no))
+
+
+def _whole_chunk(no: Column) -> Column:
     return F.array_join(F.slice("_lines", _start(no) + 1, F.get("_ends", no) - _start(no) + 1), "")
 
 
@@ -86,8 +99,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     Every row stays; a document that consists of repeated chunks ends with an
     empty text, null stays null. Rows with the same id are one document given
     twice (a null id is named by its text), so their chunks do not count as
-    repeats of each other, only of earlier documents. Texts without line breaks
-    or punctuation are one line and stay. Columns of ``docs`` that clash with the
+    repeats of each other, only of earlier documents. Columns of ``docs`` that clash with the
     two added ones (``prefix`` stands before both) are replaced.
     """
     own = [c for c in docs.columns if c not in (f"{prefix}removed_chunks", f"{prefix}removed_words")]
@@ -96,7 +108,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     split = with_chunks(keyed.select("_k", F.col(text).alias("_t")), "_t")
     number = F.transform("_ends", lambda e, i: F.struct(i.alias("no"), (e - _start(i) + 1).alias("n")))
     chunks = split.select("_k", F.explode(F.transform(
-        F.filter(number, lambda c: c["n"] > 1),
+        F.filter(number, lambda c: (c["n"] > 1) | (_words(_chunk(c["no"])) >= min_words)),
         lambda c: F.struct(c["no"].alias("no"), _chunk_hash(c["no"]).alias("hash")))).alias("c"))
     chunks = written(chunks.select("_k", "c.no", "c.hash"), "line-chunks")   # two numbers and a place per chunk
 
@@ -118,10 +130,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     # both sides are plain exchanges below the join: a chunk with very many places is split by measured size
     later = (places.join(originals.hint("shuffle_merge"), "hash")
              .where((F.col("_k") != F.col("_fk")) | (F.col("no") != F.col("_fno"))))
-    order = Window.partitionBy("_k").orderBy("no")
-    runs = (later.dropDuplicates(["_k", "no"]).withColumn("_run", F.col("no") - F.row_number().over(order))
-            .groupBy("_k", "_run").agg(F.min("no").alias("start"), F.sum("words").alias("words"),
-                                       F.sort_array(F.collect_list(F.struct("no", "same"))).alias("same"))
+    later = later.dropDuplicates(["_k", "no"]).withColumn("_off", F.col("_fno") - F.col("no"))
+    order = Window.partitionBy("_k", "_fk", "_off").orderBy("no")
+    runs = (later.withColumn("_run", F.col("no") - F.row_number().over(order))
+            .groupBy("_k", "_fk", "_off", "_run").agg(F.min("no").alias("start"), F.sum("words").alias("words"),
+                                                      F.sort_array(F.collect_list(F.struct("no", "same"))).alias("same"))
             .where(F.col("words") >= min_words)
             .groupBy("_k").agg(F.collect_list(F.struct("start", F.col("same.same").alias("same"))).alias("_runs")))
 
@@ -130,7 +143,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
     gone = F.filter(F.transform("_ends", lambda e, i: i), lambda no: F.exists(
         "_runs", lambda r: F.coalesce(F.get(r["same"], no - r["start"]) == _chunk(no), F.lit(False))))
     marked = joined.withColumn("_gone", F.when(F.col("_runs").isNotNull(), gone))
-    rest = F.array_join(F.transform(F.array_except(F.transform("_ends", lambda e, i: i), F.col("_gone")), _chunk), "")
+    rest = F.array_join(F.transform(F.array_except(F.transform("_ends", lambda e, i: i), F.col("_gone")), _whole_chunk), "")
     changed = F.col("_runs").isNotNull()
     return marked.select(
         *[F.when(changed, rest).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in own],

@@ -11,10 +11,10 @@ from newsarc.llm import line_dedup
 
 def chunks(text, line_hash):
     """Plain version of the chunking; line_hash gives Spark's signed 64-bit hash."""
-    lines = [x for x in re.split(r"(?<=\n)|(?<=[.,;:!?] )", text) if x]
+    lines = [x for x in re.split(r"(?<=\n)(?!\n)|(?<=[.,;:!?] )(?!\n)", text) if x]
     n = len(lines)
     last = [x.endswith("\n") or i == n - 1 for i, x in enumerate(lines)]
-    h = [line_hash[x] for x in lines]
+    h = [line_hash[x.rstrip(" \n")] for x in lines]
     roll = []
     for i in range(n):
         v = h[i]
@@ -34,21 +34,24 @@ def chunks(text, line_hash):
 
 def brute(rows, line_hash, min_words):
     cut = {i: chunks(t or "", line_hash) for i, t in rows}
+    size = lambda c: c.rstrip(" \n").count(" ") + 1
     first = {}
     for i in sorted(cut):
         for no, (n, c) in enumerate(cut[i]):
-            if n > 1:
-                first.setdefault(c, (i, no))
+            if n > 1 or size(c) >= min_words:
+                first.setdefault(c.rstrip(" \n"), (i, no))
     out = {}
     for i, t in rows:
-        gone, run = set(), []
+        gone, run, before = set(), [], None
         for no, (n, c) in enumerate([*cut[i], (0, "")]):
-            if n > 1 and first[c] != (i, no):
+            origin = first.get(c.rstrip(" \n")) if (n > 1 or (n and size(c) >= min_words)) else None
+            place = (origin[0], origin[1] - no) if origin and origin != (i, no) else None
+            if place != before:
+                if sum(size(cut[i][k][1]) for k in run) >= min_words:
+                    gone |= set(run)
+                run, before = [], place
+            if place:
                 run.append(no)
-                continue
-            if sum(cut[i][k][1].count(" ") + 1 for k in run) >= min_words:
-                gone |= set(run)
-            run = []
         out[i] = None if t is None else "".join(c for no, (_, c) in enumerate(cut[i]) if no not in gone)
     return out
 
@@ -67,14 +70,16 @@ def corpus():
             parts.insert(rng.randint(0, len(parts)), passages[i % 4])
         rows.append((i, "\n".join(parts)))
     rows += [(100, rows[0][1]), (101, rows[1][1]), (102, ""), (103, None), (104, "\n\n"), (105, "word " * 500),
-             (106, passages[0] * 30), (107, "no punctuation at all")]
+             (106, passages[0] * 30), (107, "no punctuation at all"), (108, "a plain one\n" + "word " * 500),
+             (111, "kept here\n" + passages[1]), (112, passages[1] + "\nand more"),
+             (109, "SHOUT!! " * 60), (110, "some NEW!! SHOUT!! SHOUT!! words!! of!! SHOUT!! all kinds!! ")]
     return rows, passages
 
 
 @pytest.fixture(scope="module")
 def case(spark):
     rows, passages = corpus()
-    lines = sorted({x for _, t in rows if t for x in re.split(r"(?<=\n)|(?<=[.,;:!?] )", t) if x})
+    lines = sorted({x.rstrip(" \n") for _, t in rows if t for x in re.split(r"(?<=\n)(?!\n)|(?<=[.,;:!?] )(?!\n)", t) if x})
     df = spark.createDataFrame([(x,) for x in lines], "x string")
     return rows, passages, {r["x"]: r["h"] for r in df.selectExpr("x", "xxhash64(x) AS h").collect()}
 
@@ -95,7 +100,10 @@ def test_a_repeated_passage_stays_once(spark, case):
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for p in passages:
         assert sum(1 for t in got.values() if t and p.strip() in t) <= 1
-    assert got[100] == "" and got[0] == rows[0][1]        # a copy is emptied, its original is whole
+    assert got[100].count(" ") < 20 and got[0] == rows[0][1]   # a copy is all but emptied, its original is whole
+    assert got[105] == "word " * 500 and got[108] == "a plain one\n"   # a long line alone counts as a chunk
+    assert got[111] == "kept here\n" and got[112] == "and more"   # with or without a line break after it
+    assert got[110] == dict(rows)[110]                         # short phrases that recur stay
     untouched = [i for i in range(80) if i % 3]
     assert all(got[i] == rows[i][1] for i in untouched)
 
