@@ -41,7 +41,7 @@ def main():
             short = {k.replace("Exchange ", "").replace("partitioning", "").replace("Partitioning", ""): v
                      for k, v in counts.items()}
             cell = ", ".join(f"{k} {v}" for k, v in short.items()) or "—"
-            cols = "; ".join(s[len("struct<"):-1] for s in scans) or "(checkpointed ranges)"
+            cols = "; ".join(s[len("struct<"):-1] for s in scans)
             print(f"| `{name}` | {cell} | {cols} | {'; '.join(pushed) or '—'} |")
         else:
             print(name, counts, "scan:", scans, "pushed:", pushed)
