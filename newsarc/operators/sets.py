@@ -43,6 +43,30 @@ def kept_urls(today: DataFrame, before: DataFrame) -> DataFrame:
     return today.intersect(before)
 
 
+def rounds_of(found: DataFrame, keys: tuple[str, ...] = ("website_hash",), url: str = "url",
+              rnd: str = "page_id") -> DataFrame:
+    """Per (keys, url) its ``first`` and ``last`` round, and the keys' ``latest`` round.
+
+    One aggregate over the found rows; the latest round is taken from its result, with the same columns
+    on both sides of the join, so the planner reads (and parses) the input once.
+    """
+    per = found.groupBy(*keys, url).agg(F.min(rnd).alias("first"), F.max(rnd).alias("last"))
+    latest = per.groupBy(*keys).agg(F.max("last").alias("latest"), F.min("first").alias("_first"))
+    return per.join(latest, list(keys)).where(F.col("_first") <= F.col("first")).drop("_first")
+
+
+def new_in_latest(found: DataFrame, **names) -> DataFrame:
+    """U3 over a history: URLs of each site's latest round that no earlier round had."""
+    r = rounds_of(found, **names)
+    return r.filter((F.col("last") == F.col("latest")) & (F.col("first") == F.col("last"))).drop("first", "last", "latest")
+
+
+def kept_in_latest(found: DataFrame, **names) -> DataFrame:
+    """U4 over a history: URLs of the latest round that an earlier round had too."""
+    r = rounds_of(found, **names)
+    return r.filter((F.col("last") == F.col("latest")) & (F.col("first") < F.col("last"))).drop("first", "last", "latest")
+
+
 def dedup_normalized(df: DataFrame, url: str = "url", keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per normalized URL (P7), keeping the smallest original URL."""
     return df.groupBy(*keys, U.normalize_url(url).alias("norm_url")) \

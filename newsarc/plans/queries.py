@@ -215,25 +215,14 @@ def q_known_domain(spark, sf):
     return J.known_domain(links.unionByName(caps), D.outlets(spark, sf)).select("kind", "id", "url")
 
 
-def _today_before(spark, sf):
-    links = D.links(spark, sf).select("page_id", "website_hash", "url")
-    last = links.groupBy("website_hash").agg(F.max("page_id").alias("_last"))
-    tagged = links.join(last, "website_hash")
-    today = tagged.filter(F.col("page_id") == F.col("_last")).select("website_hash", "url")
-    before = tagged.filter(F.col("page_id") < F.col("_last")).select("website_hash", "url")
-    return today, before
-
-
 def q_new_urls(spark, sf):
     """Links of each site's latest page not found on its earlier pages."""
-    today, before = _today_before(spark, sf)
-    return S.new_urls(today, before)
+    return S.new_in_latest(D.links(spark, sf).select("page_id", "website_hash", "url"))
 
 
 def q_kept_urls(spark, sf):
     """U4: links of the latest page that earlier pages had too."""
-    today, before = _today_before(spark, sf)
-    return S.kept_urls(today, before)
+    return S.kept_in_latest(D.links(spark, sf).select("page_id", "website_hash", "url"))
 
 
 def q_expand_urls(spark, sf):

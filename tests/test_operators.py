@@ -506,3 +506,10 @@ def test_seed_metrics_split_errors_and_flag_robots(spark):
     pages = spark.createDataFrame([("a", True), ("b", True)], "collection string, seed boolean")
     got = {r.collection: (r.client_errors, r.server_errors, r.robots_fail, r.robots_blocked) for r in A.seed_metrics(caps, pages).collect()}
     assert got == {"a": (2, 1, 1, True), "b": (1, 0, 1, False)}
+
+
+def test_new_and_kept_over_a_history(spark):
+    found = spark.createDataFrame([("s", "a", 1), ("s", "b", 1), ("s", "b", 3), ("s", "c", 3), ("s", "c", 3), ("t", "x", 2)],
+                                  "website_hash string, url string, page_id long")
+    assert sorted(tuple(r) for r in S.new_in_latest(found).collect()) == [("s", "c"), ("t", "x")]
+    assert sorted(tuple(r) for r in S.kept_in_latest(found).collect()) == [("s", "b")]
