@@ -79,6 +79,15 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _gaps(a: np.ndarray) -> np.ndarray:
+    """A rising array as differences, which pack better; ``_rising`` gives it back."""
+    return np.diff(a, prepend=a.dtype.type(0))
+
+
+def _rising(gaps: np.ndarray, kind: str) -> np.ndarray:
+    return np.cumsum(gaps.astype(kind), dtype=kind)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*((*r, None, None)[:6] for r in rows))) if rows else [()] * 6
     types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.float64()]
@@ -102,7 +111,7 @@ def _slices(bucket: np.ndarray):
 
 def _ids(number: np.ndarray, bucket: int) -> np.ndarray:
     """Names of a bucket's seen entries (numbered from 1); 0 becomes the unknown class."""
-    return np.where(number > 0, number.astype("int64") << 32 | bucket, UNKNOWN)
+    return np.where(number > 0, number.astype("int64") | bucket << 32, UNKNOWN)
 
 
 def learns(ident) -> bool:
@@ -133,7 +142,7 @@ def _block(docs, block: int, buckets: int):
     yield ("t", block, -1, _pack(place[word], rank, lengths, train.astype("u1"), known.astype("u1"), ids.view("uint64")),
            [int(train.sum())])
     for k, a, z in _slices(bucket):
-        yield ("q", block, k, _pack(own[a:z], counts[a:z]))
+        yield ("q", block, k, _pack(_gaps(own[a:z]), counts[a:z]))
 
 
 def blocks(docs: DataFrame, buckets: int, text: str, ident: str) -> DataFrame:
@@ -166,10 +175,10 @@ def _words(group: pa.Table) -> pa.Table:
     """Merge one bucket's words: table row (m), histogram (h) and an answer (a) per block."""
     k = group["bucket"][0].as_py()
     asked = [_unpack(x.as_py()) for x in group["data"]]
-    own, at = np.unique(np.concatenate([a[0].astype("uint64") for a in asked]), return_inverse=True)
+    own, at = np.unique(np.concatenate([_rising(a[0], "uint64") for a in asked]), return_inverse=True)
     counts = np.bincount(at, weights=np.concatenate([a[1] for a in asked]), minlength=len(own)).astype("int64")
     number = np.cumsum(counts > 0)          # 1.. among the bucket's seen words
-    rows = [("m", -1, k, _pack(own[counts > 0], counts[counts > 0])), ("h", -1, k, None, _histogram(counts))]
+    rows = [("m", -1, k, _pack(_gaps(own[counts > 0]), counts[counts > 0])), ("h", -1, k, None, _histogram(counts))]
     start = 0
     for block, (h, _) in zip(group["block"].to_pylist(), asked):
         mine = at[start:start + len(h)]
@@ -183,7 +192,7 @@ def _ngrams(group: pa.Table) -> pa.Table:
     k = group["bucket"][0].as_py()
     asked = [_unpack(x.as_py()) for x in group["data"]]   # contexts, run lengths, heavy, words, counts, lower
     sizes = [len(a[3]) for a in asked]
-    context = np.concatenate([np.repeat(a[0].astype("int64"), a[1]) for a in asked])
+    context = np.concatenate([np.repeat(_rising(a[0], "int64"), a[1]) for a in asked])
     heavy = np.concatenate([np.repeat(a[2], a[1]) for a in asked]).astype(bool)
     word = np.concatenate([a[3].astype("int64") for a in asked])
     n, lower = (np.concatenate([a[i] for a in asked]) for i in (4, 5))
@@ -203,7 +212,7 @@ def _ngrams(group: pa.Table) -> pa.Table:
                       np.bincount(of[counts > CUT], weights=counts[counts > CUT], minlength=m)]).astype("int64")
     mass = np.bincount(of[seen], weights=glow[seen], minlength=m)
     number = np.cumsum(seen)
-    rows = [("m", -1, k, _pack(gc[seen], gw[seen], counts[seen])), ("h", -1, k, None, _histogram(counts))]
+    rows = [("m", -1, k, _pack(_gaps(gc[seen]), gw[seen], counts[seen])), ("h", -1, k, None, _histogram(counts))]
     for i in np.nonzero(gheavy[newc])[0].tolist():
         rows.append(("s", int(gc[newc][i]), k, None, stats[:, i].tolist(), float(mass[i])))
     start = 0
@@ -328,7 +337,7 @@ class Tokens:
             new = np.append(True, c[a + 1:z] != c[a:z - 1])
             first = np.nonzero(new)[0]
             yield ("q", self.block, k, _pack(
-                c[a:z][first], np.diff(np.append(first, z - a)), heavy[a:z][first].astype("u1"), w[a:z], counts[a:z],
+                _gaps(c[a:z][first]), np.diff(np.append(first, z - a)), heavy[a:z][first].astype("u1"), w[a:z], counts[a:z],
                 low[a:z]))
 
     def _raise(self, n: int, answers: dict[int, bytes], level: Level) -> None:
