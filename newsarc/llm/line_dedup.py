@@ -123,19 +123,25 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
             .select(F.explode(F.transform("_want", lambda w: F.struct(
                 w["hash"].alias("hash"), F.when(_chunk_hash(w["no"]) == w["hash"], _chunk(w["no"])).alias("same")))).alias("w"))
             .select("w.hash", "w.same").where("same IS NOT NULL"))
-    kept = cut(kept.groupBy("hash").agg(F.min("same").alias("same")).withColumn("words", _words(F.col("same"))))
+    kept = written(kept.groupBy("hash").agg(F.min("same").alias("same")).withColumn("words", _words(F.col("same"))),
+                   "line-originals")
 
     # later occurrences, in runs of neighbouring chunks
-    originals = cut(first.select("hash", F.col("_k").alias("_fk"), F.col("no").alias("_fno")).join(kept, "hash"))
+    originals = cut(first.select("hash", F.col("_k").alias("_fk"), F.col("no").alias("_fno"))
+                    .join(kept.select("hash", "words"), "hash"))
     # both sides are plain exchanges below the join: a chunk with very many places is split by measured size
     later = (places.join(originals.hint("shuffle_merge"), "hash")
              .where((F.col("_k") != F.col("_fk")) | (F.col("no") != F.col("_fno"))))
-    later = later.dropDuplicates(["_k", "no"]).withColumn("_off", F.col("_fno") - F.col("no"))
-    order = Window.partitionBy("_k", "_fk", "_off").orderBy("no")
-    runs = (later.withColumn("_run", F.col("no") - F.row_number().over(order))
-            .groupBy("_k", "_fk", "_off", "_run").agg(F.min("no").alias("start"), F.sum("words").alias("words"),
-                                                      F.sort_array(F.collect_list(F.struct("no", "same"))).alias("same"))
-            .where(F.col("words") >= min_words)
+    # narrow rows of a document together: one exchange serves the windows below
+    run = ["_k", "_fk", "_off", "_run"]
+    later = (later.repartition("_k").dropDuplicates(["_k", "no"]).withColumn("_off", F.col("_fno") - F.col("no"))
+             .withColumn("_run", F.col("no") - F.row_number().over(Window.partitionBy(run[:3]).orderBy("no")))
+             .withColumn("_size", F.sum("words").over(Window.partitionBy(run)))
+             .withColumn("start", F.min("no").over(Window.partitionBy(run)))
+             .where(F.col("_size") >= min_words).select("hash", *run, "start", "no"))
+    # only now their text, which crosses one exchange
+    runs = (later.join(kept.select("hash", "same").hint("shuffle_merge"), "hash").repartition("_k")
+            .groupBy(*run, "start").agg(F.sort_array(F.collect_list(F.struct("no", "same"))).alias("same"))
             .groupBy("_k").agg(F.collect_list(F.struct("start", F.col("same.same").alias("same"))).alias("_runs")))
 
     joined = with_chunks(keyed.join(runs, "_k", "left").withColumn("_t", F.when(F.col("_runs").isNotNull(), F.col(text))), "_t")
