@@ -1,7 +1,7 @@
 """From raw documents to packed training windows, in five stages.
 
 quality       documents that the classifier rejects go
-line_dedup    repeated multi-line chunks are cut out of the texts
+line_dedup    repeated passages are cut out of the texts
 near_dedup    one document of each SimHash component stays (the smallest doc_id)
 decontaminate documents that hold a verbatim window of the benchmark go
 pack          the rest as token pieces in windows of 2048 ids
@@ -30,8 +30,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated chunks; n_chars, if there, is counted anew. No row goes."""
-    out = line_dedup.dedup_lines(docs, prefix="_dedup_")
+    """Texts without repeated passages; n_chars, if there, is counted anew. No row goes."""
+    out = line_dedup.dedup_passages(docs, prefix="_dedup_")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

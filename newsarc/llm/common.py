@@ -81,6 +81,18 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and nothing reads any more.
+
+    The collection lets Spark's cleaner see that the steps behind them are done and remove their shuffle files.
+    """
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0].rsplit("/", 1)[0])
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,20 +1,27 @@
-"""Removal of repeated multi-line chunks whose borders the content defines.
+"""Removal of repeated passages of whole lines, in any document and across line breaks.
 
 A line is a clause: text up to line breaks or to sentence punctuation and a
-blank, both kept, so the lines of a text join to exactly that text. A cyclic
-rolling hash over the hashes of ``WINDOW`` neighbouring lines has a border
-wherever it is a local minimum; paragraph ends are borders too and the hash
-starts anew there. Borders therefore depend on nearby lines only (an insertion
-shifts no later border) and a chunk has two lines or more, except paragraphs of
-one line; of these only those of ``MIN_WORDS`` words or more count as chunks (a
-long paragraph without punctuation).
-
-Chunks that occur in several places are found by a 64-bit hash on narrow rows.
-The first occurrence (smallest document, then place) stays. The others get the
-first one's text and go only where their bytes are equal to it (but for blanks
-and line breaks at the end, which a text's last line may lack) and where a run
-of neighbouring chunks that are neighbours in the original too holds ``MIN_WORDS``
-words or more; short phrases that recur by chance stay.
+blank, both kept, so the lines of a text join to exactly that text.
+
+``dedup_passages`` (the registered query): a passage is a run of neighbouring
+lines with ``MIN_WORDS`` words or more that stands earlier too (smaller document,
+then place), and all its lines go, wherever it begins and ends, over line breaks
+and blank lines. Windows make this exact: the shortest run of lines with
+``MIN_WORDS`` words from each line on, and the shortest one up to each line. Their
+borders depend on the lines inside alone (an insertion shifts no other window),
+all windows of a repeated passage are repeated, and together they cover it.
+Windows that occur in several places are found by a 64-bit hash on narrow rows;
+overlapping ones with the same original become one run, and a run goes only where
+the SHA-256 of its bytes equals that of its original (but for blanks and line
+breaks at the end, which a text's last line may lack). A run that overlaps its
+own original in one text stays, so of a line repeated without end the first
+``MIN_WORDS`` words remain. Blank lines between two runs may stay. Each line that goes stands at an earlier place too, so
+no text vanishes from the table.
+
+``dedup_lines`` (not registered) removes disjoint chunks alone: a cyclic rolling
+hash over the hashes of ``WINDOW`` neighbouring lines has a border wherever it is a
+local minimum; every line break is a border too. It leaves repeated short lines
+and passages that hold no whole chunk.
 
 DataFrame functions only; the whole text crosses two shuffles by document.
 """
@@ -24,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsarc.llm.common import cut, written
+from newsarc.llm.common import cut, drop, written
 
 WINDOW = 2
 MIN_WORDS = 20
@@ -155,3 +162,115 @@ def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_
         *[F.when(changed, rest).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in own],
         F.when(changed, F.size("_gone")).otherwise(0).alias(f"{prefix}removed_chunks"),
         F.when(changed, F.aggregate("_gone", F.lit(0), lambda s, no: s + _words(_chunk(no)))).otherwise(0).alias(f"{prefix}removed_words"))
+
+
+def _odd(t: Column) -> Column:
+    """Does a text hold white space other than one blank between words or line breaks after them?"""
+    return (t.contains("  ") | t.contains("\t") | t.contains("\r") | t.contains("\n ") | t.startswith(" ")
+            | t.startswith("\n"))
+
+
+def _line_words(bare: Column, odd: Column) -> Column:
+    """Words of a line without blanks and line breaks at its end, of a text that is ``odd`` or not."""
+    return (F.when(odd, F.size(F.filter(F.split(bare, "[ \t\r\n]+"), lambda w: w != "")))
+            .when(bare == "", 0).otherwise(_words(bare)))
+
+
+def _part(start: Column, end: Column) -> Column:
+    """Text of the lines start to end without blanks and line breaks at its end."""
+    return _bare(F.array_join(F.slice("_lines", start + 1, end - start + 1), ""))
+
+
+def _from(c: Column) -> Column:
+    """The first line of place ``c``, which holds the numbers of two lines."""
+    return F.shiftright(c, 32).cast("int")
+
+
+def _to(c: Column) -> Column:
+    return c.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def _windows(docs: DataFrame, text: str, min_words: int) -> DataFrame:
+    """One row (_k, c, hash) per shortest run of lines with ``min_words`` words from or up to a line; c is its place."""
+    out = docs.select("_k", _odd(F.col(text)).alias("_odd"), _lines(F.col(text)).alias("_lines"))
+    out = out.select("_k", "_odd", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_whole"), F.transform("_lines", lambda x: _bare(x)).alias("_bare"))
+    out = out.select("_k", "_whole", F.transform("_bare", lambda b: F.xxhash64(b)).alias("_hashes"), F.flatten(F.transform(
+        "_bare", lambda b, i: F.array_repeat(i, _line_words(b, F.col("_odd"))))).alias("_of"))    # the line of each word
+    # the places of the lines' first words and, at the end, the number of words
+    at = lambda w: F.get("_of", w)
+    out = out.withColumn("_first", F.filter(F.sequence(F.lit(0), F.size("_of")), lambda w: ~at(w).eqNullSafe(at(w - 1))))
+    code = lambda s, e: F.shiftleft(s.cast("long"), 32).bitwiseOR(e.cast("long"))
+    out = out.select("_k", "_whole", "_hashes", F.array_distinct(F.array_compact(F.concat(
+        F.transform("_first", lambda w: code(at(w), at(w + (min_words - 1)))),
+        F.transform("_first", lambda w: code(at(w - min_words), at(w - 1)))))).alias("_codes"))
+    # the last line counts without what stands at its end, those before it whole
+    return out.select("_k", F.explode(F.transform("_codes", lambda c: F.struct(
+        c.alias("c"), F.xxhash64(F.slice("_whole", _from(c) + 1, _to(c) - _from(c)), F.get("_hashes", _to(c))).alias("hash")))).alias("w")
+    ).select("_k", "w.*")
+
+
+def dedup_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = MIN_WORDS,
+                   prefix: str = "") -> DataFrame:
+    """``docs`` with the repeated passages cut out of ``text``, plus removed_chunks and removed_words.
+
+    removed_chunks counts the stretches of neighbouring lines that went. Every
+    row stays; a document that consists of repeated passages ends with an empty
+    text, null stays null. Rows with the same id are one document given twice (a
+    null id is named by its text), so their passages do not count as repeats of
+    each other, only of earlier places. Columns of ``docs`` that clash with the
+    two added ones (``prefix`` stands before both) are replaced.
+    """
+    own = [c for c in docs.columns if c not in (f"{prefix}removed_chunks", f"{prefix}removed_words")]
+    keyed = docs.select(*[F.col(f"`{c}`") for c in own],
+                        F.coalesce(F.col(ident).cast("long"), F.xxhash64(text)).alias("_k"))
+    texts = keyed.select("_k", F.col(text).alias("_t"))
+    windows = written(_windows(texts, "_t", min_words), "line-windows")   # three numbers per window
+
+    # repeats by hash, on narrow rows; a window with very many places is split by measured size below the joins
+    repeated = written(windows.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash"),
+                       "line-repeats")
+    places = written(windows.join(repeated.hint("shuffle_merge"), "hash"), "line-places")
+    drop(windows, repeated)
+    first = written(places.groupBy("hash").agg(F.min(F.struct("_k", "c")).alias("f"))
+                    .select("hash", F.col("f._k").alias("_fk"), _from(F.col("f.c")).alias("_fs")), "line-firsts")
+    later = (places.withColumn("s", _from(F.col("c"))).withColumn("e", _to(F.col("c"))).drop("c")
+             .join(first.hint("shuffle_merge"), "hash")
+             .where((F.col("_k") != F.col("_fk")) | (F.col("s") > F.col("_fs") + F.col("e") - F.col("s")))
+             .select("_k", "_fk", (F.col("_fs") - F.col("s")).alias("_off"), "s", "e"))
+
+    # overlapping windows with the same original are one run; one exchange by document serves both steps
+    same = ["_k", "_fk", "_off"]
+    order = Window.partitionBy(*same).orderBy("s", "e")
+    before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (later.repartition("_k").withColumn("_new", F.when(F.col("s") <= before, 0).otherwise(1))
+            .withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy(*same, "_run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+            .select("_k", "_fk", "s", "e", (F.col("s") + F.col("_off")).alias("_fs"), (F.col("e") + F.col("_off")).alias("_fe")))
+    runs = written(runs, "line-runs")
+    drop(places, first)
+
+    # digests of the originals' bytes (several where rows share an id)
+    wanted = runs.groupBy("_fk").agg(F.collect_set(F.struct("_fs", "_fe")).alias("_want")).withColumnRenamed("_fk", "_k")
+    kept = (texts.join(wanted, "_k").withColumn("_lines", _lines(F.col("_t")))
+            # naming the lines twice keeps the optimizer from splitting the text anew for each passage
+            .select("_k", F.explode(F.when(F.col("_lines").isNotNull(), F.transform("_want", lambda w: F.struct(
+                w["_fs"].alias("_fs"), w["_fe"].alias("_fe"),
+                F.sha2(_part(w["_fs"], w["_fe"]), 256).alias("sha"))))).alias("w")).select(F.col("_k").alias("_fk"), "w.*"))
+    kept = written(kept.groupBy("_fk", "_fs", "_fe").agg(F.collect_set("sha").alias("sha")), "line-originals")
+    found = (runs.join(kept.hint("shuffle_merge"), ["_fk", "_fs", "_fe"]).repartition("_k")
+             .groupBy("_k").agg(F.collect_list(F.struct("s", "e", "sha")).alias("_runs")))
+
+    joined = (keyed.join(found, "_k", "left").withColumn("_odd", _odd(F.col(text)))
+              .withColumn("_lines", F.when(F.col("_runs").isNotNull(), _lines(F.col(text)))))
+    equal = F.filter("_runs", lambda r: F.array_contains(r["sha"], F.sha2(_part(r["s"], r["e"]), 256)))
+    marked = joined.withColumn("_gone", F.array_sort(F.array_distinct(F.flatten(
+        F.transform(equal, lambda r: F.sequence(r["s"], r["e"]))))))
+    rest = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")),
+                                    lambda i: F.get("_lines", i)), "")
+    stretches = F.size(F.filter("_gone", lambda g, i: (i == 0) | (F.get("_gone", i - 1) != g - 1)))
+    changed = F.col("_runs").isNotNull()
+    return marked.select(
+        *[F.when(changed, rest).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in own],
+        F.when(changed, stretches).otherwise(0).alias(f"{prefix}removed_chunks"),
+        F.when(changed, F.aggregate("_gone", F.lit(0), lambda a, i: a + _line_words(_bare(F.get("_lines", i)), F.col("_odd"))))
+        .otherwise(0).alias(f"{prefix}removed_words"))

@@ -23,8 +23,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without their repeated multi-line chunks."""
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+    """All documents without their repeated passages."""
+    return line_dedup.dedup_passages(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "removed_chunks", "removed_words")
 
 
