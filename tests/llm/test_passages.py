@@ -72,6 +72,29 @@ def test_equals_the_plain_version(spark, min_words):
     assert all((r["removed_chunks"] > 0) == (words(want[i]) != words(dict(rows)[i])) for i, r in got.items())
 
 
+@pytest.mark.parametrize("low, high, size", [(8, 12, 51), (8, 12, 60), (12, 20, 51), (12, 20, 60), (8, 12, 100)])
+def test_passages_inside_a_paragraph_go(spark, low, high, size):
+    rng = random.Random(size + low)
+
+    def text(n):
+        return "".join(clause(rng, low, high) + ", " for _ in range(n))
+
+    def passage():
+        out = ""
+        while (left := size - len(out.split())) > 0:
+            out += (clause(rng, left, left) if left <= high else clause(rng, low, min(high, left - 1))) + ", "
+        return out
+    passages = [passage() for _ in range(40)]
+    rows, alone = [], {}
+    for n in range(80):
+        a, b = text(rng.randint(1, 6)), text(rng.randint(1, 6))
+        rows.append((n, a + passages[n % 40] + b))
+        alone[n] = a + b
+    got = removed(spark, rows)
+    assert all(got[n]["text"] == (rows[n][1] if n < 40 else alone[n]) for n in range(80))
+    assert all(got[n]["removed_words"] == (0 if n < 40 else size) for n in range(80))
+
+
 def test_rows_of_one_id_null_ids_clashes_and_no_python(spark):
     long = "so many words of one clause " * 10
     df = spark.createDataFrame([(5, long, 1), (5, long, 1), (None, "other " * 30, 1), (None, "other " * 30, 1), (9, "x, " + long, 1)],
