@@ -3,6 +3,24 @@
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+# CRC-32 by bytes: the table from its rule, then a step per byte of the UTF-8 text.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(CAST(n AS BIGINT), range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_tab"""
+
+
+def _crc(text: str) -> str:
+    byte = f"CAST(('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT)"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), "
+            f"list_transform(range(CAST(octet_length(encode({text})) AS BIGINT)), lambda i: {byte})), "
+            "lambda a, b: xor(a >> 8, crc_tab[CAST((xor(a, b) & 255) + 1 AS BIGINT)])), 4294967295)")
+
+
+def _row(n_chars: str) -> str:
+    fields = (f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", n_chars, "text"))
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c})) || ':' || {c}, '-')" for c in fields) + ")"
+
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": f"""
 WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -21,4 +39,73 @@ hi AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS name
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)""",
+    "op12_merkle": f"""
+WITH RECURSIVE t AS MATERIALIZED ({_CRC_TABLE}),
+leaves AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, lang, {_row('n_chars')} AS leaf,
+           CASE WHEN {_crc('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_row('(n_chars + 1)')} END AS changed
+    FROM documents, t),
+placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM leaves),
+low(g, lvl, pos, h, size) AS (
+    SELECT g, 0, pos, leaf, count(*) OVER (PARTITION BY g) FROM placed
+    UNION ALL
+    SELECT g, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (size + 1) // 2
+    FROM low WHERE size > 1 GROUP BY g, lvl, pos // 2, size),
+heads AS MATERIALIZED (SELECT g, h, lvl AS high FROM low WHERE size = 1),
+high(lvl, pos, h, size) AS (
+    SELECT 0, g, h, count(*) OVER () FROM heads
+    UNION ALL
+    SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (size + 1) // 2
+    FROM high WHERE size > 1 GROUP BY lvl, pos // 2, size),
+steps AS MATERIALIZED (
+    SELECT p.r, l.lvl AS k, (p.pos >> l.lvl) & 1 AS side, s.h
+    FROM placed p JOIN (SELECT DISTINCT g, lvl FROM low WHERE size > 1) l USING (g)
+    LEFT JOIN low s ON s.g = p.g AND s.lvl = l.lvl AND s.pos = xor(p.pos >> l.lvl, CAST(1 AS BIGINT))
+    UNION ALL
+    SELECT p.r, e.high + l.lvl, (p.g >> l.lvl) & 1, s.h
+    FROM placed p JOIN heads e USING (g) CROSS JOIN (SELECT DISTINCT lvl FROM high WHERE size > 1) l
+    LEFT JOIN high s ON s.lvl = l.lvl AND s.pos = xor(p.g >> l.lvl, CAST(1 AS BIGINT))),
+fold(r, k, h) AS (
+    SELECT r, 0, coalesce(changed, leaf) FROM placed
+    UNION ALL
+    SELECT f.r, f.k + 1, sha256(CASE WHEN s.side = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END)
+    FROM fold f JOIN steps s ON s.r = f.r AND s.k = f.k),
+proof AS (SELECT r, string_agg(h, '' ORDER BY k) AS p, count(*) AS n FROM steps GROUP BY r)
+SELECT p.doc_id, p.leaf, e.h AS subroot, top.h AS root, sha256(coalesce(q.p, '')) AS proof_sha256,
+       f.h AS folded_root, f.h = top.h AS verified
+FROM placed p JOIN heads e USING (g) CROSS JOIN (SELECT h FROM high WHERE size = 1) top
+LEFT JOIN proof q ON q.r = p.r JOIN fold f ON f.r = p.r AND f.k = coalesce(q.n, 0)""",
+    "op13_spelling": f"""
+WITH RECURSIVE t AS MATERIALIZED ({_CRC_TABLE}),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS ident,
+                unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS w
+         FROM documents),
+checked AS MATERIALIZED (
+    SELECT w, k, {_crc("(ident || ':' || w)")} AS c FROM (SELECT ident, w, count(*) AS k FROM runs GROUP BY 1, 2), t),
+words AS MATERIALIZED (
+    SELECT CASE WHEN c % 31 = 0 THEN substr(w, 1, c % length(w)) || substr(w, c % length(w) + 2) ELSE w END AS word,
+           CAST(sum(k) AS BIGINT) AS n
+    FROM checked GROUP BY 1 HAVING length(word) >= 7 AND sum(k) >= 2),
+gaps AS MATERIALIZED (
+    SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z
+    FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+    SELECT x.word, y.word AS other, y.n FROM gaps x JOIN gaps y USING (a, z) WHERE x.word <> y.word
+    UNION
+    SELECT x.word, y.word, y.n FROM gaps x JOIN words y ON y.word = x.a || x.z
+    UNION
+    SELECT y.word, x.word, x.n FROM gaps x JOIN words y ON y.word = x.a || x.z),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS form, max(n) AS form_n
+         FROM near GROUP BY word),
+found AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+           CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)),
+chain(word, root, form) AS (
+    SELECT word, word, form FROM found
+    UNION ALL
+    SELECT c.word, f.word, f.form FROM chain c JOIN found f ON f.word = c.form)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM found f JOIN chain c ON c.word = f.word AND c.form IS NULL""",
 }

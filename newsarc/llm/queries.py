@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsarc.llm import ann, bfd_packing, decontaminate, katz, kk_packing, line_dedup, pii, quality, sharding, simhash
+from newsarc.llm import (ann, bfd_packing, decontaminate, katz, kk_packing, language, line_dedup, merkle, pii, quality,
+                         sharding, simhash, spelling)
 from newsarc.llm.common import table
 
 
@@ -64,6 +65,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learnt from the documents that are not held out."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of each document, and whether its tampered copy still verifies."""
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of all documents with each word's frequent spelling."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 # The key of the registered query; a user passes a secret one.
 PII_KEY = "registered-query"
 
@@ -78,4 +94,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_language": op11_language,
+    "op12_merkle": op12_merkle,
+    "op13_spelling": op13_spelling,
 }
