@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # A-Z to a-z; every other byte stays (so UTF-8 text stays valid).
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # A-Z to a-z; ASCII bytes that are neither digit nor letter become a blank.
@@ -75,34 +76,40 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back (compact, prunable)."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a Parquet table in the shared folder, read back (compact, prunable).
 
+    The shuffle files behind it go as soon as it is written: nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._newsarc_path = path
+    return out
 
-def drop(*tables: DataFrame) -> None:
-    """Delete tables that ``written`` made and nothing reads any more.
 
-    The collection lets Spark's cleaner see that the steps behind them are done and remove their shuffle files.
-    """
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and nothing reads any more."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0].rsplit("/", 1)[0])
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._newsarc_path)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-        jvm.System.gc()
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def row_key(ident: Column, text: Column) -> list[Column]:
-    """Names a document for a join without a row number: its id and the digest of its text.
+def row_name(ident: Column, text: Column) -> Column:
+    """Names a row for a join: the digest of its id and text, never null.
 
     Rows that agree in both are one document given twice and are treated alike.
     """
-    return [ident.alias("k_id"), F.sha2(text, 256).alias("k_sha")]
+    return F.sha2(F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("-")), F.coalesce(F.sha2(text, 256), F.lit("-"))), 256)
 
 
 def with_positions(df: DataFrame, *order: str) -> tuple[DataFrame, dict[int, int]]:

@@ -6,22 +6,25 @@ blank, both kept, so the lines of a text join to exactly that text.
 ``dedup_passages`` (the registered query): a passage is a run of neighbouring
 lines with ``MIN_WORDS`` words or more that stands earlier too (smaller document,
 then place), and all its lines go, wherever it begins and ends, over line breaks
-and blank lines. Windows make this exact: the shortest run of lines with
-``MIN_WORDS`` words from each line on, and the shortest one up to each line. Their
-borders depend on the lines inside alone (an insertion shifts no other window),
-all windows of a repeated passage are repeated, and together they cover it.
-Windows that occur in several places are found by a 64-bit hash on narrow rows;
-overlapping ones with the same original become one run, and a run goes only where
-the SHA-256 of its bytes equals that of its original (but for blanks and line
-breaks at the end, which a text's last line may lack). A run that overlaps its
-own original in one text stays, so of a line repeated without end the first
-``MIN_WORDS`` words remain. Blank lines between two runs may stay. Each line that goes stands at an earlier place too, so
-no text vanishes from the table.
-
-``dedup_lines`` (not registered) removes disjoint chunks alone: a cyclic rolling
-hash over the hashes of ``WINDOW`` neighbouring lines has a border wherever it is a
-local minimum; every line break is a border too. It leaves repeated short lines
-and passages that hold no whole chunk.
+and blank lines. Chunks are windows over the line hashes whose borders the content
+chooses: the shortest run of lines with ``MIN_WORDS`` words from each line on, and the
+shortest one up to each line. They depend on the lines inside alone (an insertion
+shifts no other window), all windows of a repeated passage are repeated, and
+together they cover it. A text as a whole is one more chunk, so a copy is one run.
+Repeated windows are found by a 64-bit hash on narrow rows and their places joined
+to the first one; overlapping ones with the same original become one run. A document
+then meets each of its originals once, gets the original's bytes for its runs, and a
+run goes only where its bytes are equal (but for blanks and line breaks at the end,
+which a text's last line may lack). A run that overlaps its own original in one text
+stays, so of a line repeated without end the first ``MIN_WORDS`` words remain. Blank
+lines between two runs may stay. Each line that goes stands at an earlier place too,
+so no text vanishes from the table.
+
+``dedup_lines`` (not registered) cuts disjoint chunks at local minima of a cyclic
+rolling hash over the hashes of ``WINDOW`` neighbouring lines. Such borders leave
+repeated short lines and passages that hold no whole chunk: of 51-word passages inside
+paragraphs more than half stayed, which is why the windows above have every line as a
+border.
 
 DataFrame functions only; the whole text crosses two shuffles by document.
 """
@@ -37,6 +40,7 @@ WINDOW = 2
 MIN_WORDS = 20
 _ENDS = ["\n", ". ", ", ", "; ", ": ", "! ", "? "]   # what ends a line; it belongs to the line
 _MARK = "\x01"
+WHOLE = -1          # the place of a text as a whole
 _LINE = r"(?<=\n)(?!\n)|(?<=[.,;:!?] )(?!\n)"       # the same as a pattern, for texts that hold the mark
 
 
@@ -55,7 +59,7 @@ def _lines(t: Column) -> Column:
         marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
     marked = F.replace(marked, F.lit(_MARK + "\n"), F.lit("\n"))  # a line break ends the line before it
     pieces = F.when(t.contains(_MARK), F.split(t, _LINE, -1)).otherwise(F.split(marked, _MARK, -1))
-    return F.filter(pieces, lambda x: x != "")
+    return F.array_remove(pieces, "")
 
 
 def with_chunks(docs: DataFrame, text: str) -> DataFrame:
@@ -176,6 +180,15 @@ def _line_words(bare: Column, odd: Column) -> Column:
             .when(bare == "", 0).otherwise(_words(bare)))
 
 
+def _plain_bare(x: Column) -> Column:
+    """``_bare`` of a line of a text that is not odd: blanks and line breaks stand only at its end."""
+    return F.rtrim(F.replace(x, F.lit("\n"), F.lit(" ")))
+
+
+def _plain_words(bare: Column) -> Column:
+    return F.when(bare == "", 0).otherwise(F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "), F.lit(""))) + 1)
+
+
 def _part(start: Column, end: Column) -> Column:
     """Text of the lines start to end without blanks and line breaks at its end."""
     return _bare(F.array_join(F.slice("_lines", start + 1, end - start + 1), ""))
@@ -190,23 +203,62 @@ def _to(c: Column) -> Column:
     return c.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is evaluated once (inside a lambda it would be for each element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _windows(docs: DataFrame, text: str, min_words: int) -> DataFrame:
-    """One row (_k, c, hash) per shortest run of lines with ``min_words`` words from or up to a line; c is its place."""
-    out = docs.select("_k", _odd(F.col(text)).alias("_odd"), _lines(F.col(text)).alias("_lines"))
-    out = out.select("_k", "_odd", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_whole"), F.transform("_lines", lambda x: _bare(x)).alias("_bare"))
-    out = out.select("_k", "_whole", F.transform("_bare", lambda b: F.xxhash64(b)).alias("_hashes"), F.flatten(F.transform(
-        "_bare", lambda b, i: F.array_repeat(i, _line_words(b, F.col("_odd"))))).alias("_of"))    # the line of each word
-    # the places of the lines' first words and, at the end, the number of words
-    at = lambda w: F.get("_of", w)
-    out = out.withColumn("_first", F.filter(F.sequence(F.lit(0), F.size("_of")), lambda w: ~at(w).eqNullSafe(at(w - 1))))
-    code = lambda s, e: F.shiftleft(s.cast("long"), 32).bitwiseOR(e.cast("long"))
-    out = out.select("_k", "_whole", "_hashes", F.array_distinct(F.array_compact(F.concat(
-        F.transform("_first", lambda w: code(at(w), at(w + (min_words - 1)))),
-        F.transform("_first", lambda w: code(at(w - min_words), at(w - 1)))))).alias("_codes"))
+    """One row (_k, c, hash) per shortest run of lines with ``min_words`` words from or up to a line; c is its place.
+
+    One row more, with the place ``WHOLE``, names a text of that many words by its own hash. Arrays by
+    line are made first; what is done for each window runs in generated code behind ``explode``.
+    """
+    t = F.col(text)
+    # no filter stands above the arrays: it would be pushed below them and make them twice
+    out = docs.where(t.isNotNull()).select("_k", F.xxhash64(t).alias("_text"), _odd(t).alias("_odd"), _lines(t).alias("_lines"))
+    out = out.select("_k", "_text", "_odd", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_whole"),
+                                     F.when(F.col("_odd"), F.transform("_lines", _bare)).otherwise(F.transform("_lines", _plain_bare)).alias("_bare"))
+    count = F.when(F.col("_odd"), F.transform("_bare", lambda b: _line_words(b, F.lit(True)))).otherwise(
+        F.transform("_bare", _plain_words))
+    out = out.select("_k", "_text", "_whole", F.transform("_bare", lambda b: F.xxhash64(b)).alias("_hashes"), count.alias("_n"))
+    out = out.select("_k", "_text", "_whole", "_hashes", "_n",
+                     F.flatten(F.transform("_n", lambda n, i: F.array_repeat(i, n))).alias("_of"))    # the line of each word
+    # a row per line with words: the number of its first word and its own
+    of = lambda w: F.get("_of", w)
+    out = out.select("*", F.posexplode(F.when(F.size("_of") >= min_words, F.col("_of"))).alias("_w", "_i"))
+    out = out.where(~of(F.col("_w") - 1).eqNullSafe(F.col("_i")))
+    line, at = F.col("_i"), F.col("_w")
+    first = of(at + F.get("_n", line) - min_words)   # where the run up to this line begins
+    same = of(at - min_words)                        # unless it holds that word too, the run from there ends here
+    out = out.select("_k", "_text", "_whole", "_hashes", F.inline(F.array(
+        F.struct(line.alias("s"), of(at + (min_words - 1)).alias("e")),
+        F.struct(F.when(same == first, first).alias("s"), line.alias("e")),
+        F.struct(F.when(at == 0, WHOLE).alias("s"), F.lit(WHOLE).alias("e")))))
     # the last line counts without what stands at its end, those before it whole
-    return out.select("_k", F.explode(F.transform("_codes", lambda c: F.struct(
-        c.alias("c"), F.xxhash64(F.slice("_whole", _from(c) + 1, _to(c) - _from(c)), F.get("_hashes", _to(c))).alias("hash")))).alias("w")
-    ).select("_k", "w.*")
+    s, e = F.col("s"), F.col("e")
+    run = F.xxhash64(F.slice("_whole", s + 1, e - s), F.get("_hashes", e))
+    return out.where(s.isNotNull() & e.isNotNull()).select(
+        "_k", F.when(s == WHOLE, F.lit(WHOLE).cast("long")).otherwise(F.shiftleft(s.cast("long"), 32).bitwiseOR(e.cast("long"))).alias("c"),
+        F.when(s == WHOLE, F.col("_text")).otherwise(run).alias("hash"))
+
+
+def _with_bytes(runs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(_k, _runs): the runs of each document with the bytes of their originals, by (document, original).
+
+    The originals' lines are split once; a document meets each of its originals in one row,
+    and an original that very many documents repeat is split by measured size below the join.
+    """
+    pairs = written(runs.groupBy("_k", "_fk").agg(F.collect_list(F.struct("s", "e", "_fs", "_fe")).alias("_r")), "line-pairs")
+    wanted = pairs.select(F.col("_fk").alias("_k")).distinct()
+    # hinted, so that a small corpus takes the way of a large one
+    originals = written(texts.join(wanted.hint("shuffle_merge"), "_k", "left_semi")
+                        .select(F.col("_k").alias("_fk"), _lines(F.col("_t")).alias("_lines")), "line-originals")
+    bytes_ = lambda r: F.when(r["_fs"] == WHOLE, F.array_join("_lines", "")).otherwise(_part(r["_fs"], r["_fe"]))
+    return (pairs.join(originals.hint("shuffle_merge"), "_fk")
+            .select("_k", F.transform("_r", lambda r: F.struct(
+                r["s"].alias("s"), r["e"].alias("e"), bytes_(r).alias("bytes"))).alias("r"))
+            .groupBy("_k").agg(F.flatten(F.collect_list("r")).alias("_runs")))
 
 
 def dedup_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = MIN_WORDS,
@@ -226,51 +278,54 @@ def dedup_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     texts = keyed.select("_k", F.col(text).alias("_t"))
     windows = written(_windows(texts, "_t", min_words), "line-windows")   # three numbers per window
 
-    # repeats by hash, on narrow rows; a window with very many places is split by measured size below the joins
+    # repeats by hash, on narrow rows. The smaller sides have a row per key and are hashed, so nothing is sorted; a window
+    # with very many places is split by measured size below the joins
     repeated = written(windows.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash"),
                        "line-repeats")
-    places = written(windows.join(repeated.hint("shuffle_merge"), "hash"), "line-places")
+    places = written(windows.join(repeated.hint("shuffle_hash"), "hash"), "line-places")
     drop(windows, repeated)
     first = written(places.groupBy("hash").agg(F.min(F.struct("_k", "c")).alias("f"))
-                    .select("hash", F.col("f._k").alias("_fk"), _from(F.col("f.c")).alias("_fs")), "line-firsts")
-    later = (places.withColumn("s", _from(F.col("c"))).withColumn("e", _to(F.col("c"))).drop("c")
-             .join(first.hint("shuffle_merge"), "hash")
+                    .select("hash", F.col("f._k").alias("_fk"), F.col("f.c").alias("_fc")), "line-firsts")
+    later = places.join(first.hint("shuffle_hash"), "hash")
+    whole = written(later.where((F.col("c") == WHOLE) & (F.col("_fc") == WHOLE) & (F.col("_k") != F.col("_fk")))
+                    .select("_k", "_fk").distinct(), "line-copies")
+    # a later copy of a whole text needs no other run, unless its id stands at other texts too
+    ids = docs.select(F.col(ident).cast("long").alias("_k")).where("_k IS NOT NULL")
+    copies = (whole.select("_k").distinct()
+              .join(ids.groupBy("_k").agg(F.count("*").alias("n")).where("n > 1"), "_k", "left_anti"))
+    parts = (later.where((F.col("c") != WHOLE) & (F.col("_fc") != WHOLE))
+             .select("_k", "_fk", _from(F.col("_fc")).alias("_fs"), _from(F.col("c")).alias("s"), _to(F.col("c")).alias("e"))
              .where((F.col("_k") != F.col("_fk")) | (F.col("s") > F.col("_fs") + F.col("e") - F.col("s")))
-             .select("_k", "_fk", (F.col("_fs") - F.col("s")).alias("_off"), "s", "e"))
+             .select("_k", "_fk", (F.col("_fs") - F.col("s")).alias("_off"), "s", "e")
+             .join(copies.hint("shuffle_hash"), "_k", "left_anti"))
 
-    # overlapping windows with the same original are one run; one exchange by document serves both steps
+    # overlapping windows with the same original are one run; the exchange by document above serves both steps
     same = ["_k", "_fk", "_off"]
     order = Window.partitionBy(*same).orderBy("s", "e")
     before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (later.repartition("_k").withColumn("_new", F.when(F.col("s") <= before, 0).otherwise(1))
+    runs = (parts.withColumn("_new", F.when(F.col("s") <= before, 0).otherwise(1))
             .withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
             .groupBy(*same, "_run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
             .select("_k", "_fk", "s", "e", (F.col("s") + F.col("_off")).alias("_fs"), (F.col("e") + F.col("_off")).alias("_fe")))
-    runs = written(runs, "line-runs")
-    drop(places, first)
-
-    # digests of the originals' bytes (several where rows share an id)
-    wanted = runs.groupBy("_fk").agg(F.collect_set(F.struct("_fs", "_fe")).alias("_want")).withColumnRenamed("_fk", "_k")
-    kept = (texts.join(wanted, "_k").withColumn("_lines", _lines(F.col("_t")))
-            # naming the lines twice keeps the optimizer from splitting the text anew for each passage
-            .select("_k", F.explode(F.when(F.col("_lines").isNotNull(), F.transform("_want", lambda w: F.struct(
-                w["_fs"].alias("_fs"), w["_fe"].alias("_fe"),
-                F.sha2(_part(w["_fs"], w["_fe"]), 256).alias("sha"))))).alias("w")).select(F.col("_k").alias("_fk"), "w.*"))
-    kept = written(kept.groupBy("_fk", "_fs", "_fe").agg(F.collect_set("sha").alias("sha")), "line-originals")
-    found = (runs.join(kept.hint("shuffle_merge"), ["_fk", "_fs", "_fe"]).repartition("_k")
-             .groupBy("_k").agg(F.collect_list(F.struct("s", "e", "sha")).alias("_runs")))
-
-    joined = (keyed.join(found, "_k", "left").withColumn("_odd", _odd(F.col(text)))
+    all_ = F.lit(WHOLE)
+    runs = runs.unionByName(whole.select("_k", "_fk", all_.alias("s"), all_.alias("e"), all_.alias("_fs"), all_.alias("_fe")))
+    found = _with_bytes(runs, texts)   # it leaves two tables behind, which the result reads
+    drop(places, first, whole)
+
+    # a run goes where its bytes equal the original's
+    joined = (keyed.join(found.hint("shuffle_merge"), "_k", "left").withColumn("_odd", F.when(F.col("_runs").isNotNull(), _odd(F.col(text))))
               .withColumn("_lines", F.when(F.col("_runs").isNotNull(), _lines(F.col(text)))))
-    equal = F.filter("_runs", lambda r: F.array_contains(r["sha"], F.sha2(_part(r["s"], r["e"]), 256)))
-    marked = joined.withColumn("_gone", F.array_sort(F.array_distinct(F.flatten(
-        F.transform(equal, lambda r: F.sequence(r["s"], r["e"]))))))
-    rest = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")),
+    last = F.size("_lines") - 1
+    equal = F.filter("_runs", lambda r: F.when(r["s"] == WHOLE, r["bytes"] == F.col(text)).otherwise(_part(r["s"], r["e"]) == r["bytes"]))
+    marked = joined.withColumn("_gone", F.array_sort(F.array_distinct(F.flatten(F.transform(equal, lambda r: F.sequence(
+        F.when(r["s"] == WHOLE, 0).otherwise(r["s"]), F.when(r["s"] == WHOLE, last).otherwise(r["e"])))))))
+    rest = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), last), F.col("_gone")),
                                     lambda i: F.get("_lines", i)), "")
     stretches = F.size(F.filter("_gone", lambda g, i: (i == 0) | (F.get("_gone", i - 1) != g - 1)))
     changed = F.col("_runs").isNotNull()
     return marked.select(
         *[F.when(changed, rest).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in own],
         F.when(changed, stretches).otherwise(0).alias(f"{prefix}removed_chunks"),
-        F.when(changed, F.aggregate("_gone", F.lit(0), lambda a, i: a + _line_words(_bare(F.get("_lines", i)), F.col("_odd"))))
+        F.when(changed, F.aggregate("_gone", F.lit(0), lambda a, i: a + _let(F.get("_lines", i), lambda x: F.when(
+            F.col("_odd"), _line_words(_bare(x), F.lit(True))).otherwise(_plain_words(_plain_bare(x))))))
         .otherwise(0).alias(f"{prefix}removed_words"))

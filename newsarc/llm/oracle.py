@@ -21,7 +21,45 @@ def _row(n_chars: str) -> str:
     return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c})) || ':' || {c}, '-')" for c in fields) + ")"
 
 
+def _marked(text: str) -> str:
+    """The text with a mark behind each line's end (a line break ends the line before it)."""
+    ends = ("chr(10)", "'. '", "', '", "'; '", "': '", "'! '", "'? '")
+    for end in ends:
+        text = f"replace({text}, {end}, {end} || chr(1))"
+    return f"replace({text}, chr(1) || chr(10), chr(10))"
+
+
 ORACLE: dict[str, str] = {
+    "op3_line_dedup": f"""
+WITH lines AS MATERIALIZED (
+    SELECT doc_id, i, x, rtrim(x, ' ' || chr(10)) AS bare,
+           len(list_filter(regexp_split_to_array(rtrim(x, ' ' || chr(10)), '[ \\t\\r\\n]+'), lambda w: w <> '')) AS n
+    FROM (SELECT doc_id, xs, unnest(range(1, len(xs) + 1)) AS i, unnest(xs) AS x
+          FROM (SELECT doc_id, list_filter(string_split({_marked('text')}, chr(1)), lambda l: l <> '') AS xs FROM documents))),
+sums AS MATERIALIZED (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM lines WHERE n > 0),
+wins AS MATERIALIZED (
+    SELECT a.doc_id, a.i AS s, b.i AS e FROM sums a ASOF JOIN sums b ON a.doc_id = b.doc_id AND a.upto - a.n + 20 <= b.upto
+    UNION
+    SELECT a.doc_id, b.i, a.i FROM sums a ASOF JOIN sums b ON a.doc_id = b.doc_id AND a.upto - 20 >= b.upto - b.n),
+named AS MATERIALIZED (
+    SELECT w.doc_id, w.s, w.e, string_agg(CASE WHEN l.i = w.e THEN l.bare ELSE l.x END, '' ORDER BY l.i) AS run
+    FROM wins w JOIN lines l ON l.doc_id = w.doc_id AND l.i BETWEEN w.s AND w.e GROUP BY 1, 2, 3),
+firsts AS MATERIALIZED (SELECT run, min({{'k': doc_id, 's': s}}) AS f FROM named GROUP BY run HAVING count(*) > 1),
+copies AS (SELECT doc_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS k FROM documents) WHERE doc_id <> k
+           AND doc_id IN (SELECT doc_id FROM wins)),
+gone AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS i FROM named JOIN firsts USING (run)
+    WHERE doc_id <> f.k OR s > f.s + e - s
+    UNION
+    SELECT doc_id, i FROM lines WHERE doc_id IN (SELECT doc_id FROM copies)),
+counted AS (
+    SELECT doc_id, count(*) FILTER (WHERE i <> coalesce(before, -1) + 1) AS chunks, sum(n) AS words
+    FROM (SELECT doc_id, i, n, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone JOIN lines USING (doc_id, i))
+    GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(x, '' ORDER BY i) AS t FROM lines ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN c.doc_id IS NULL THEN d.text ELSE coalesce(k.t, '') END AS text,
+       CAST(coalesce(c.chunks, 0) AS INTEGER) AS removed_chunks, CAST(coalesce(c.words, 0) AS INTEGER) AS removed_words
+FROM documents d LEFT JOIN counted c USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
     "op2_decontamination": f"""
 WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

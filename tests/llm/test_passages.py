@@ -105,3 +105,53 @@ def test_rows_of_one_id_null_ids_clashes_and_no_python(spark):
         [(long, 0)] * 2 + [("other " * 30, 0)] * 2 + [("x, ", 60)])
     assert line_dedup.dedup_passages(df.where("false")).count() == 0
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().toString())
+
+
+def counted_pairs(spark, rows, monkeypatch):
+    """What goes into the join with the originals: rows, and the runs in them."""
+    seen = {}
+    real = line_dedup._with_bytes
+
+    def spy(runs, texts):
+        seen["pairs"] = runs.select("_k", "_fk").distinct().count()
+        seen["copies"] = runs.where("s = -1").count()
+        return real(runs, texts)
+    monkeypatch.setattr(line_dedup, "_with_bytes", spy)
+    return removed(spark, rows), seen
+
+
+def test_a_thousand_copies_meet_their_original_once(spark, monkeypatch):
+    rng = random.Random(8)
+    text = "".join(clause(rng, 3, 9) + rng.choice([". ", ", ", "\n"]) for _ in range(60))
+    rows = [(n, text) for n in range(1000)] + [(2000, "x y. " + text)]
+    got, seen = counted_pairs(spark, rows, monkeypatch)
+    assert seen == {"pairs": 1000, "copies": 999}
+    assert got[0]["text"] == text and all(got[n]["text"] == "" and got[n]["removed_chunks"] == 1 for n in range(1, 1000))
+    assert got[2000]["text"] == "x y. " and got[500]["removed_words"] == len(text.split())
+
+
+def test_a_line_in_every_document_is_a_pair_each(spark, monkeypatch):
+    rng = random.Random(9)
+    hot = clause(rng, 25, 25) + "\n"
+    rows = [(n, (hot + clause(rng, 5, 5) + "\n") * 1 + hot * (n % 3) + clause(rng, 6, 6)) for n in range(400)]
+    got, seen = counted_pairs(spark, rows, monkeypatch)
+    assert seen["pairs"] <= 400 and all(hot not in got[n]["text"] for n in range(1, 400))
+    assert got[0]["text"].count(hot) == 1
+
+
+def test_copies_on_both_sides_of_the_smallest_passage(spark):
+    rng = random.Random(10)
+    short, long = clause(rng, 19, 19), "\n\n" + clause(rng, 20, 20) + " \n"
+    got = removed(spark, [(n, short) for n in range(3)] + [(n, long) for n in range(5, 8)])
+    assert [got[n]["text"] for n in range(3)] == [short] * 3
+    assert [got[n]["text"] for n in range(5, 8)] == [long, "", ""]
+
+
+def test_one_id_at_a_copy_and_another_text(spark):
+    rng = random.Random(11)
+    a, b, c = (clause(rng, 30, 30) for _ in range(3))
+    rows = [(1, a), (2, b), (3, a), (3, c + "\n" + b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_passages(df).collect())
+    assert got == sorted([(1, a), (2, b), (3, ""), (3, c + "\n")])
+
