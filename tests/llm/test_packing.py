@@ -121,3 +121,30 @@ def test_written_matrix_and_empty_table(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "packed")).columns[:2] == ["window_id", "input_ids"]
     none = docs.where("false")
     assert bfd_packing.pack(none).count() == 0 and kk_packing.pack(none).count() == 0
+
+
+def plain_differencing(lengths, k):
+    """Partial partitions as lists of (sum, members), the two most uneven merged with opposing orders."""
+    parts = [(i, [(x, [i])] + [(0, [])] * (k - 1)) for i, x in enumerate(lengths)]
+    node = len(lengths)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (-(p[1][0][0] - p[1][-1][0]), p[0]))
+        (_, a), (_, b) = parts[:2]
+        merged = [(x[0] + y[0], x[1] + y[1]) for x, y in zip(a, reversed(b))]
+        merged.sort(key=lambda s: -s[0])        # stable, as the order inside a window is of no account
+        parts = parts[2:] + [(node, merged)]
+        node += 1
+    return sorted(s for s, _ in parts[0][1]), parts[0][1]
+
+
+def test_differencing_equals_a_plain_one():
+    rng = random.Random(7)
+    for _ in range(60):
+        lengths = [rng.randint(1, rng.choice([3, 40, 512])) for _ in range(rng.randint(2, 60))]
+        k = rng.randint(2, 9)
+        where = kk_packing.differencing(lengths, k)
+        sums = np.bincount(where, weights=lengths, minlength=k).astype(int)
+        want, windows = plain_differencing(lengths, k)
+        assert sorted(sums.tolist()) == want
+        members = {i: w for w, (_, ids) in enumerate(windows) for i in ids}
+        assert sorted(members) == list(range(len(lengths)))

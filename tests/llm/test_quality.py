@@ -68,3 +68,43 @@ def test_odd_tables(spark):
         assert len(got) == 3 and len({r["score"] for r in got}) == 1
         assert {r["held_out"] for r in got if r["doc_id"] == 1} == {zlib.crc32(b"1") % 5 == 0}
     assert quality.classify(docs.where("false"), none).count() == 0
+
+
+def plain_fit(x, y, trees, depth, bins, rate, min_leaf, ridge):
+    """The boosting written out: every split of every feature tried row by row over the same bin borders."""
+    n, nf = x.shape
+    edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(nf)]
+    share = y.mean()
+    margin = np.full(n, np.log(share / (1 - share)))
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = y - p, p * (1 - p)
+        groups, values = [np.arange(n)], []
+        for _ in range(depth):
+            after = []
+            for rows in groups:
+                best, cut = 1e-9, None
+                for f in range(nf):
+                    for e in edges[f]:
+                        left = rows[x[rows, f] <= e]
+                        right = rows[x[rows, f] > e]
+                        if min(len(left), len(right)) < min_leaf:
+                            continue
+                        score = lambda r: g[r].sum() ** 2 / (h[r].sum() + ridge)
+                        gain = score(left) + score(right) - score(rows)
+                        if gain > best + 1e-12:
+                            best, cut = gain, (left, right)
+                after += list(cut) if cut else [rows, rows[:0]]
+            groups = after
+        for rows in groups:
+            if len(rows):
+                margin[rows] += rate * g[rows].sum() / (h[rows].sum() + ridge)
+    return margin
+
+
+def test_split_search_equals_a_plain_one():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((160, 3)).round(1)
+    y = ((x[:, 0] + 0.5 * x[:, 1] > 0.2) ^ (rng.random(160) < 0.1)).astype(float)
+    how = dict(trees=4, depth=2, bins=8, rate=0.3, min_leaf=10, ridge=1.0)
+    assert np.allclose(quality.fit(x, y, **how).margin(x), plain_fit(x, y, **how))
