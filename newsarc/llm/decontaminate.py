@@ -8,9 +8,11 @@ matches are then followed to their full length. Suffixes that meet another
 word, or the document's end, before the shortest window cannot match and are
 left out of the array.
 
-The benchmark is read in blocks of ``BLOCK_BYTES`` (by hash of the item), each
-broadcast alone; documents pass from block to block without a shuffle and no
-group of documents ever meets in one task.
+The benchmark is read in blocks of ``BLOCK_BYTES`` (by hash of the item). One block
+is broadcast at a time: where there are several, the documents and what was found
+in them are cut behind each block but the last, and its broadcast is given up, so
+no worker holds two. Nothing is shuffled, and no group of documents ever meets in
+one task.
 """
 
 from __future__ import annotations
@@ -22,18 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsarc.llm.common import alnum_words
+from newsarc.llm.common import alnum_words, cut
 
 WINDOW = 10
 SHARD_WORDS = 1 << 18
 BLOCK_BYTES = 8 << 20
-MATCH = "struct<start:int,length:int,item_id:long,item_start:int>"
+MATCH = "struct<start:int,length:int,item_id:string,item_start:int>"
 
 
 class TestBlock:
     """The test suffixes of one block of items: ids, windows and who holds them."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int):
+    def __init__(self, items: list[tuple[str, str]], window: int):
         vocab: dict[bytes, int] = {}
         texts = [(i, [vocab.setdefault(w, len(vocab) + 1) for w in alnum_words(t)]) for i, t in items]
         self.vocab, self.window = vocab, window
@@ -168,12 +170,12 @@ def _answer(b, schema, ends, counts, hit, got, test) -> pa.RecordBatch:
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
 MATCHES = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()),
-                              ("item_id", pa.int64()), ("item_start", pa.int32())]))
+                              ("item_id", pa.string()), ("item_start", pa.int32())]))
 
 
 def blocks(benchmark: DataFrame, text: str, ident: str, window: int):
-    """The benchmark's items in blocks of about ``BLOCK_BYTES``, one at a time."""
-    rows = benchmark.select(F.col(ident).cast("long").alias("i"), F.col(text).alias("t")).where("t is not null and i is not null")
+    """The benchmark's items in blocks of about ``BLOCK_BYTES``, one at a time; ids are strings from here on."""
+    rows = benchmark.select(F.col(ident).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null and i is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // BLOCK_BYTES))
     for k in range(n):
@@ -191,8 +193,8 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: s
     left-maximal verbatim matches with their item and the place in it, each in
     full length; longest is the longest of them. A null or empty text has no
     words; null items and items without words have no window; items of fewer
-    words than the window are one window. Repeated items count once by item_id,
-    repeated documents are judged each. An empty benchmark hits nothing. Columns
+    words than the window are one window. Item ids may be of any type. Repeated items count once by
+    item_id, repeated documents are judged each. An empty benchmark hits nothing. Columns
     of ``docs`` that clash with the added names (``prefix`` stands before each) are replaced.
     """
     added = [prefix + x for x in ("n_words", "n_hit", "spans", "matches", "item_ids", "longest", "contaminated")]
@@ -201,8 +203,15 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: s
     out = docs.select(*[F.col(f"`{c}`") for c in own], F.lit(None).cast("long").alias("_n_words"),
                       F.array().cast(spans_type).alias("_spans"), F.array().cast(f"array<{MATCH}>").alias("_matches"))
     sc, any_block = docs.sparkSession.sparkContext, False
+    live = None
     for block in blocks(benchmark, item_text, item_ident, window):
-        out, any_block = _pass(out, text, sc.broadcast(block), window), True
+        if live is not None:   # what the block before has found is written, then its broadcast goes
+            out = cut(out)
+            live.unpersist()
+        live = sc.broadcast(block)
+        out, any_block = _pass(out, text, live, window), True
+    out = out.withColumn("_matches", F.col("_matches").cast(
+        f"array<{MATCH.replace('item_id:string', 'item_id:' + benchmark.schema[item_ident].dataType.simpleString())}>"))
     if not any_block:
         out = out.withColumn("_n_words", F.size(F.expr(
             f"filter(split(regexp_replace(coalesce(`{text}`, ''), '[\\\\x00-\\\\x2F\\\\x3A-\\\\x40\\\\x5B-\\\\x60\\\\x7B-\\\\x7F]+', ' '), ' '), x -> x != '')")).cast("long"))

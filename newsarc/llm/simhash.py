@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsarc.llm.common import blank_words, cut
+from newsarc.llm.common import blank_words, cut, row_name
 
 RADIUS = 2
 SMALL = 48
@@ -62,15 +62,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, block: int = 1 << 15)
     return int(np.packbits(counts * 2 > n).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", ident: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per document."""
+def fingerprints(docs: DataFrame, text: str = "text", ident: str = "doc_id", shingle: int = SHINGLE,
+                 keys: bool = False) -> DataFrame:
+    """(doc_id, fp): one row per document; with ``keys`` also ``k``, the row's name (``common.row_name``)."""
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b[0], pa.array([fingerprint(t.as_py(), shingle) for t in b[1]], pa.int64())],
-                names=["doc_id", "fp"])
+                [b[0], *b.columns[2:], pa.array([fingerprint(t.as_py(), shingle) for t in b[1]], pa.int64())],
+                names=["doc_id", *b.schema.names[2:], "fp"])
 
-    return docs.select(F.col(ident).cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, fp long")
+    more = [row_name(F.col(f"`{ident}`"), F.col(f"`{text}`")).alias("k")] if keys else []
+    return docs.select(F.col(ident).cast("long").alias("doc_id"), text, *more).mapInArrow(
+        run, f"doc_id long, {'k string, ' if keys else ''}fp long")
 
 
 def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -152,3 +155,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id",
     names = cut(points.join(named, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id")))
     return (prints.join(names.hint("shuffle_merge"), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def representatives(docs: DataFrame, text: str = "text", ident: str = "doc_id",
+                    shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(k): the row name (``common.row_name``) of the one document of each component that stays.
+
+    That is the smallest doc_id, a null one last; among several texts under it the smallest name. Rows are
+    told apart by id and text, so an id that stands at several texts is judged for each of them.
+    """
+    prints = cut(fingerprints(docs, text, ident, shingle, keys=True))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("best")
+    points = cut(prints.groupBy("fp").agg(best))   # copies first, before anything is shuffled by component
+    roots = components(links(points.select("fp"), radius))
+    named = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return (named.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
+            .select(F.col("best.k").alias("k")))

@@ -93,3 +93,22 @@ def test_clean_and_empty_tables(spark):
     assert [(r["n_words"], r["n_hit"]) for r in decontaminate.report(d, none).orderBy("doc_id", "n_words").collect()] == [
         (x[1], 0) for x in sorted(((i, len(words(t))) for i, t in DOCS), key=lambda x: (x[0] is not None, x))]
     assert decontaminate.report(d.where("false"), b).count() == 0
+
+
+def test_items_named_by_strings_and_one_live_block(spark, monkeypatch):
+    from pyspark.core.broadcast import Broadcast
+    live, most = set(), []
+    real, gone = spark.sparkContext.broadcast, Broadcast.unpersist
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: (lambda b: (live.add(id(b)), most.append(len(live)), b)[2])(real(v)))
+    monkeypatch.setattr(Broadcast, "unpersist", lambda self, *a: (live.discard(id(self)), gone(self, *a))[1])
+    items = [(f"it-{i}", t) for i, t in ITEMS]
+    d = spark.createDataFrame(DOCS, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id string, text string")
+    out = decontaminate.overlap(d, b)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1 and len(most) > 2 and set(most) == {1}
+    rows = decontaminate.report(d, b).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in rows),
+                  key=str) == sorted(((i, *brute(t, items)) for i, t in DOCS), key=str)
+    ids = {m["item_id"] for r in out.collect() for m in r["matches"]}
+    assert ids and all(i.startswith("it-") for i in ids)

@@ -74,3 +74,15 @@ def test_run_packs_what_is_kept(spark):
     for _, stage in P.STAGES[:-1]:
         docs = stage(spark, docs, SF)
     assert {r[0] for r in out.select("doc_id").distinct().collect()} == {r[0] for r in docs.select("doc_id").collect()}
+
+
+def test_near_dedup_judges_an_id_for_each_of_its_texts(spark):
+    base = table(spark, SF, "documents")
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta " * 9, "one two three four five six seven eight nine " * 9,
+               "rain snow wind sun fog hail storm cloud frost " * 9)
+    rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (3, c, "en", "s", 1), (3, b, "en", "s", 1),
+            (None, c, "en", "s", 1), (None, "null id " * 30, "en", "s", 1), (None, "null id " * 30, "en", "t", 1), (5, None, "en", "s", None),
+            (6, "", None, "s", 0), (7, "row twice " * 30, "en", "s", 1), (7, "row twice " * 30, "en", "s", 2)]
+    got = P.near_dedup_stage(spark, spark.createDataFrame(rows, base.schema), SF).collect()
+    key = lambda r: (str(r["doc_id"]), str(r["text"])[:9])
+    assert sorted(map(key, got)) == sorted([("1", a[:9]), ("2", b[:9]), ("3", c[:9]), ("None", "null id n"), ("5", "None"), ("7", "row twice")])
