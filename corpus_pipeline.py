@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsarc.llm import decontaminate, kk_packing, line_dedup, quality, simhash
-from newsarc.llm.common import ship, table, written
+from newsarc.llm.common import drop, row_name, ship, table, written
 
 THRESHOLD = 0.3  # documents with a lower score go
 
@@ -38,15 +38,18 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component. Of rows with the same doc_id one stays; rows without an id all stay."""
+    """One document of each component: the smallest doc_id (a null one last), whichever rows share it.
+
+    Rows are named by id and text: an id that stands at two texts is two documents, a row that is given
+    twice is one. One exchange by name serves the join and the choice among equal rows.
+    """
     ship(spark)
-    found = simhash.near_duplicates(docs)
-    gone = (found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
-            .select("doc_id").distinct())
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("text")
-    return (kept.withColumn("_n", F.row_number().over(same))
-            .where((F.col("_n") == 1) | F.col("doc_id").isNull()).select(*docs.columns))
+    keep = simhash.representatives(docs)
+    named = docs.withColumn("_name", row_name(F.col("doc_id"), F.col("text")))
+    kept = named.join(keep.select(F.col("k").alias("_name")), "_name", "left_semi")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("_name").orderBy(*[F.col(f"`{c}`").cast("string") for c in rest] or [F.lit(0)])
+    return kept.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,6 +79,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            drop(before)   # what a stage has read goes; the last one's input is read by the result
+        docs = before = kept
     return STAGES[-1][1](spark, docs, sf_dir)
