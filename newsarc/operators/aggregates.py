@@ -122,6 +122,36 @@ def duplicate_share(captures: DataFrame, digest: str = "digest", approx: bool =
         (F.sum("_b") - F.sum("_first_b")).cast("long").alias("duplicate_bytes"))
 
 
+SKETCH_BITS = 14   # 2^14 registers a sketch: a standard error of 0.8 %
+
+
+def duplicate_sketches(captures: DataFrame, digest: str = "digest", keys: tuple[str, ...] = ("collection",),
+                       ts: str = "ts", bits: int = SKETCH_BITS) -> DataFrame:
+    """A9 in mergeable form: per (keys, day) captures, bytes and a HyperLogLog sketch of the digests.
+
+    Kept as a table partitioned by day: a new day adds its rows, old days are never read again. A sketch
+    has a fixed size, whatever the day holds.
+    """
+    return captures.groupBy(*keys, F.to_date(ts).alias("day")).agg(
+        _n().alias("captures"), F.sum("length").cast("long").alias("bytes"),
+        F.hll_sketch_agg(digest, F.lit(bits)).alias("sketch"))
+
+
+def duplicate_estimate(sketches: DataFrame, keys: tuple[str, ...] = ("collection",)) -> DataFrame:
+    """A9 over any days of ``duplicate_sketches``: distinct digests and duplicates from the united sketches.
+
+    Captures and bytes are exact. ``distinct_digests`` has a standard error of 1.04 / sqrt(2^bits); the
+    duplicates are the rest, their bytes the same share of all bytes.
+    """
+    g = sketches.groupBy(*keys).agg(
+        F.sum("captures").cast("long").alias("captures"), F.sum("bytes").cast("long").alias("bytes"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(True))).alias("_d"))
+    distinct = F.least(F.col("_d"), F.col("captures"))
+    return g.select(*keys, "captures", distinct.alias("distinct_digests"),
+                    (F.col("captures") - distinct).alias("duplicate_captures"), "bytes",
+                    F.round(F.col("bytes") * (F.col("captures") - distinct) / F.col("captures")).cast("long").alias("duplicate_bytes"))
+
+
 def status_report(captures: DataFrame, status: str = "status") -> DataFrame:
     """A10: captures per status code and the share of each."""
     from pyspark.sql import Window
@@ -164,8 +194,19 @@ def links_per_page(links: DataFrame, page: str = "page_id", url: str = "url") ->
     return links.groupBy(page).agg(F.count_distinct(url).cast("long").alias("n_links"))
 
 
+def feed_rows(outlets: DataFrame, feeds: DataFrame, website: str = "website") -> DataFrame:
+    """A15 as rows (website, feed, pos): an outlet's own feeds with their place, then found ones (pos NULL), each once."""
+    own = outlets.select(website, F.posexplode("rss").alias("pos", "feed"))
+    found = feeds.select(website, F.lit(None).cast("int").alias("pos"), "feed").join(
+        outlets.select(website).distinct(), website, "left_semi")
+    return own.unionByName(found).groupBy(website, "feed").agg(F.min("pos").alias("pos"))
+
+
 def feed_rollup(outlets: DataFrame, feeds: DataFrame, website: str = "website") -> DataFrame:
-    """Found feeds added to the outlet's ``rss`` array, no duplicates, order kept."""
+    """Found feeds added to the outlet's ``rss`` array, no duplicates, order kept.
+
+    The registry's own form; an outlet with very many sitemap feeds is better kept as ``feed_rows``.
+    """
     f = feeds.groupBy(website).agg(F.array_sort(F.collect_set("feed")).alias("_found"))
     joined = outlets.join(f, website, "left")
     rss = F.coalesce(F.col("rss"), F.array().cast("array<string>"))

@@ -157,6 +157,28 @@ def in_scope(df: DataFrame, scopes: DataFrame, url: str = "url") -> DataFrame:
         .drop("include", "exclude")
 
 
+def seed_of(links: DataFrame, seeds: DataFrame, url: str = "url", seed: str = "seed_url", out: str = "seed_url") -> DataFrame:
+    """F11 over a table of seeds: each link with the seed whose scope holds it (the longest prefix), or NULL.
+
+    A scope ends at a ``/``, so only the folders on the link's own path can be one: a link asks for
+    those (as many as its path has ``/``) by an equi-join on host and folder, and the longest that answers
+    wins. The number of seeds of a host plays no part. Of seeds with one scope the smallest URL counts.
+    Links keep their number, repeated ones too; no seed table grows a link.
+    """
+    scopes = (seeds.filter(F.coalesce(U.url_netloc(seed) != "", F.lit(False)))
+              .groupBy(scope_prefix(seed).alias("_scope")).agg(F.min(seed).alias("_seed")))
+    asked = links.select(F.col(url).alias("_u")).filter(U.is_crawlable("_u")).distinct()
+    path = U.url_path("_u", strip_params=False)
+    place = F.concat(_host("_u"), F.when(path == "", F.lit("/")).otherwise(path))
+    asked = asked.withColumn("_parts", F.split(place, "/"))
+    folders = F.transform(F.sequence(F.lit(1), F.size("_parts") - 1),
+                          lambda n: F.concat(F.array_join(F.slice("_parts", F.lit(1), n), "/"), F.lit("/")))
+    rows = asked.select("_u", F.explode(F.when(F.size("_parts") > 1, folders)).alias("_scope"))
+    best = rows.join(scopes, "_scope").groupBy("_u").agg(
+        F.max_by("_seed", F.length("_scope")).alias("_best"))
+    return links.join(best, links[url] == best["_u"], "left").drop("_u").withColumnRenamed("_best", out)
+
+
 # Seed types as (follow in-scope links, extra hops off scope).
 SEED_TYPES = {
     "standard": (True, 0),

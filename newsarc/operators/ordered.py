@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsarc.session import cut
+
 SAMPLE_PER_RANGE = 16
 
 
@@ -35,7 +37,12 @@ def _row(xs) -> Column:
 
 
 def ranged(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
-    """``df`` plus its range ``_pid`` and ``_edge``: the key reaches over a border of some range."""
+    """``df`` plus its range ``_pid`` and ``_edge``: the key reaches over a border of some range.
+
+    A row finds its range by binary search on the sorted borders (14 comparisons for 10,000
+    ranges). The borders of its key are neighbours in that order, so the two around the row tell
+    whether there is one.
+    """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = by + order
     sample = (df.select(_row(keys).alias("k"), F.xxhash64(*_cols(keys)).alias("h"))
@@ -43,11 +50,18 @@ def ranged(df: DataFrame, by: list[str], order: list[str], partitions: int | Non
               .agg(F.array_sort(F.collect_list("k")).alias("b")))
     every = F.filter("b", lambda _, i: i % SAMPLE_PER_RANGE == SAMPLE_PER_RANGE - 1)
     borders = sample.select(every.alias("b")).scalar()
-    out = df.withColumn("_b", borders)
-    out = out.withColumn("_pid", F.size(F.filter("_b", lambda b: b <= _row(keys))))
-    same = F.exists("_b", lambda b: reduce(lambda x, y: x & y, [b[k].eqNullSafe(F.col(k)) for k in by])) \
-        if by else F.lit(True)
-    return out.withColumn("_edge", same).drop("_b")
+    out = df.withColumn("_borders", borders).withColumn("_key", _row(keys))
+    steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length(), -1, -1)])
+    # the number of borders at or below the row; beyond the last border there is no comparison
+    out = out.withColumn("_pid", F.aggregate(steps, F.lit(0), lambda lo, step: F.when(
+        F.coalesce(F.get("_borders", lo + step - 1) <= F.col("_key"), F.lit(False)), lo + step).otherwise(lo)))
+
+    def same(i: Column) -> Column:
+        border = F.get("_borders", i)
+        return border.isNotNull() & reduce(lambda x, y: x & y, [border[k].eqNullSafe(F.col(k)) for k in by])
+
+    edge = same(F.col("_pid") - 1) | same(F.col("_pid")) if by else F.lit(True)
+    return out.withColumn("_edge", edge).drop("_borders", "_key")
 
 
 def _with_carry(local: DataFrame, carry: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
@@ -112,17 +126,20 @@ def ranked_by_range(df: DataFrame, order: list[str], by: list[str] | None = None
 
 
 def asof_by_range(left: DataFrame, right: DataFrame, by: list[str], on: str, value: str,
-                  out: str = "match", partitions: int | None = None) -> DataFrame:
+                  out: str = "match", partitions: int | None = None, once: bool = False) -> DataFrame:
     """As-of lookup: for each left row, the ``value`` of the last right row with
     ``right.on <= left.on`` in the same ``by`` group (ties of ``on`` go to the
     right row, among right rows to the largest ``value``).
 
     Lookups and facts are ranged together; each (range, group) forward-fills
     the last fact; the fact crossing into a range comes from the carry table.
+    ``once`` writes both to the shared checkpoint folder first: for narrow rows that are costly
+    to make (parsed out of bodies), since they are read four times.
     """
     r = right.select(*by, on, F.col(value).alias("_val")).withColumn("_kind", F.lit(0))
     l_ = left.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(r.schema["_val"].dataType))
-    both = ranged(l_.unionByName(r, allowMissingColumns=True), by, [on, "_kind"], partitions)
+    both = l_.unionByName(r, allowMissingColumns=True)
+    both = ranged(cut(both) if once else both, by, [on, "_kind"], partitions)
     w = Window.partitionBy("_pid", *by).orderBy(F.col(on), F.col("_kind"), F.col("_val")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = both.withColumn("_local", F.last("_val", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)

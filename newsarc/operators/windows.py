@@ -95,11 +95,12 @@ def page_durations(log: DataFrame, crawl: str = "collection", page: str = "page"
     """
     is_start = F.col("message").contains(start_msg)
     is_end = F.col("message").contains(end_msg)
-    # a finish logged in the same instant as a start belongs to the visit before
-    w = Window.partitionBy(crawl, page).orderBy(F.col(ts), is_start.cast("int")) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    visits = log.filter(F.col(page).isNotNull() & (is_start | is_end)) \
-        .withColumn("visit", F.sum(is_start.cast("int")).over(w)).filter(F.col("visit") > 0)
+    # the visit is the number of starts so far, counted over key ranges: a page with very many rows is
+    # several ranges. A finish logged in the same instant as a start belongs to the visit before.
+    rows = log.filter(F.col(page).isNotNull() & (is_start | is_end)).select(
+        crawl, page, ts, is_start.cast("int").alias("_start"), is_end.alias("_end"))
+    visits = ordered.running_sums(rows, [crawl, page], [ts, "_start"], {"visit": "_start"}).filter(F.col("visit") > 0)
+    is_start, is_end = F.col("_start") == 1, F.col("_end")
     agg = visits.groupBy(crawl, page, "visit").agg(
         F.min(F.when(is_start, F.col(ts))).alias("started"),
         F.min(F.when(is_end, F.col(ts))).alias("finished"))

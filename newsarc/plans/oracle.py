@@ -496,3 +496,73 @@ ORACLE["q_page_captures"] = f"""WITH {PAGE_CAPS}
     SELECT p.page_id, p.collection, p.url, make_timestamp(c.page_id * 1000000) AS capture_ts,
            CASE WHEN c.page_id IS NOT NULL THEN md5(c.url) END AS digest, c.length
     FROM pc p LEFT JOIN (SELECT * FROM pc WHERE page_id % 2 = 0) c ON p.collection = c.collection AND p.url = c.url"""
+ORACLE["q_expand_chain"] = """WITH RECURSIVE one AS (SELECT page_id, min(url) AS u FROM pages GROUP BY 1),
+    hops AS (SELECT p.url, arg_max(CASE WHEN p.page_id % 20 = 19 AND (p.page_id // 20) % 3 = 2
+                    THEN 'https://gone.example.org/' || p.page_id ELSE coalesce(o.u, '') END, p.page_id) AS nxt
+             FROM pages p LEFT JOIN one o ON o.page_id = CASE WHEN p.page_id % 20 < 19 THEN p.page_id + 1
+                    WHEN (p.page_id // 20) % 3 = 1 THEN p.page_id - 5 END GROUP BY 1),
+    moves AS (SELECT url, nxt FROM hops WHERE nxt <> '' AND nxt <> url),
+    walk(url, here, n) AS (SELECT url, nxt, 1 FROM moves
+        UNION ALL SELECT w.url, m.nxt, n + 1 FROM walk w JOIN moves m ON m.url = w.here WHERE n <= 40),
+    ends AS (SELECT url, here, n FROM walk WHERE here NOT IN (SELECT url FROM moves) AND n <= 30)
+    SELECT p.page_id, p.url, coalesce(e.here, p.url) AS expanded_url,
+           CAST(CASE WHEN e.n IS NOT NULL THEN e.n WHEN p.url IN (SELECT url FROM moves) THEN NULL ELSE 0 END AS BIGINT) AS n_hops
+    FROM pages p LEFT JOIN ends e ON e.url = p.url"""
+
+# ---- events as a crawl's lines: the answer is written from the events themselves, nothing is parsed
+ORACLE["q_read_cdx"] = f"""WITH {EC}
+    SELECT collection, urlkey, date_trunc('second', ts) AS ts, url || '?e=' || event_id AS url, coalesce(mime, 'unk') AS mime,
+           CAST(CASE WHEN digest <> 'signup' THEN status END AS INTEGER) AS status, 'sha-256:' || digest AS digest, length,
+           event_id AS "offset", 'rec-0.warc.gz' AS filename, CASE WHEN digest = 'view' THEN url END AS referrer,
+           CAST(NULL AS VARCHAR) AS method FROM ec WHERE digest <> 'error'"""
+ORACLE["q_read_block_index"] = f"""WITH {EC}
+    SELECT collection, 'b-' || event_id || '.gz' AS filename, urlkey AS urlkey_from, date_trunc('second', ts) AS ts,
+           event_id AS "offset", length, digest FROM ec WHERE event_id % 10 <> 0"""
+LOG = """
+lg AS (SELECT collection, event_id, digest, date_trunc('millisecond', ts) AS timestamp,
+        CASE WHEN digest = 'error' THEN 'error' ELSE 'info' END AS logLevel,
+        CASE WHEN digest = 'signup' THEN 'crawlStatus' ELSE 'pageStatus' END AS context,
+        CASE digest WHEN 'error' THEN 'Page Load Timed Out' WHEN 'signup' THEN 'Crawl statistics' ELSE 'Page Finished' END AS message,
+        CASE WHEN digest NOT IN ('signup', 'click') THEN url END AS page FROM ec WHERE event_id % 100 <> 99)"""
+ORACLE["q_read_crawl_log"] = f"WITH {EC}, {LOG} SELECT collection, timestamp, logLevel, context, message, page FROM lg"
+ORACLE["q_crawl_summary"] = f"""WITH {EC}, {LOG},
+    g AS (SELECT collection, min(timestamp) AS started, max(timestamp) AS ended, count(*) FILTER (WHERE digest = 'error') AS errors,
+          count(*) FILTER (WHERE digest = 'error') AS timeouts,
+          arg_max(event_id, timestamp) FILTER (WHERE digest = 'signup') AS last FROM lg GROUP BY 1)
+    SELECT collection, started, ended, errors, timeouts, last AS crawled, last + 7 AS total,
+           CASE WHEN last IS NOT NULL THEN CAST(1 AS BIGINT) END AS pending, last % 3 AS failed FROM g"""
+ORACLE["q_read_scraper_log"] = f"""WITH {EC}
+    SELECT date_trunc('millisecond', ts) AS ts, CASE WHEN status = 500 THEN 'ERROR' ELSE 'INFO' END AS level,
+           url || ' - ' || digest AS message FROM ec WHERE event_id % 7 <> 0"""
+FRONTIER = """
+fr AS (SELECT collection, CASE WHEN digest IN ('view', 'click') THEN 'queued' WHEN digest = 'purchase' THEN 'pending' ELSE 'done' END AS list,
+        url || event_id AS url, date_trunc('millisecond', ts) AS t, event_id FROM ec),
+items AS (SELECT collection, list, url, CASE WHEN list <> 'done' THEN t END AS added,
+        CAST(CASE WHEN list <> 'done' THEN event_id % 4 END AS INTEGER) AS seed_id,
+        CAST(CASE WHEN list <> 'done' THEN event_id % 3 END AS INTEGER) AS depth,
+        CAST(CASE WHEN list <> 'done' THEN 0 END AS INTEGER) AS extra_hops FROM fr)"""
+ORACLE["q_read_frontier"] = f"WITH {EC}, {FRONTIER} SELECT * FROM items"
+ORACLE["q_frontier_summary"] = f"WITH {EC}, {FRONTIER} SELECT list, depth, count(*) AS urls FROM items GROUP BY 1, 2"
+ORACLE["q_frontier_minutes"] = f"""WITH {EC}, {FRONTIER}
+    SELECT date_trunc('minute', added) AS minute, count(*) AS added FROM items WHERE added IS NOT NULL GROUP BY 1"""
+ORACLE["q_feed_for_outlet"] = f"""WITH {OUTLETS},
+    own AS (SELECT website, unnest(['rss', 'feed']) AS f, unnest([0, 1]) AS pos FROM outlets WHERE length(name) % 3 = 0),
+    html AS (SELECT DISTINCT {site('url')} AS website, 'atom/' || page_id % 4 AS f FROM pages WHERE page_id % 2 = 0),
+    maps AS (SELECT DISTINCT {site('url')} AS website, 'map/' || page_id % 4 AS f FROM pages WHERE page_id % 5 = 0),
+    a AS (SELECT website, f, pos FROM own
+          UNION ALL SELECT website, f, 0 FROM html WHERE website NOT IN (SELECT website FROM own)),
+    b AS (SELECT * FROM a UNION ALL SELECT website, f, 0 FROM maps WHERE website NOT IN (SELECT website FROM a))
+    SELECT website, website || f AS feed, CAST(pos AS INTEGER) AS pos FROM b"""
+ORACLE["q_duplicate_sketch"] = """SELECT source, count(*) AS captures, CAST(sum(n_chars) AS BIGINT) AS bytes, true AS within
+    FROM documents GROUP BY 1"""
+ORACLE["q_seed_of"] = f"""WITH {LINKS},
+    seeds AS (SELECT DISTINCT CASE WHEN page_id % 2 = 1 THEN {scheme('url')} || '://' || {netloc('url')}
+                     ELSE {site('url')} || {lang('url')} || '/' END AS seed FROM pages),
+    sc AS (SELECT scope, min(seed) AS seed FROM (SELECT seed, split_part('@' || lower({netloc('seed')}), '@', -1) ||
+               CASE WHEN {fullpath('seed')} = '' THEN '/' ELSE regexp_extract({fullpath('seed')}, '^(.*/)', 1) END AS scope
+           FROM seeds) GROUP BY 1),
+    u AS (SELECT DISTINCT url, split_part('@' || lower({netloc('url')}), '@', -1) ||
+               CASE WHEN {fullpath('url')} = '' THEN '/' ELSE {fullpath('url')} END AS place FROM links
+          WHERE regexp_matches(url, '^https?://')),
+    best AS (SELECT url, arg_max(seed, length(scope)) AS seed_url FROM u JOIN sc ON starts_with(place, scope) GROUP BY 1)
+    SELECT l.page_id, l.pos, l.url, b.seed_url FROM links l LEFT JOIN best b USING (url)"""

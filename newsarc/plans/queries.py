@@ -20,6 +20,9 @@ from newsarc.operators import joins as J
 from newsarc.operators import sets as S
 from newsarc.operators import windows as W
 from newsarc.plans import derive as D
+from newsarc.plans import jobs
+from newsarc.sources import readers as R
+from newsarc.session import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,7 +206,7 @@ def q_cap11(spark, sf):
 
 def q_drop_seen(spark, sf):
     """Links not already seen on an earlier page of the same site."""
-    links = D.links(spark, sf).select("page_id", "pos", "website_hash", "url")
+    links = cut(D.links(spark, sf).select("page_id", "pos", "website_hash", "url"))   # the pages are parsed once
     seen = links.select("website_hash", "url", "page_id")
     return J.drop_seen(links, seen, before=("page_id", "page_id"))
 
@@ -232,6 +235,19 @@ def q_expand_urls(spark, sf):
     return out.select("website_hash", "url", "origin", "expanded_url")
 
 
+def q_expand_chain(spark, sf):
+    """J4 over chains of single hops: twenty pages each redirect to the next one; the last is the end,
+    hops back into the chain, or leaves to a page that was never fetched."""
+    p = D.table(spark, sf, "pages").select("page_id", "url")
+    i, back = F.col("page_id"), F.pmod(F.floor(F.col("page_id") / 20), F.lit(3))
+    ahead = F.when(F.pmod(i, F.lit(20)) < 19, i + 1).when(back == 1, i - 5)
+    urls = p.groupBy("page_id").agg(F.min("url").alias("_next"))
+    hops = p.withColumn("_to", ahead).join(urls.withColumnRenamed("page_id", "_to"), "_to", "left").select(
+        "page_id", "url", F.when((F.pmod(i, F.lit(20)) == 19) & (back == 2), F.concat(F.lit("https://gone.example.org/"), i))
+        .otherwise(F.col("_next")).alias("final_url"), i.alias("fetched_at"))
+    return J.expand_chains(p, hops, "url").select("page_id", "url", "expanded_url", "n_hops")
+
+
 def q_in_scope(spark, sf):
     """candidates against their page's seed: its section (``https://h/en/``), for odd pages the bare host."""
     section = F.concat(U.site_root("url"), D.page_lang("url"), F.lit("/"))
@@ -245,19 +261,27 @@ def q_in_scope(spark, sf):
                     FL.in_scope_flag("url", "seed_url").alias("in_scope"))
 
 
+def q_seed_of(spark, sf):
+    """F11 over a table of seeds: each link with the longest scope among all sections and odd pages' hosts."""
+    p = D.table(spark, sf, "pages")
+    host = F.concat(U.url_scheme("url"), F.lit("://"), U.url_netloc("url"))
+    section = F.concat(U.site_root("url"), D.page_lang("url"), F.lit("/"))
+    seeds = p.select(F.when(F.col("page_id") % 2 == 1, host).otherwise(section).alias("seed_url")).distinct()
+    links = D.links(spark, sf).select("page_id", "pos", "url")
+    return FL.seed_of(cut(links), seeds)
+
+
 def q_collect(spark, sf):
-    """E2 over the pages: candidates -> F3 -> J2 -> J7 -> J6 -> W1 (every third page seen before, every
-    fifth refused by the archive)."""
+    """E2's decision (``jobs.select_articles``) over the pages: every third page seen before, every fifth
+    refused by the archive."""
     pages = D.table(spark, sf, "pages")
-    c = FL.article_url(_candidates(spark, sf), "base", "url")
     seen = pages.filter(F.col("page_id") % 3 == 0).select(F.md5(U.site_root("url")).alias("website_hash"), "url")
-    c = J.drop_seen(c, seen)
-    sizes = D.page_sizes(spark, sf).select("url", "page_id", F.col("n_words").alias("content_size"))
-    c = J.content_check(c, sizes, "url", "words", ts="page_id").filter("has_content")
+    known = D.page_sizes(spark, sf).select("url", F.lit(None).cast("string").alias("final_url"),
+                                           F.col("page_id").alias("fetched_at"), F.col("n_words").alias("content_size"))
     calls = pages.select("url", F.timestamp_seconds("page_id").alias("called_at"), F.when(
         F.col("page_id") % 5 == 0, F.lit("520 Server Error: x")).otherwise(
         F.concat(F.lit("https://web.archive.org/web/1/"), F.col("url"))).alias("output"))
-    c = W.cap_per_site(J.record_captures(c, calls, "url"), 5)
+    c = jobs.select_articles(_candidates(spark, sf), known, calls, F.to_timestamp(F.lit(D.RUN_DAY)), seen, 5)
     return c.select("website_hash", "url", "origin", "rank", "archive_ref")
 
 
@@ -292,6 +316,16 @@ def q_duplicate_share(spark, sf):
                              order=("doc_id",))
 
 
+def q_duplicate_sketch(spark, sf):
+    """A9 from sketches per source and day, united: exact captures and bytes, and whether the estimated
+    distinct digests lie within three standard errors (2.4 %, at least 1) of the exact number."""
+    c = D.document_captures(spark, sf).withColumn("ts", F.timestamp_seconds(F.col("doc_id") * 3600))
+    est = A.duplicate_estimate(A.duplicate_sketches(c, keys=("source",)), ("source",))
+    exact = c.groupBy("source").agg(F.count_distinct("digest").alias("_exact"))
+    close = F.abs(F.col("distinct_digests") - F.col("_exact")) <= F.greatest(F.lit(1.0), F.col("_exact") * 0.024)
+    return est.join(exact, "source").select("source", "captures", "bytes", close.alias("within"))
+
+
 def q_daily_quota(spark, sf):
     """Documents queued for the archive, 200 a day, round robin over sources."""
     d = D.document_captures(spark, sf).withColumn("day", F.lit(D.RUN_DAY).cast("date"))
@@ -612,10 +646,132 @@ def q_page_resources(spark, sf):
         D.table(spark, sf, "pages").select("page_id", F.col("url").alias("referrer")), "page_id").select(
         F.lit("link").alias("kind"), "page_id", "pos", "url", "referrer",
         F.lit(None).cast("string").alias("mime"), F.col("page_id").alias("ts"), F.lit(200).alias("status"))
-    out = J.page_resources(pages.unionByName(links))
+    out = J.page_resources(cut(pages.unionByName(links)))   # the pages are parsed once
     return out.select("kind", "page_id", "pos", "url", "page_mime")
 
 
+# ------------------------------------------- events rendered as a crawl's lines
+
+def _in_file(folder):
+    return F.concat(F.lit("file:/data/collections/"), F.col("collection"), F.lit(f"/{folder}/0"))
+
+
+def _text(name, value):
+    """A JSON field whose value is a string without quotes in it."""
+    return F.concat(F.lit(f'"{name}": "'), value, F.lit('"'))
+
+
+def _utc(ts):
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def q_read_cdx(spark, sf):
+    """Events as index lines; errors are cut off, a sign-up has no numeric status, views have a referrer."""
+    c = D.event_captures(spark, sf)
+    fields = [F.lit('"cookie": {"a": [1, "}"]}'), _text("url", F.concat("url", F.lit("?e="), F.col("event_id").cast("string"))),
+              _text("mime", F.coalesce("mime", F.lit("unk"))),
+              _text("status", F.when(F.col("digest") == "signup", "-").otherwise(F.col("status").cast("string"))),
+              _text("digest", F.concat(F.lit("sha-256:"), "digest")), _text("length", F.col("length").cast("string")),
+              _text("offset", F.col("event_id").cast("string")), F.lit('"filename": "rec-0.warc.gz"'),
+              F.when(F.col("digest") == "view", _text("referrer", F.col("url")))]
+    line = F.concat("urlkey", F.lit(" "), F.date_format("ts", "yyyyMMddHHmmss"), F.lit(" {"), F.concat_ws(", ", *fields),
+                    F.when(F.col("digest") == "error", "").otherwise("}"))
+    rows = R.cdx_rows(c.select(line.alias("value"), _in_file("warc-cdx").alias("file_path")))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_read_block_index(spark, sf):
+    """Events as block lines; every tenth is a ``!meta`` line."""
+    c = D.event_captures(spark, sf)
+    n = F.col("event_id").cast("string")
+    line = F.concat(F.when(F.col("event_id") % 10 == 0, F.lit("!meta")).otherwise(F.col("urlkey")), F.lit(" "),
+                    F.date_format("ts", "yyyyMMddHHmmss"), F.lit(' {"offset": '), n, F.lit(', "length": '),
+                    F.col("length").cast("string"), F.lit(', "digest": "'), F.col("digest"), F.lit('", "filename": "b-'), n, F.lit('.gz"}'))
+    rows = R.block_rows(c.select(line.alias("value"), _in_file("indexes").alias("file_path")))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _log_lines(spark, sf):
+    """Events as a crawl log: sign-ups report the crawl's status, errors time out, others load a page."""
+    c = D.event_captures(spark, sf)
+    n, kind = F.col("event_id").cast("string"), F.col("digest")
+    details = (F.when(kind == "signup", F.concat(F.lit('{"crawled": '), n, F.lit(', "total": '), (F.col("event_id") + 7).cast("string"),
+                                                 F.lit(', "pending": 1, "failed": '), (F.col("event_id") % 3).cast("string"), F.lit("}")))
+               .when(kind == "click", F.lit('["a", {"b": 1}]')).otherwise(F.concat(F.lit("{"), _text("page", F.col("url")), F.lit("}"))))
+    line = F.concat(F.lit("{"), _text("timestamp", _utc(F.col("ts"))), F.lit(", "),
+                    _text("logLevel", F.when(kind == "error", "error").otherwise("info")), F.lit(", "),
+                    _text("context", F.when(kind == "signup", "crawlStatus").otherwise("pageStatus")), F.lit(", "),
+                    _text("message", F.when(kind == "error", "Page Load Timed Out").when(kind == "signup", "Crawl statistics")
+                          .otherwise("Page Finished")), F.lit(', "details": '), details, F.lit("}"))
+    return c.select(F.when(F.col("event_id") % 100 == 99, F.lit("  ")).otherwise(line).alias("value"),
+                    _in_file("logs").alias("file_path"))
+
+
+def q_read_crawl_log(spark, sf):
+    """JSON log lines (every hundredth blank) to typed columns."""
+    rows = R.crawl_log_rows(_log_lines(spark, sf))
+    return rows.select("collection", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "logLevel", "context",
+                       "message", "page")
+
+
+def q_crawl_summary(spark, sf):
+    """A12 over the log lines."""
+    out = A.crawl_summary(R.crawl_log_rows(_log_lines(spark, sf)))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started", "ended")}).drop("seconds")
+
+
+def q_read_scraper_log(spark, sf):
+    """Text log lines; every seventh is the tail of a trace."""
+    c = D.event_captures(spark, sf)
+    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" - "),
+                    F.when(F.col("status") == 500, "ERROR").otherwise("INFO"), F.lit(" - "), "url", F.lit(" - "), "digest")
+    value = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("  File x - "), line)).otherwise(line)
+    return R.scraper_log_rows(c.select(value.alias("value"))).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _frontier(spark, sf):
+    """Events as crawl state: a file per collection, its lists one after the other; finished items are bare URLs."""
+    c = D.event_captures(spark, sf)
+    n, kind = F.col("event_id").cast("string"), F.col("digest")
+    place = F.when(kind.isin("view", "click"), 0).when(kind == "purchase", 1).otherwise(2)
+    item = F.concat(F.lit("    - '{"), _text("added", _utc(F.col("ts"))), F.lit(", "), _text("url", F.concat("url", n)),
+                    F.lit(', "seedId": '), (F.col("event_id") % 4).cast("string"), F.lit(', "depth": '),
+                    (F.col("event_id") % 3).cast("string"), F.lit(', "extraHops": 0}\''))
+    line = F.when(place == 2, F.concat(F.lit("    - "), "url", n)).otherwise(item)
+    at = lambda i, e: F.struct(i.cast("long").alias("b"), e.cast("long").alias("n")).alias("_at")
+    items = c.select(line.alias("line"), _in_file("crawls").alias("_file"), at(place, F.col("event_id") + 1))
+    heads = c.select("collection").distinct().select("*", F.posexplode(F.array(*map(F.lit, ("queued", "pending", "done")))).alias("i", "list"))
+    heads = heads.select(F.concat(F.lit("  "), "list", F.lit(":")).alias("line"), _in_file("crawls").alias("_file"),
+                         at(F.col("i"), F.lit(0)))
+    return R.frontier_rows(cut(items.unionByName(heads)))
+
+
+def q_read_frontier(spark, sf):
+    """Crawl state lines to items with the list they stand in."""
+    return _frontier(spark, sf).withColumn("added", F.col("added").cast("timestamp_ntz"))
+
+
+def q_frontier_summary(spark, sf):
+    """URLs per list and depth."""
+    return A.frontier_summary(_frontier(spark, sf))[0]
+
+
+def q_frontier_minutes(spark, sf):
+    """URLs added per minute."""
+    return A.frontier_summary(_frontier(spark, sf))[1].withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
+def q_feed_for_outlet(spark, sf):
+    """Own feeds of every third site, feeds from heads of even pages, feeds from sitemaps of every fifth page."""
+    o = D.outlets(spark, sf)
+    own = F.array(F.concat("website", F.lit("rss")), F.concat("website", F.lit("feed")), F.concat("website", F.lit("rss")))
+    o = o.withColumn("rss", F.when(F.length("name") % 3 == 0, own).when(F.length("name") % 3 == 1, F.array().cast("array<string>")))
+    p = D.table(spark, sf, "pages").select("page_id", U.site_root("url").alias("website"))
+    def found(k, name):
+        return p.filter(F.col("page_id") % k == 0).select("website", F.concat("website", F.lit(name), (F.col("page_id") % 4).cast("string")).alias("feed"))
+    return J.feed_for_outlet(o, found(2, "atom/"), found(5, "map/")).withColumn("pos", F.col("pos").cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "q_links": q_links,
     "q_links_distinct": q_links_distinct,
@@ -644,13 +800,16 @@ QUERIES: dict[str, Query] = {
     "q_new_urls": q_new_urls,
     "q_kept_urls": q_kept_urls,
     "q_expand_urls": q_expand_urls,
+    "q_expand_chain": q_expand_chain,
     "q_in_scope": q_in_scope,
+    "q_seed_of": q_seed_of,
     "q_seed_report": q_seed_report,
     "q_host_report": q_host_report,
     "q_type_report": q_type_report,
     "q_top_hosts": q_top_hosts,
     "q_dedup_content": q_dedup_content,
     "q_duplicate_share": q_duplicate_share,
+    "q_duplicate_sketch": q_duplicate_sketch,
     "q_daily_quota": q_daily_quota,
     "q_daily_usage": q_daily_usage,
     "q_crawl_progress": q_crawl_progress,
@@ -691,4 +850,13 @@ QUERIES: dict[str, Query] = {
     "q_log_field": q_log_field,
     "q_site_record": q_site_record,
     "q_page_captures": q_page_captures,
+    "q_read_cdx": q_read_cdx,
+    "q_read_block_index": q_read_block_index,
+    "q_read_crawl_log": q_read_crawl_log,
+    "q_read_scraper_log": q_read_scraper_log,
+    "q_read_frontier": q_read_frontier,
+    "q_crawl_summary": q_crawl_summary,
+    "q_frontier_summary": q_frontier_summary,
+    "q_frontier_minutes": q_frontier_minutes,
+    "q_feed_for_outlet": q_feed_for_outlet,
 }

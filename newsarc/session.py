@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library assumes. AQE re-plans joins and coalesces
 # shuffle partitions at run time; skew-join splitting handles hot sites/hosts.
@@ -72,3 +72,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (stream state, cut tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder once, its lineage forgotten.
+
+    For rows that are costly to make and read several times, and for iterations. Survives the
+    loss of an executor; Spark's cleaner removes the files when the DataFrame is gone. Where no
+    folder is set, a local master gets a private one (one machine shares it with all its tasks).
+    """
+    spark = df.sparkSession
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.getCheckpointDir() and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsarc-ckpt-"))
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)

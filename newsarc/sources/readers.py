@@ -136,8 +136,12 @@ def stream_fetches(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-def _cdx_like(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path).select("value", "_metadata.file_path")
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files: ``value`` and ``file_path``; what the ``*_rows`` functions split into columns."""
+    return spark.read.text(path).select("value", "_metadata.file_path")
+
+
+def _cdx_like(lines: DataFrame) -> DataFrame:
     return lines.select(
         _collection("file_path").alias("collection"),
         F.regexp_extract("value", CDX_LINE, 1).alias("urlkey"),
@@ -146,12 +150,9 @@ def _cdx_like(spark: SparkSession, path: str) -> DataFrame:
         "value")
 
 
-def read_cdx(spark: SparkSession, path: str) -> DataFrame:
-    """Capture index lines ``urlkey ts14 {json}`` -> typed captures.
-
-    Cookies and request bodies in the JSON are not read (not in the schema).
-    """
-    c = _cdx_like(spark, path).filter(F.col("json") != "")
+def cdx_rows(lines: DataFrame) -> DataFrame:
+    """S8 on lines (value, file_path): those of another form are left out, odd numbers are NULL."""
+    c = _cdx_like(lines).filter(F.col("json") != "")
     j = F.from_json("json", CDX_JSON)
     return c.select(
         "collection", "urlkey", cdx_time("ts14").alias("ts"), j["url"].alias("url"),
@@ -161,15 +162,28 @@ def read_cdx(spark: SparkSession, path: str) -> DataFrame:
         j["referrer"].alias("referrer"), j["method"].alias("method"))
 
 
-def read_block_index(spark: SparkSession, path: str) -> DataFrame:
-    """Second-level index (``!meta`` line skipped): one row per block."""
-    c = _cdx_like(spark, path).filter(~F.col("value").startswith("!") & (F.col("json") != ""))
+def read_cdx(spark: SparkSession, path: str) -> DataFrame:
+    """Capture index lines ``urlkey ts14 {json}`` -> typed captures.
+
+    Cookies and request bodies in the JSON are not read (not in the schema).
+    """
+    return cdx_rows(read_lines(spark, path))
+
+
+def block_rows(lines: DataFrame) -> DataFrame:
+    """S9 on lines (value, file_path)."""
+    c = _cdx_like(lines).filter(~F.col("value").startswith("!") & (F.col("json") != ""))
     j = F.from_json("json", BLOCK_JSON)
     return c.select("collection", j["filename"].alias("filename"),
                     F.col("urlkey").alias("urlkey_from"), cdx_time("ts14").alias("ts"),
                     j["offset"].alias("offset"), j["length"].alias("length"), j["digest"].alias("digest"))
 
 
+def read_block_index(spark: SparkSession, path: str) -> DataFrame:
+    """Second-level index (``!meta`` line skipped): one row per block."""
+    return block_rows(read_lines(spark, path))
+
+
 def read_crawl_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page lists; header rows dropped, ``seed`` false when missing."""
     df = spark.read.schema(CRAWL_PAGES).json(path).withColumn("_p", F.col("_metadata.file_path"))
@@ -179,25 +193,34 @@ def read_crawl_pages(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce("seed", F.lit(False)).alias("seed"), "depth", "favIconUrl")
 
 
+def crawl_log_rows(lines: DataFrame) -> DataFrame:
+    """S11 on JSON lines (value, file_path); a line that is no JSON gives NULL fields, blank lines none."""
+    j = lines.filter(F.trim("value") != "").select(_collection("file_path").alias("collection"),
+                                                   F.from_json("value", CRAWL_LOG).alias("j"))
+    return j.select("collection", _iso(F.col("j.timestamp")).alias("timestamp"), "j.logLevel", "j.context", "j.message",
+                    "j.details", F.get_json_object("j.details", "$.page").alias("page"))
+
+
 def read_crawl_log(spark: SparkSession, path: str) -> DataFrame:
     """JSON crawl log; ``details`` (object or list) kept as JSON text."""
-    df = spark.read.schema(CRAWL_LOG).json(path).withColumn("_p", F.col("_metadata.file_path"))
-    return df.select(_collection("_p").alias("collection"), _iso(F.col("timestamp")).alias("timestamp"),
-                     "logLevel", "context", "message", "details",
-                     F.get_json_object("details", "$.page").alias("page"))
+    return crawl_log_rows(read_lines(spark, path))
 
 
-def read_scraper_log(spark: SparkSession, path: str) -> DataFrame:
-    """``asctime - LEVEL - message`` text log of a collector run."""
-    t = spark.read.text(path)
+def scraper_log_rows(lines: DataFrame) -> DataFrame:
+    """S11 on text lines (value)."""
     stamp = F.concat(F.regexp_extract("value", SCRAPER_LINE, 1), F.lit("."),
                      F.regexp_extract("value", SCRAPER_LINE, 2))
-    return t.filter(F.col("value").rlike(SCRAPER_LINE)).select(
+    return lines.filter(F.col("value").rlike(SCRAPER_LINE)).select(
         F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd HH:mm:ss.SSS")).alias("ts"),
         F.regexp_extract("value", SCRAPER_LINE, 3).alias("level"),
         F.regexp_extract("value", SCRAPER_LINE, 4).alias("message"))
 
 
+def read_scraper_log(spark: SparkSession, path: str) -> DataFrame:
+    """``asctime - LEVEL - message`` text log of a collector run."""
+    return scraper_log_rows(read_lines(spark, path))
+
+
 def read_frontier(spark: SparkSession, path: str) -> DataFrame:
     """Crawl state files -> (collection, list, url, added, seed_id, depth, extra_hops).
 
@@ -206,12 +229,16 @@ def read_frontier(spark: SparkSession, path: str) -> DataFrame:
     of its split, row id inside the split); every item takes the list header
     above it by an as-of lookup over range partitions of those places.
     """
-    from newsarc.operators.ordered import asof_by_range
-
-    lines = spark.read.text(path).select(
+    return frontier_rows(spark.read.text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"),
         F.struct(F.col("_metadata.file_block_start").alias("b"),
-                 F.monotonically_increasing_id().alias("n")).alias("_at"))
+                 F.monotonically_increasing_id().alias("n")).alias("_at")))
+
+
+def frontier_rows(lines: DataFrame) -> DataFrame:
+    """The same on lines (line, _file, _at), where ``_at`` orders the lines of a file."""
+    from newsarc.operators.ordered import asof_by_range
+
     headers = lines.filter(F.col("line").rlike(FRONTIER_LIST)) \
         .select("_file", "_at", F.regexp_extract("line", FRONTIER_LIST, 1).alias("_list"))
     items = lines.filter(F.col("line").rlike(r"^\s+- "))

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from newsarc.functions.content import html_text, publication_time, word_count
@@ -513,3 +514,150 @@ def test_new_and_kept_over_a_history(spark):
                                   "website_hash string, url string, page_id long")
     assert sorted(tuple(r) for r in S.new_in_latest(found).collect()) == [("s", "c"), ("t", "x")]
     assert sorted(tuple(r) for r in S.kept_in_latest(found).collect()) == [("s", "b")]
+
+
+def test_ranges_by_binary_search_equal_a_plain_count(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "a", "b", "hot", "hot", "hot"]), rng.randrange(50), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "k string, t int, id long").repartition(3)
+    for n in (1, 2, 7, 16, 33):
+        got = O.ranged(df, ["k"], ["t", "id"], n).collect()
+        key = lambda r: ((r.k is not None, r.k or ""), r.t, r.id)
+        got.sort(key=key)
+        assert [r["_pid"] for r in got] == sorted(r["_pid"] for r in got)      # ranges follow the order
+        assert {r["_pid"] for r in got} <= set(range(n + 1))
+        starts = {}
+        for r in got:
+            starts.setdefault(r["_pid"], r)
+        borders = {r.k for p, r in starts.items() if p}     # a border is the first row of its range
+        assert all(r["_edge"] == (r.k in borders) for r in got)
+
+
+def test_visits_of_a_hot_page_are_counted_over_ranges(spark):
+    rng = random.Random(6)
+    t0 = dt.datetime(2025, 3, 17)
+    msgs = ["Awaiting page load", "Page Finished", "other"]
+    rows = [("c", rng.choice(["hot", "hot", "p1", None]), t0 + dt.timedelta(seconds=rng.randrange(300)), rng.choice(msgs))
+            for _ in range(2000)]
+    log = spark.createDataFrame(rows, "collection string, page string, timestamp timestamp, message string").repartition(4)
+    pages = {}
+    for _, page, t, m in rows:
+        if page and m != "other":
+            pages.setdefault(page, []).append((t, m == msgs[0]))
+    want = []
+    for page, events in pages.items():
+        visits = []
+        for t, start in sorted(events):
+            if start:
+                visits.append([t, None])
+            elif visits and visits[-1][1] is None:
+                visits[-1][1] = t
+        want += [(page, i + 1, a, b) for i, (a, b) in enumerate(visits)]
+    got = [(r.page, r.visit, r.started, r.finished) for r in W.page_durations(log).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) > 300
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_of_redirects_equal_a_walk(spark, seed):
+    rng = random.Random(seed)
+    hops = {}
+    for length in range(1, 21):                              # chains of 1 to 20 hops to an end that is fetched or not
+        names = [f"c{length}-{i}" for i in range(length + 1)]
+        hops |= dict(zip(names, names[1:]))
+        if rng.random() < 0.5:
+            hops[names[-1]] = rng.choice([names[-1], None])  # hops to itself, or names no final URL
+    for n in (1, 2, 3, 8):                                   # loops, and tails that run into them
+        ring = [f"l{n}-{i}" for i in range(n)]
+        hops |= dict(zip(ring, ring[1:] + ring[:1]))
+        hops |= {f"t{n}-{i}": (f"t{n}-{i + 1}" if i < 4 else ring[0]) for i in range(5)}
+    hops |= {f"many-{i}": "c20-0" for i in range(50)}
+    hops["l1-0"] = "l1-0"
+
+    def walk(u, most):
+        n, seen = 0, set()
+        while hops.get(u) not in (None, u):
+            if u in seen or n > most:
+                return None, None
+            seen.add(u)
+            u, n = hops[u], n + 1
+        return (u, n) if n <= most else (None, None)
+
+    old = dt.datetime(2025, 3, 1)
+    rows = [(u, t, 200, old + dt.timedelta(1)) for u, t in hops.items()] + [(u, "stale", 200, old) for u in list(hops)[:30]]
+    fetches = spark.createDataFrame(rows, "url string, final_url string, status int, fetched_at timestamp").repartition(3)
+    links = sorted(hops) + ["never-fetched"]
+    cand = spark.createDataFrame([(u,) for u in links + links[:5]], "url string")
+    for most in (30, 7):
+        kept = {r.url: (r.expanded_url, r.n_hops) for r in J.expand_chains(cand, fetches, max_hops=most).collect()}
+        nulls = {r.url: (r.expanded_url, r.n_hops) for r in J.expand_chains(cand, fetches, failed="null", max_hops=most).collect()}
+        for u in links:
+            end, n = walk(u, most)
+            known = hops.get(u) is not None
+            assert kept[u] == (end or u, n if known else 0), u
+            assert nulls[u] == ((end, n) if known else (None, None)), u
+    assert J.expand_chains(cand, fetches.limit(0)).filter("expanded_url = url AND n_hops = 0").count() == cand.count()
+
+
+def test_sketches_of_days_unite(spark):
+    rng = random.Random(4)
+    t0 = dt.datetime(2025, 3, 1)
+    rows = [("a" if i % 3 else "b", t0 + dt.timedelta(hours=rng.randrange(240)), f"d{rng.randrange(3000)}", 10) for i in range(9000)]
+    caps = spark.createDataFrame(rows, "collection string, ts timestamp, digest string, length long")
+    days = A.duplicate_sketches(caps)
+    assert days.count() == 20
+    old, new = days.filter("day < '2025-03-06'"), days.filter("day >= '2025-03-06'")   # kept and added
+    got = {r.collection: r for r in A.duplicate_estimate(old.unionByName(new)).collect()}
+    for c in "ab":
+        mine = [r for r in rows if r[0] == c]
+        exact = len({r[2] for r in mine})
+        assert got[c].captures == len(mine) and got[c].bytes == 10 * len(mine)
+        assert abs(got[c].distinct_digests - exact) <= 0.024 * exact
+        assert abs(got[c].duplicate_bytes - 10 * got[c].duplicate_captures) <= 1
+
+
+def test_feeds_as_rows(spark):
+    outlets = spark.createDataFrame([("w1", ["a", "b", "a"]), ("w2", None), ("w3", [])], "website string, rss array<string>")
+    found = spark.createDataFrame([("w1", "b"), ("w1", "c"), ("w1", "c"), ("w2", "d"), ("w9", "e")], "website string, feed string")
+    assert sorted(map(tuple, A.feed_rows(outlets, found).collect()), key=str) == [
+        ("w1", "a", 0), ("w1", "b", 1), ("w1", "c", None), ("w2", "d", None)]
+
+
+def test_seen_filter_gives_the_anti_joins_rows(spark):
+    rng = random.Random(3)
+    d1, d2 = dt.date(2025, 3, 17), dt.date(2025, 3, 18)
+    seen = spark.createDataFrame([(f"s{rng.randrange(5)}", rng.choice([d1, d2]), f"u{i}") for i in range(0, 4000, 2)],
+                                 "website_hash string, day date, url string")
+    cand = spark.createDataFrame([(f"s{rng.randrange(5)}", f"u{i}") for i in range(3000)] + [(None, "u1"), ("s1", None)] +
+                                 [tuple(r) for r in seen.select("website_hash", "url").limit(500).collect()],
+                                 "website_hash string, url string")
+    filters = J.seen_filter(seen.filter("url < 'u2'"), buckets=2).unionByName(J.seen_filter(seen.filter("url >= 'u2'"), buckets=2))
+    days = J.seen_filter_union(filters)
+    assert days.count() == 4 and days.selectExpr("max(length(bitmap))").first()[0] == 4096
+    for day in (d1, d2):
+        mine = seen.filter(F.col("day") == F.lit(day))
+        got = J.drop_seen_filtered(cand, mine, days.filter(F.col("day") == F.lit(day)), buckets=2)
+        want = J.drop_seen(cand, mine)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() < cand.count()
+    empty = seen.filter("url IS NULL")
+    assert J.drop_seen_filtered(cand, empty, J.seen_filter(empty, buckets=2), buckets=2).count() == cand.count()
+    # few of the unseen look seen: only those reach the anti join
+    unseen = spark.range(20000).selectExpr("'s9' AS website_hash", "concat('v', id) AS url")
+    plan = J.drop_seen_filtered(unseen, seen, days, buckets=2)
+    assert plan.count() == 20000
+
+
+def test_seed_of_equals_trying_all_seeds(spark):
+    rng = random.Random(2)
+    folders = [f"/{a}/{b}" for a in "abc" for b in range(700)]
+    seeds = [f"https://hot.com{f}/index.html" for f in folders] + ["http://hot.com/a", "https://hot.com/a/7/x/y/", "https://U:p@Other.org",
+             "nothing", None, "https://other.org/z/", "https://hot.com/b/1/"]
+    urls = [f"http://hot.com{rng.choice(folders)}{rng.choice(['', '/', '/x/y/z', '/x'])}" for _ in range(300)]
+    urls += ["https://other.org", "https://other.org/z/1", "ftp://other.org/z/1", "https://third.org/", None, "https://hot.com/b/1/", "https://hot.com/b/1/"]
+    links = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "id int, url string")
+    table = spark.createDataFrame([(x,) for x in seeds], "seed_url string")
+    got = {r.id: r.seed_url for r in FL.seed_of(links, table).collect()}
+    pairs = links.crossJoin(table).filter(FL.in_scope_flag("url", "seed_url")).withColumn("p", FL.scope_prefix("seed_url"))
+    want = {}
+    for r in pairs.collect():
+        want.setdefault(r.id, []).append((-len(r.p), r.seed_url))
+    assert got == {i: min(want[i])[1] if i in want else None for i in range(len(urls))} and len(want) > 290
