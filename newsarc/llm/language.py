@@ -22,6 +22,7 @@ MAX_ROWS = 4_000
 BITS = 11                      # 2,048 features
 PART = 1 << 19                 # bytes of a text that are counted at once
 ROWS = 256                     # texts that are scored at once
+PARTS = 64                     # parts of a language when its first rows are chosen
 COST, ROUNDS = 1.0, 30
 UNKNOWN = "und"
 
@@ -169,10 +170,14 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS, ident: str = "doc_id", text
     langs = known.select(lang).distinct().count()
     if not langs:
         return Tree(np.zeros((0, 1 << BITS)), np.array([], dtype=object))
-    # the first rows of each language by a hash of the id; the ids alone are ranked, the texts follow for these only
-    rank = F.row_number().over(Window.partitionBy("_l").orderBy(F.xxhash64("_i"), "_i"))
-    few = (known.select(F.col(ident).alias("_i"), F.col(lang).alias("_l")).distinct().withColumn("_n", rank)
-           .where(F.col("_n") <= max(1, max_rows // langs)).select("_i", "_l"))
+    # the first rows of each language by a hash of the id; the ids alone are ranked, the texts follow for these only.
+    # Parts of a language first, so that the last ranking meets at most PARTS times the quota, however large it is
+    most = max(1, max_rows // langs)
+    few = known.select(F.col(ident).alias("_i"), F.col(lang).alias("_l")).withColumn("_p", F.pmod(F.hash("_i"), F.lit(PARTS)))
+    for group in (["_l", "_p"], ["_l"]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64("_i"), "_i"))
+        few = few.withColumn("_n", rank).where(F.col("_n") <= most).drop("_n")
+    few = few.select("_i", "_l").distinct()
     rows = (known.select(F.col(ident).alias("_i"), F.col(lang).alias("_l"), F.col(text).alias("_t"))
             .join(F.broadcast(few), ["_i", "_l"]))   # at most max_rows ids
 
