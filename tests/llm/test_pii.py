@@ -1,6 +1,7 @@
 """Pseudonyms: formats, validity, linkage, inversion and what stays."""
 
 import datetime as dt
+import ipaddress
 import random
 import re
 
@@ -14,6 +15,14 @@ def luhn_ok(s):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
 
 
+def date_form(v):
+    sep = re.search("[-./]", v)[0]
+    if re.match("[0-9]{4}", v):
+        return sep.join(["%Y", "%m", "%d"])
+    first = int(v.split(sep)[0])
+    return sep.join(["%m", "%d", "%Y"] if sep == "/" and first <= 12 else ["%d", "%m", "%Y"])
+
+
 def iban_ok(s):
     s = s.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
@@ -26,12 +35,16 @@ def run(spark, texts, key="k", back=False):
 
 VALUES = {
     "card": ["4111111111111111", "4111 1111 1111 1111", "3782-822463-10005", "4041894974608795"],
-    "iban": ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"],
-    "phone": ["+1 (988) 555-2485", "+1 (139) 555-2766", "212-555-0100", "(212) 555-0100", "1 415.555.2671", "+1-212-555-0100", "1(212)555-0100"],
+    "iban": ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "ES91 2100 0418 4502 0005 1332", "NO93 8601 1117 947"],
+    "phone": ["+1 (988) 555-2485", "+1 (139) 555-2766", "212-555-0100", "(212) 555-0100", "1 415.555.2671", "+1-212-555-0100", "1(212)555-0100", "+12125551234",
+              "+49 30 12345678", "+4930123456", "+33 1 23 45 67 89", "+44 (0)20 7946 0958", "+351 21 123 4567", "01 23 45 67 89", "030 12345678"],
+    "ipv6": ["2001:db8:0:1:1:1:1:1", "2001:db8::8a2e:370:7334", "FE80:0:0:0:20:F8FF:FE21:67CF"],
     "ip": ["42.144.35.254", "0.0.0.0"],
     "ssn": ["123-45-6789", "899-99-9999"],
-    "date": ["1984-02-29", "31.12.1999", "12/25/2001", "01-01-1900", "2099-12-31"],
-    "email": ["bosbt.42@mail8.example.com", "A.b+c@x.org"],
+    "date": ["1984-02-29", "31.12.1999", "12/25/2001", "01-01-1900", "2099-12-31", "25/12/1999",
+             "31/12/1999", "29/02/2000", "1/2/1999", "13/5/2001", "2/29/2004", "10/3/2010", "3/11/1950", "2020/01/02", "2020-1-2", "9.10.1987",
+             "30-4-2001", "2001-8-31"],
+    "email": ["bosbt.42@mail8.example.com", "A.b+c@x.org", "_foo@bar.com", "j%doe@x.com", "a@b.com", "7@b.com"],
 }
 
 
@@ -43,14 +56,15 @@ def test_format_validity_linkage_and_inversion(spark, kind):
         assert kinds == [kind, kind]
         a, b = re.fullmatch(r"before (.*), and (.*) again\.", new).groups()
         assert a == b != v
+        if kind == "ipv6":
+            assert ipaddress.IPv6Address(a)
         if kind not in ("ip", "email"):
             assert re.sub("[A-Za-z]", "a", re.sub("[0-9]", "9", a)) == re.sub("[A-Za-z]", "a", re.sub("[0-9]", "9", v))
         assert {"card": luhn_ok, "iban": iban_ok}.get(kind, bool)(a)
         if kind == "ip":
             assert all(0 <= int(x) <= 255 for x in a.split("."))
         if kind == "date":
-            form = "%Y-%m-%d" if v[4] == "-" else "%m/%d/%Y" if "/" in v else v[2].join(["%d", "%m", "%Y"])
-            assert 1900 <= dt.datetime.strptime(a, form).year <= 2099
+            assert 1900 <= dt.datetime.strptime(a, date_form(v)).year <= 2099 and date_form(a) == date_form(v)
         if kind == "email":
             assert a.split("@")[1] == v.split("@")[1] and a.split("@")[0] != v.split("@")[0]
     assert [t for t, _ in run(spark, [t for t, _ in out], back=True)] == texts
@@ -59,7 +73,7 @@ def test_format_validity_linkage_and_inversion(spark, kind):
 
 def test_what_is_not_valid_stays(spark):
     texts = ["", None, "plain words", "4111111111111112", "300.1.2.3", "1.2.3.4.5", "666-12-1234", "000-12-1234",
-             "2023-02-30", "31/12/1999", "1899-12-31", "DE89370400440532013001", "v1.2.3", "123-456-789", "a@b", "3.14, 2024",
+             "2023-02-30", "31/13/1999", "30/02/2000", "1899-12-31", "2125551234", "std::vector", "ab::cd", "12:34:56", "+1 234 567", "--@x.com", "DE89370400440532013001", "v1.2.3", "123-456-789", "a@b", "3.14, 2024",
              "x4111111111111111", "41111111111111111111111"]
     assert run(spark, texts) == [(t, []) for t in texts]
 
@@ -101,15 +115,16 @@ def test_empty_table(spark):
     assert pii.pseudonymise(df, "k").count() == 0
 
 
-def plain_feistel(kind, v, m, key):
+def plain_feistel(kind, v, m, key, tweak=""):
     """The network over a mixed radix, written out: halves take turns, noise from the other half."""
     import hashlib
     half = -(-len(v) // 2)
     left, right = list(v[:half]), list(v[half:])
     for k in range(pii.ROUNDS):
+        secret = hashlib.sha256(f"{key}|{k}".encode()).hexdigest()
         own, other, radix = (left, right, m[:half]) if k % 2 == 0 else (right, left, m[half:])
         for i in range(len(own)):
-            digest = hashlib.sha256("|".join([key, kind, str(k), str(i // 8), ",".join(map(str, other))]).encode()).hexdigest()
+            digest = hashlib.sha256("|".join([secret, kind, tweak, str(i // 8), ",".join(map(str, other))]).encode()).hexdigest()
             own[i] = (own[i] + int(digest[i % 8 * 8:i % 8 * 8 + 8], 16)) % radix[i]
     return left + right
 
@@ -125,4 +140,34 @@ def test_equals_a_plain_feistel_network(spark):
     for r in rows:
         v, m = [x["v"] for x in r["old"]], [x["m"] for x in r["old"]]
         assert [x["m"] for x in r["got"]] == m and all(0 <= a < b for a, b in zip(v, m))
-        assert [x["v"] for x in r["got"]] == plain_feistel(r["kind"], v, m, "secret"), r
+        assert [x["v"] for x in r["got"]] == plain_feistel(
+            r["kind"], v, m, "secret", r["s"].split("@")[1].lower() if r["kind"] == "email" else ""), r
+    assert "secret" not in df._jdf.queryExecution().toString()
+
+
+def test_values_next_to_other_words(spark):
+    new, kinds = run(spark, ["IBAN ES91 2100 0418 4502 0005 1332 PAID on 2020-01-02T10:00, call +49 30 12345678 2020 times"])[0]
+    assert kinds == ["iban", "date", "phone"]
+    assert re.fullmatch(r"IBAN ES\d\d(?: \d{4}){5} PAID on \d{4}-\d\d-\d\dT10:00, call \+49 \d\d \d{8} 2020 times", new)
+
+
+def test_one_number_in_several_forms_is_linked(spark):
+    forms = ["4111111111111111", "4111 1111 1111 1111", "+1 212-555-0100", "(212) 555-0100", "+12125550100",
+             "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "2020-01-02", "2020/01/02", "02.01.2020"]
+    out = [t for t, _ in run(spark, forms)]
+    bare = [re.sub("[^0-9A-Z]", "", t) for t in out]
+    assert bare[0] == bare[1] and bare[2] == "1" + bare[3] == bare[4] and bare[5] == bare[6] and bare[7] == bare[8]
+    assert bare[9] == bare[7][6:] + bare[7][4:6] + bare[7][:4]
+
+
+def test_short_and_classed_values_are_permuted(spark):
+    letters = [f"{c}@b.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    out = [t for t, _ in run(spark, letters)]
+    assert sorted(out) == letters
+    assert len({(ord(a[0]) - ord(b[0])) % 26 for a, b in zip(out, letters)}) > 2       # no mere shift
+    assert [t for t, _ in run(spark, [x.replace("b.com", "c.com") for x in letters])] != [x.replace("b.com", "c.com") for x in out]
+    days = [dt.date(1999, 1, 1) + dt.timedelta(d) for d in range(1500)]
+    days = [f"{d.day}/{d.month}/{d.year}" for d in days if d.day > 12] + [f"{d.month}/{d.day}/{d.year}" for d in days if d.day < 10]
+    new = [t for t, _ in run(spark, days)]
+    assert len(set(new)) == len(days)
+    assert [t for t, _ in run(spark, new, back=True)] == days
