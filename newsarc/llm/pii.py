@@ -52,6 +52,7 @@ CALLING_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 LATE_DAYS = [[f"{m:02d}-{d}" for m in months for d in range(29, 32 if m in (1, 3, 5, 7, 8, 10, 12) else 31) if m != 2]
              for months in (range(1, 10), range(10, 13))]
 
+# A mail domain has at most 127 labels; an unbounded repeat of groups would overflow the matcher's stack.
 _NO, _END = r"(?<![\w.+/-])", r"(?![\w-])"  # no value starts or ends inside a longer token
 _NO_MAIL, _NO_COLON = r"(?<![\w.+%-])", r"(?<![\w.+/:-])"
 _GROUP = "[0-9A-Fa-f]{1,4}"
@@ -64,7 +65,7 @@ def _iban(length: int, countries: str) -> str:
 
 _LISTED = " ".join(IBAN_COUNTRIES.values()).replace(" ", "|")
 PATTERNS = {
-    "email": rf"{_NO_MAIL}[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{{0,63}}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}",
+    "email": rf"{_NO_MAIL}[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{{0,63}}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){{0,125}}\.[A-Za-z]{{2,}}",
     "iban": rf"{_NO}(?:" + "|".join(_iban(n, c) for n, c in IBAN_COUNTRIES.items())
             + rf"|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?){_END}",
     "phone": "|".join(rf"{_NO}{d}{_END}" for d in (

@@ -93,6 +93,11 @@ def test_long_text_and_many_values(spark):
     assert run(spark, [new], back=True)[0][0] == long
 
 
+def test_long_runs_of_one_pattern(spark):
+    runs = ["x@" + "a." * 50000, "a1:" * 50000, "1" * 100000, "AAAA " * 30000, "a" * 100000 + "@x.com", "%" * 100000, "1/2/" * 30000]
+    assert run(spark, runs) == [(t, []) for t in runs]
+
+
 def test_real_documents_lose_their_values_and_nothing_else(spark):
     from newsarc.llm.queries import QUERIES
     sf = "/root/testdata/sf0.001"
