@@ -38,10 +38,10 @@ from newsarc.llm.common import cut, drop, written
 
 WINDOW = 2
 MIN_WORDS = 20
-_ENDS = ["\n", ". ", ", ", "; ", ": ", "! ", "? "]   # what ends a line; it belongs to the line
 _MARK = "\x01"
 WHOLE = -1          # the place of a text as a whole
-_LINE = r"(?<=\n)(?!\n)|(?<=[.,;:!?] )(?!\n)"       # the same as a pattern, for texts that hold the mark
+_END = "[\n.,;:!?](?:(?<=\n)| )\n*+"                 # what ends a line, with the line breaks behind; it belongs to the line
+_LINE = r"(?<=\n)(?!\n)|(?<=[.,;:!?] )(?!\n)"       # the same as a place, for texts that hold the mark
 
 
 def _rotated(h: Column, by: int) -> Column:
@@ -54,10 +54,8 @@ def _bare(x: Column) -> Column:
 
 
 def _lines(t: Column) -> Column:
-    marked = t
-    for end in _ENDS:  # plain replacements; a pattern costs several times as much
-        marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
-    marked = F.replace(marked, F.lit(_MARK + "\n"), F.lit("\n"))  # a line break ends the line before it
+    # one pass over the text: the pattern looks back at ends alone, where ``_LINE`` does at each character
+    marked = F.regexp_replace(t, _END, "$0" + _MARK)
     pieces = F.when(t.contains(_MARK), F.split(t, _LINE, -1)).otherwise(F.split(marked, _MARK, -1))
     return F.array_remove(pieces, "")
 
@@ -182,7 +180,7 @@ def _line_words(bare: Column, odd: Column) -> Column:
 
 def _plain_bare(x: Column) -> Column:
     """``_bare`` of a line of a text that is not odd: blanks and line breaks stand only at its end."""
-    return F.rtrim(F.replace(x, F.lit("\n"), F.lit(" ")))
+    return F.rtrim(F.when(x.endswith("\n"), F.replace(x, F.lit("\n"), F.lit(" "))).otherwise(x))
 
 
 def _plain_words(bare: Column) -> Column:
@@ -190,8 +188,8 @@ def _plain_words(bare: Column) -> Column:
 
 
 def _part(start: Column, end: Column) -> Column:
-    """Text of the lines start to end without blanks and line breaks at its end."""
-    return _bare(F.array_join(F.slice("_lines", start + 1, end - start + 1), ""))
+    """Text of the lines start to end, the last one without blanks and line breaks at its end (it holds words)."""
+    return F.concat(F.array_join(F.slice("_lines", start + 1, end - start), ""), _bare(F.get("_lines", end)))
 
 
 def _from(c: Column) -> Column:
@@ -278,15 +276,16 @@ def dedup_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     texts = keyed.select("_k", F.col(text).alias("_t"))
     windows = written(_windows(texts, "_t", min_words), "line-windows")   # three numbers per window
 
-    # repeats by hash, on narrow rows. The smaller sides have a row per key and are hashed, so nothing is sorted; a window
-    # with very many places is split by measured size below the joins
-    repeated = written(windows.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash"),
-                       "line-repeats")
+    # repeats by hash, on narrow rows. The smaller sides have a row per key and are hashed, and a first place is found in
+    # two steps (its document, its place there) over numbers, so nothing is sorted; a window with very many places is
+    # split by measured size below the joins
+    repeated = written(windows.groupBy("hash").agg(F.count("*").alias("times"), F.min("_k").alias("_fk"))
+                       .where("times > 1").select("hash", "_fk"), "line-repeats")
     places = written(windows.join(repeated.hint("shuffle_hash"), "hash"), "line-places")
     drop(windows, repeated)
-    first = written(places.groupBy("hash").agg(F.min(F.struct("_k", "c")).alias("f"))
-                    .select("hash", F.col("f._k").alias("_fk"), F.col("f.c").alias("_fc")), "line-firsts")
-    later = places.join(first.hint("shuffle_hash"), "hash")
+    first = written(places.where("_k = _fk").groupBy("hash").agg(F.min("_fk").alias("_fk"), F.min("c").alias("_fc")),
+                    "line-firsts")
+    later = places.drop("_fk").join(first.hint("shuffle_hash"), "hash")
     whole = written(later.where((F.col("c") == WHOLE) & (F.col("_fc") == WHOLE) & (F.col("_k") != F.col("_fk")))
                     .select("_k", "_fk").distinct(), "line-copies")
     # a later copy of a whole text needs no other run, unless its id stands at other texts too

@@ -155,3 +155,35 @@ def test_one_id_at_a_copy_and_another_text(spark):
     got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_passages(df).collect())
     assert got == sorted([(1, a), (2, b), (3, ""), (3, c + "\n")])
 
+
+def test_no_aggregate_of_the_windows_is_sorted(spark, monkeypatch):
+    plans = {}
+    real = line_dedup.written
+
+    def spy(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name, *rest)
+    monkeypatch.setattr(line_dedup, "written", spy)
+    removed(spark, corpus())
+    assert {"line-windows", "line-repeats", "line-places", "line-firsts"} <= set(plans)
+    assert not any("SortAggregate" in plan for plan in plans.values())
+
+
+def test_a_text_is_scanned_for_line_ends_once(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["a", "\u00e9", "\U0001f600", " ", "  ", "\n", "\n\n", "\t", "\r\n", ".", ", ", "; ", ": ", "!", "? ", "$0"])
+                     for _ in range(rng.randint(0, 40))) for _ in range(600)]
+    texts += [x.replace("a", "\x01") for x in texts[:200]] + ["!" * 50000, ", " * 50000, "\n" * 50000, "", None]
+    df = spark.createDataFrame([(x,) for x in texts], "t string").repartition(4)
+    out = df.select("t", line_dedup._lines(df["t"]).alias("x"))
+    assert all(r["x"] == (None if r["t"] is None else [y for y in re.split(LINE, r["t"]) if y]) for r in out.collect())
+    assert out._jdf.queryExecution().executedPlan().toString().count("replace(") <= 2   # in the plan's tree and below it
+
+
+def test_the_first_place_in_the_first_document(spark):
+    rng = random.Random(13)
+    hot = clause(rng, 22, 22) + "\n"
+    short = [clause(rng, 5, 5) + "\n" for _ in range(3)]
+    rows = [(7, short[0] + hot), (-2, short[1] + hot + short[2] + hot), (9, hot)]
+    got = removed(spark, rows)
+    assert [got[i]["text"] for i in (7, -2, 9)] == [short[0], short[1] + hot + short[2], ""]
