@@ -187,6 +187,14 @@ def _plain_words(bare: Column) -> Column:
     return F.when(bare == "", 0).otherwise(F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "), F.lit(""))) + 1)
 
 
+def _plain_sum(lines: Column) -> Column:
+    """Words of these lines of a text that is not odd: a line with words has a blank less than words, but for one at its end."""
+    joined = F.array_join(lines, "")
+    blanks = F.octet_length(joined) - F.octet_length(F.replace(joined, F.lit(" "), F.lit("")))
+    at_end = F.filter(lines, lambda x: F.when(x.endswith("\n"), x.contains(" \n")).otherwise(x.endswith(" ")))
+    return F.size(lines) + blanks - F.size(at_end)
+
+
 def _part(start: Column, end: Column) -> Column:
     """Text of the lines start to end, the last one without blanks and line breaks at its end (it holds words)."""
     return F.concat(F.array_join(F.slice("_lines", start + 1, end - start), ""), _bare(F.get("_lines", end)))
@@ -201,11 +209,6 @@ def _to(c: Column) -> Column:
     return c.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of the value, which is evaluated once (inside a lambda it would be for each element)."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _windows(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     """One row (_k, c, hash) per shortest run of lines with ``min_words`` words from or up to a line; c is its place.
 
@@ -249,8 +252,8 @@ def _with_bytes(runs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     pairs = written(runs.groupBy("_k", "_fk").agg(F.collect_list(F.struct("s", "e", "_fs", "_fe")).alias("_r")), "line-pairs")
     wanted = pairs.select(F.col("_fk").alias("_k")).distinct()
-    # hinted, so that a small corpus takes the way of a large one
-    originals = written(texts.join(wanted.hint("shuffle_merge"), "_k", "left_semi")
+    # hinted, so that a small corpus takes the way of a large one; the ids are hashed, so no text is sorted
+    originals = written(texts.join(wanted.hint("shuffle_hash"), "_k", "left_semi")
                         .select(F.col("_k").alias("_fk"), _lines(F.col("_t")).alias("_lines")), "line-originals")
     bytes_ = lambda r: F.when(r["_fs"] == WHOLE, F.array_join("_lines", "")).otherwise(_part(r["_fs"], r["_fe"]))
     return (pairs.join(originals.hint("shuffle_merge"), "_fk")
@@ -301,10 +304,11 @@ def dedup_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     # overlapping windows with the same original are one run; the exchange by document above serves both steps
     same = ["_k", "_fk", "_off"]
     order = Window.partitionBy(*same).orderBy("s", "e")
-    before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (parts.withColumn("_new", F.when(F.col("s") <= before, 0).otherwise(1))
-            .withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-            .groupBy(*same, "_run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    # a run ends where the windows before the next one's first do, so only the first windows pass on
+    runs = (parts.withColumn("_before", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("_last", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+            .where(F.col("_before").isNull() | (F.col("s") > F.col("_before")))
+            .withColumn("e", F.coalesce(F.lead("_before").over(order), F.col("_last")))
             .select("_k", "_fk", "s", "e", (F.col("s") + F.col("_off")).alias("_fs"), (F.col("e") + F.col("_off")).alias("_fe")))
     all_ = F.lit(WHOLE)
     runs = runs.unionByName(whole.select("_k", "_fk", all_.alias("s"), all_.alias("e"), all_.alias("_fs"), all_.alias("_fe")))
@@ -316,15 +320,16 @@ def dedup_passages(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
               .withColumn("_lines", F.when(F.col("_runs").isNotNull(), _lines(F.col(text)))))
     last = F.size("_lines") - 1
     equal = F.filter("_runs", lambda r: F.when(r["s"] == WHOLE, r["bytes"] == F.col(text)).otherwise(_part(r["s"], r["e"]) == r["bytes"]))
-    marked = joined.withColumn("_gone", F.array_sort(F.array_distinct(F.flatten(F.transform(equal, lambda r: F.sequence(
-        F.when(r["s"] == WHOLE, 0).otherwise(r["s"]), F.when(r["s"] == WHOLE, last).otherwise(r["e"])))))))
-    rest = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), last), F.col("_gone")),
-                                    lambda i: F.get("_lines", i)), "")
+    marked = joined.withColumn("_equal", equal).withColumn("_all", F.exists("_equal", lambda r: r["s"] == WHOLE))
+    marked = marked.withColumn("_gone", F.when(F.col("_all"), F.sequence(F.lit(0), last)).otherwise(F.sort_array(F.array_distinct(
+        F.flatten(F.transform("_equal", lambda r: F.sequence(r["s"], r["e"])))))))
+    rest = F.when(F.col("_all"), "").otherwise(F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), last), F.col("_gone")), lambda i: F.get("_lines", i)), ""))
     stretches = F.size(F.filter("_gone", lambda g, i: (i == 0) | (F.get("_gone", i - 1) != g - 1)))
+    cuts = F.when(F.col("_all"), F.col("_lines")).otherwise(F.transform("_gone", lambda i: F.get("_lines", i)))
     changed = F.col("_runs").isNotNull()
-    return marked.select(
+    return marked.withColumn("_cuts", F.when(changed, cuts)).select(
         *[F.when(changed, rest).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in own],
         F.when(changed, stretches).otherwise(0).alias(f"{prefix}removed_chunks"),
-        F.when(changed, F.aggregate("_gone", F.lit(0), lambda a, i: a + _let(F.get("_lines", i), lambda x: F.when(
-            F.col("_odd"), _line_words(_bare(x), F.lit(True))).otherwise(_plain_words(_plain_bare(x))))))
-        .otherwise(0).alias(f"{prefix}removed_words"))
+        F.when(changed, F.when(F.col("_odd"), F.aggregate("_cuts", F.lit(0), lambda a, x: a + _line_words(_bare(x), F.lit(True))))
+               .otherwise(_plain_sum(F.col("_cuts")))).otherwise(0).alias(f"{prefix}removed_words"))

@@ -187,3 +187,31 @@ def test_the_first_place_in_the_first_document(spark):
     rows = [(7, short[0] + hot), (-2, short[1] + hot + short[2] + hot), (9, hot)]
     got = removed(spark, rows)
     assert [got[i]["text"] for i in (7, -2, 9)] == [short[0], short[1] + hot + short[2], ""]
+
+
+def test_no_text_is_sorted_for_its_originals_and_runs_are_not_aggregated(spark, monkeypatch):
+    plans = {}
+    real = line_dedup.written
+
+    def spy(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name, *rest)
+    monkeypatch.setattr(line_dedup, "written", spy)
+    got = removed(spark, corpus())
+    assert {i: r["text"] is None for i, r in got.items()} == {i: t is None for i, t in corpus()}
+    assert "Sort" not in plans["line-originals"] and "ShuffledHashJoin" in plans["line-originals"]
+    assert "_run" not in plans["line-pairs"] and "sum(" not in plans["line-pairs"]
+
+
+def test_words_of_lines_with_each_end(spark):
+    rng = random.Random(14)
+    ends = [". ", ", ", "\n", "\n\n", " \n", ". \n", "! \n\n", "; ", ".\n"]
+    rows = []
+    for n, odd in enumerate(["", "", "x\ty ", " x", "x  y ", "x\r\n"]):   # the last four hold other white space
+        part = odd + "".join(clause(rng, 1, 9) + end for end in ends * 3) + clause(rng, 20, 20)
+        rows += [(10 * n, part), (10 * n + 1, part), (10 * n + 2, f"one {n}.\n" + part), (10 * n + 3, part + "\nthe end")]
+    got = removed(spark, rows)
+    for i, t in rows:
+        assert got[i]["removed_words"] == len(t.split()) - len(got[i]["text"].split())
+        assert i % 10 != 1 or got[i]["text"] == "" and got[i]["removed_chunks"] == 1
+        assert i % 10 < 2 or len(got[i]["text"].split()) < 5
